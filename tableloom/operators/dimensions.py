@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tableloom.operators.keys import any_null, broadcast_if_small, one_row_per_key, same_key
 from tableloom.operators.numbering import cumulate, number_rows
 from tableloom.operators.scd2 import ACTIVE
+from tableloom.session import once
 from tableloom.spec import SpecError, check_columns
 
 UNKNOWN = -1
@@ -23,7 +24,8 @@ def assign_surrogate_keys(df: DataFrame, keys: list[str], column: str, existing:
     sorts the whole table. A repeated non-null key fails the plan.
     """
     check_columns(df, keys, "create_surrogate_key")
-    data = df.drop(column) if column in df.columns else df
+    data = once(df.drop(column) if column in df.columns else df, "surrogates")
+    existing = once(existing, "dimension") if existing is not None else None
     whole = data.filter(~any_null(keys))
     checked = data.filter(any_null(keys)).unionByName(one_row_per_key(whole, keys, "surrogate key input"))
     if existing is None:
@@ -32,9 +34,10 @@ def assign_surrogate_keys(df: DataFrame, keys: list[str], column: str, existing:
         live = existing.filter(F.col(ACTIVE) == 1) if ACTIVE in existing.columns else existing
         members = live.filter(F.col(f"`{column}`") != UNKNOWN).select(*keys, F.col(f"`{column}`").cast("bigint"))
         members = one_row_per_key(members, keys, "active dimension rows")
-        matched = checked.alias("l").join(members.alias("r"), same_key("l", "r", keys), "inner")
-        known = matched.select(F.col(f"r.`{column}`"), "l.*")
-        fresh = checked.alias("l").join(members.alias("r"), same_key("l", "r", keys), "left_anti")
+        found = checked.alias("l").join(members.alias("r"), same_key("l", "r", keys), "left")
+        found = once(found.select(F.col(f"r.`{column}`"), "l.*"), "surrogates")
+        known = found.filter(F.col(f"`{column}`").isNotNull())
+        fresh = found.filter(F.col(f"`{column}`").isNull()).drop(column)
         top = F.coalesce(existing.agg(F.max(F.col(f"`{column}`").cast("bigint"))).scalar(), F.lit(0))
         top = F.greatest(top, F.lit(0))
     blank, named = fresh.filter(any_null(keys)), fresh.filter(~any_null(keys))

@@ -36,7 +36,7 @@ def estimated_bytes(df: DataFrame) -> int:
     projections and a gross over-estimate for joins: safe for deciding that
     something is small.
     """
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tableloom.operators.keys import same_key
+from tableloom.session import once
 
 RANGES = 64
 SAMPLE = 4096
@@ -92,6 +93,7 @@ def cumulate(
     tie-breakers out of the boundaries.
     """
     sums, lows, highs = sums or {}, lows or {}, highs or {}
+    df = once(df, "ranges")
     ranged = _with_ranges(df, keys, order, ranges, lead)
     local = Window.partitionBy(*keys, "__range").orderBy(*_sort(order)).rowsBetween(Window.unboundedPreceding, 0)
     kinds = [(F.sum, sums), (F.min, lows), (F.max, highs)]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tableloom.functions.patterns import pattern
 from tableloom.operators.keys import any_null, duplicate_keys, mark_by_keys
 from tableloom.operators.quantiles import exact_quantiles
-from tableloom.session import settle
+from tableloom.session import once, settle
 from tableloom.spec import CORRUPT, DQ_DETAILS, QUARANTINE_REASON, SpecError, check_columns, choice, flag, names, text
 
 ACTIONS = ("warn", "mark", "quarantine", "fail")
@@ -288,7 +288,7 @@ def run_quality(
     ``materialize`` writes the flagged batch to the shared folder once, so that
     the report, the clean rows and the quarantined rows do not each recompute it.
     """
-    df = df.drop(DQ_DETAILS, QUARANTINE_REASON)
+    df = once(df.drop(DQ_DETAILS, QUARANTINE_REASON), "batch")
     checks: list[Check] = []
     gates: list[int] = []
     if CORRUPT in df.columns:

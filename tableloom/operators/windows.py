@@ -1,21 +1,25 @@
 """``add_window_function`` with groups of any size.
 
-Three plans, one result:
-
-* no order: aggregate per group and join back (a hot key combines map-side);
-* ordered, ordinary groups: Spark's window;
-* ordered, groups above ``hot_rows``: ties are aggregated, ranges of the order
-  columns are windowed separately (``numbering.cumulate``) and the results are
-  joined back on (group, order value).
+The group sizes are counted first (map-side combined, one small job). Without
+an oversized group all functions of a step run in one Spark window over one
+shuffle. Oversized groups are split off, and for them
+
+* functions without order are aggregated per group and joined back;
+* ordered functions aggregate ties, window ranges of the order columns
+  separately (``numbering.cumulate``) and join the results back on
+  (group, order value).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tableloom.operators.keys import mark_by_keys, same_key
 from tableloom.operators.numbering import RANGES, cumulate
 from tableloom.operators.project import ordering
+from tableloom.session import once
 from tableloom.spec import SpecError, check_columns, choice, names
 
 RANKS = ("row_number", "rank", "dense_rank")
@@ -26,71 +30,117 @@ FUNCTIONS = (*RANKS, *VALUES, *TOTALS)
 HOT_ROWS = 10_000_000
 
 
+@dataclass(frozen=True)
+class WindowColumn:
+    """One window function; the frame is Spark's default: the whole group
+    without order, up to the current row's peers with it."""
+
+    function: str
+    output: str
+    keys: list[str] = field(default_factory=list)
+    order: list[tuple[str, str]] = field(default_factory=list)
+    column: str | None = None
+
+    @staticmethod
+    def make(function, output, partition_by=None, order_by=None, directions="asc", column=None) -> WindowColumn:
+        fn = choice(function, FUNCTIONS, "window function")
+        by, dirs = names(order_by), [d.lower() for d in names(directions)] or ["asc"]
+        dirs = dirs * len(by) if len(dirs) == 1 else dirs
+        if len(dirs) != len(by) and by:
+            raise SpecError("add_window_function: order_by and order_direction differ in length")
+        if fn not in RANKS and not column:
+            raise SpecError(f"add_window_function: 'column_name' must be given for {fn}")
+        if fn in RANKS and not by:
+            raise SpecError(f"add_window_function: 'order_by' must be given for {fn}")
+        ordering(by, dirs, "asc")
+        return WindowColumn(fn, output, names(partition_by), list(zip(by, dirs)), column)
+
+    def sorts(self) -> list[Column]:
+        return ordering([c for c, _ in self.order], [d for _, d in self.order], "asc")
+
+    def reads(self) -> list[str]:
+        return [*self.keys, *[c for c, _ in self.order], *([self.column] if self.column else [])]
+
+    def plain(self) -> Column:
+        spec = Window.partitionBy(*self.keys)
+        return _plain(self.function, self.column).over(spec.orderBy(*self.sorts()) if self.order else spec)
+
+
 def hot_limit(df: DataFrame) -> int:
     """Rows above which a group is split; ``spark.tableloom.window.hotRows`` overrides."""
     return int(df.sparkSession.conf.get("spark.tableloom.window.hotRows", str(HOT_ROWS)))
 
 
 def add_window(
-    df: DataFrame,
-    function: str,
-    output: str,
-    partition_by: list[str] | None = None,
-    order_by: list[str] | None = None,
-    directions: str | list[str] | None = "asc",
-    column: str | None = None,
-    hot_rows: int | None = None,
-    ranges: int = RANGES,
+    df: DataFrame, function: str, output: str, partition_by=None, order_by=None, directions="asc",
+    column: str | None = None, hot_rows: int | None = None, ranges: int = RANGES,
 ) -> DataFrame:
-    """One window column. The frame is Spark's default: whole group without
-    order, up to the current row's peers with it."""
-    fn = choice(function, FUNCTIONS, "window function")
-    keys, order_by = names(partition_by), names(order_by)
-    if fn not in RANKS and not column:
-        raise SpecError(f"add_window_function: 'column_name' must be given for {fn}")
-    if fn in RANKS and not order_by:
-        raise SpecError(f"add_window_function: 'order_by' must be given for {fn}")
-    check_columns(df, [*keys, *order_by, *([column] if column else [])], "add_window_function")
-    if not order_by:
-        return _unordered(df, fn, output, keys, column)
-    dirs = names(directions) or ["asc"]
-    dirs = dirs * len(order_by) if len(dirs) == 1 else dirs
-    sort = ordering(order_by, dirs, "asc")
-    if fn == "first_value":
-        return _first(df, output, keys, sort, column)
-    order = [(c, d.lower()) for c, d in zip(order_by, dirs)]
+    """Add one window column."""
+    made = WindowColumn.make(function, output, partition_by, order_by, directions, column)
+    return add_windows(df, [made], hot_rows, ranges)
+
+
+def add_windows(df: DataFrame, columns: list[WindowColumn], hot_rows: int | None = None, ranges: int = RANGES) -> DataFrame:
+    """Add window columns that share their partitioning keys and do not read each other."""
+    keys = columns[0].keys
+    for w in columns:
+        check_columns(df, w.reads(), "add_window_function")
+        if w.keys != keys:
+            raise SpecError("window columns added together need the same partition_by")
+    df = once(df, "windows")
     if not keys:
-        return _split(df, fn, output, [], order, column, ranges)
+        return _oversized(df, columns, ranges)
     limit = hot_limit(df) if hot_rows is None else hot_rows
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).select(*keys)
+    if hot.isEmpty():
+        return df.withColumns({w.output: w.plain() for w in columns})
+    hot = once(hot, "hot")
     ordinary = df.alias("l").join(hot.alias("r"), same_key("l", "r", keys), "left_anti")
     split = df.alias("l").join(hot.alias("r"), same_key("l", "r", keys), "left_semi")
-    plain = ordinary.withColumn(output, _plain(fn, column).over(Window.partitionBy(*keys).orderBy(*sort)))
-    parts = _split(split, fn, output, keys, order, column, ranges)
-    return plain.unionByName(parts.select(*plain.columns))
+    small = ordinary.withColumns({w.output: w.plain() for w in columns})
+    return small.unionByName(_oversized(split, columns, ranges).select(*small.columns))
 
 
-def _plain(fn: str, column: str | None):
+def _oversized(df: DataFrame, columns: list[WindowColumn], ranges: int) -> DataFrame:
+    """All functions over groups too large for one task, one after the other."""
+    unordered = [w for w in columns if not w.order]
+    if unordered:
+        df = _unordered(once(df, "split"), unordered)
+    for w in columns:
+        if w.order and w.function == "first_value":
+            df = _first(once(df, "split"), w)
+        elif w.order:
+            df = _split(once(df, "split"), w.function, w.output, w.keys, w.order, w.column, ranges)
+    return df
+
+
+def _plain(fn: str, column: str | None) -> Column:
     if fn in RANKS:
         return getattr(F, fn)()
-    return F.last(column) if fn == "last_value" else TOTALS[fn](F.col(f"`{column}`"))
+    return {"first_value": F.first, "last_value": F.last, **TOTALS}[fn](F.col(f"`{column}`"))
 
 
-def _unordered(df: DataFrame, fn: str, output: str, keys: list[str], column: str) -> DataFrame:
-    made = {"first_value": F.first, "last_value": F.last, **TOTALS}[fn](F.col(f"`{column}`")).alias(output)
+def _unordered(df: DataFrame, columns: list[WindowColumn]) -> DataFrame:
+    """One aggregate for all functions, joined back on the keys."""
+    keys = columns[0].keys
+    outputs = [w.output for w in columns]
+    made = [_plain(w.function, w.column).alias(w.output) for w in columns]
+    kept = df.drop(*outputs)
     if not keys:
-        return df.withColumn(output, df.agg(made).scalar())
-    return mark_by_keys(df.drop(output), keys, df.groupBy(*keys).agg(made))
+        totals = df.agg(*made).select(F.struct("*")).scalar()
+        return kept.withColumn("__t", totals).select("*", *[F.col(f"__t.`{o}`") for o in outputs]).drop("__t")
+    return mark_by_keys(kept, keys, df.groupBy(*keys).agg(*made))
 
 
-def _first(df: DataFrame, output: str, keys: list[str], sort: list, column: str) -> DataFrame:
+def _first(df: DataFrame, w: WindowColumn) -> DataFrame:
     """The first row per group by ``row_number() = 1`` (limited map-side), joined back."""
-    spec = Window.partitionBy(*keys).orderBy(*sort)
+    value = F.col(f"`{w.column}`").alias(w.output)
+    kept = df.drop(w.output)
+    if not w.keys:
+        return kept.withColumn(w.output, df.orderBy(*w.sorts()).limit(1).select(value).scalar())
+    spec = Window.partitionBy(*w.keys).orderBy(*w.sorts())
     first = df.withColumn("__rn", F.row_number().over(spec)).filter("__rn = 1")
-    if not keys:
-        best = df.orderBy(*sort).limit(1)
-        return df.withColumn(output, best.select(F.col(f"`{column}`")).scalar())
-    return mark_by_keys(df.drop(output) if output in df.columns else df, keys, first.select(*keys, F.col(f"`{column}`").alias(output)))
+    return mark_by_keys(kept, w.keys, first.select(*w.keys, value))
 
 
 def _split(df: DataFrame, fn: str, output: str, keys: list[str], order: list, column: str | None, ranges: int) -> DataFrame:

@@ -160,10 +160,7 @@ STEPS: dict[str, Step] = {
         text(s, "value_name", "value"),
     ),
     "join_data": _join,
-    "add_window_function": lambda df, s, c: windows.add_window(
-        df, text(s, "window_function"), text(s, "output_column_name").strip(), names(s.get("partition_by")),
-        names(s.get("order_by")), s.get("order_direction") or "asc", (s.get("column_name") or "").strip() or None,
-    ),
+    "add_window_function": lambda df, s, c: windows.add_windows(df, [_window_column(s)]),
     "aggregate_data": lambda df, s, c: aggregates.aggregate(
         df, names(s.get("group_by_columns")), _columns(s), _columns(s, "aggregation"), _columns(s, "output_column_name")
     ),
@@ -198,9 +195,39 @@ STEPS: dict[str, Step] = {
 }
 
 
+def _window_column(step: dict) -> windows.WindowColumn:
+    return windows.WindowColumn.make(
+        text(step, "window_function"), text(step, "output_column_name").strip(), step.get("partition_by"),
+        step.get("order_by"), step.get("order_direction") or "asc", (step.get("column_name") or "").strip() or None,
+    )
+
+
+def _window_runs(steps: Iterable[dict]) -> Iterable[dict | list[windows.WindowColumn]]:
+    """Consecutive window steps over the same groups become one; others pass."""
+    run: list[windows.WindowColumn] = []
+    for step in steps:
+        if step.get("Category") == "add_window_function":
+            made = _window_column(step)
+            apart = run and (made.keys != run[0].keys or {w.output for w in run} & {made.output, *made.reads()})
+            if apart:
+                yield run
+                run = []
+            run.append(made)
+            continue
+        if run:
+            yield run
+            run = []
+        yield step
+    if run:
+        yield run
+
+
 def apply_steps(df: DataFrame, steps: Iterable[dict], ctx: StepContext) -> DataFrame:
     """Run the steps in order; nothing executes here beyond what a step itself settles."""
-    for step in steps:
+    for step in _window_runs(steps):
+        if isinstance(step, list):
+            df = windows.add_windows(df, step)
+            continue
         category = step.get("Category", "")
         if category not in STEPS:
             raise SpecError(f"unknown step '{category}'; known: {', '.join(STEPS)}")

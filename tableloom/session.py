@@ -60,3 +60,18 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+COSTLY = ("Join", "Aggregate", "Window", "Generate", "Sort ", "Distinct", "Union")
+
+
+def once(df: DataFrame, label: str = "input") -> DataFrame:
+    """``df`` ready to be read several times by one operator.
+
+    A plain scan with filters and projections is cheap to repeat with pruned
+    columns and is returned as it is. Anything that joins, aggregates or sorts
+    is settled first, so a chain of multi-pass operators costs the sum of its
+    passes and not their product.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return settle(df, label) if any(word in plan for word in COSTLY) else df

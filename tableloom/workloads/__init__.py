@@ -1,0 +1,16 @@
+"""Registered queries; importing the modules fills the registry."""
+
+from __future__ import annotations
+
+from tableloom.workloads import checks, merging, registry, shape
+
+
+def all_queries() -> dict[str, registry.Query]:
+    return dict(registry.QUERIES)
+
+
+def all_sql() -> dict[str, str]:
+    return dict(registry.SQL)
+
+
+__all__ = ["all_queries", "all_sql", "checks", "merging", "shape"]
