@@ -45,11 +45,11 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lows = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     linked = both.join(lows, "u").filter("v > u")
-    return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = _canonical(edges)
+def _small_star(down: DataFrame) -> DataFrame:
+    """``down`` points from the larger to the smaller end, as the large star leaves it."""
     lows = down.groupBy("u").agg(F.min("v").alias("m"))
     linked = down.join(lows, "u")
     out = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(lows.select("u", F.col("m").alias("v")))
