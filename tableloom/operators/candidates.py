@@ -2,61 +2,62 @@
 
 If two items are similar enough, their rarest tokens must overlap: it suffices
 to compare items sharing one of the first few tokens in order of global
-frequency (prefix filtering). The filter loses no pair above the floor and
-never forms the pairs of a whole group.
+frequency (prefix filtering). A shared token counts only if enough tokens are
+left behind it on both sides to reach the overlap the floor demands (positional
+filtering). Neither loses a pair above the floor, and the pairs of a whole group
+are never formed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
 
-GRAM = 2
-LOWEST_FUZZY_FLOOR = 2 / 3  # below it short texts may be similar without sharing a gram
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tableloom.session import once
 
-def numbered_tokens(tokens: Column) -> Column:
-    """Repeated tokens made distinct by their occurrence number."""
-    places = F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
-    earlier = lambda x: F.size(F.filter(F.slice(tokens, F.lit(1), x["i"] + 1), lambda o: o == x["t"]))
-    return F.transform(places, lambda x: F.concat(x["t"], F.lit("\u0001"), earlier(x).cast("string")))
+LOWEST_FUZZY_FLOOR = 2 / 3  # below it short texts may be similar without sharing a gram
+SLACK = 1e-9
 
 
-def grams(text: Column) -> Column:
-    """Two-letter grams of the padded text, numbered by occurrence."""
-    padded = F.concat(F.lit("\u0002"), text, F.lit("\u0003"))
-    starts = F.sequence(F.lit(1), F.length(text) + 1)
-    return numbered_tokens(F.transform(starts, lambda i: F.substring(padded, i, F.lit(GRAM))))
+def gram_length(floor: float) -> int:
+    """Longer grams are rarer, but need more similar texts to be sure of a shared one."""
+    return 3 if floor >= 0.75 else 2
 
 
-def fuzzy_prefix(length: Column, floor: float) -> Column:
-    """Grams to look at so that no pair with edit similarity >= ``floor`` is lost.
+def gram_rows(df: DataFrame, n: int) -> DataFrame:
+    """Rows ``(id, block, size, tok)``: the grams of ``n`` letters of each padded text ``t``.
 
-    A partner's length is at most ``length / floor``, so at most
-    ``(1 - floor) * length / floor`` edits lie between the two, and each edit
-    touches at most ``GRAM`` grams.
+    A gram that occurs repeatedly in a text is numbered, so that texts share as
+    many tokens as they share occurrences.
     """
-    return (F.floor(length * (1 - floor) / floor + 1e-9) * GRAM + 1).cast("int")
-
-
-def jaccard_prefix(size: Column, floor: float) -> Column:
-    """Words to look at so that no pair with Jaccard similarity >= ``floor`` is lost."""
-    return (size - F.ceil(size * floor - 1e-9) + 1).cast("int")
+    padded = df.select(
+        "id", "block", F.length("t").alias("size"), F.concat(F.lit("\u0002" * (n - 1)), "t", F.lit("\u0003" * (n - 1))).alias("p")
+    )
+    at = padded.select("id", "block", "size", "p", F.explode(F.sequence(F.lit(1), F.col("size") + n - 1)).alias("i"))
+    gram = F.substring("p", F.col("i"), F.lit(n)).alias("gram")
+    counted = at.select("id", "block", "size", gram).groupBy("id", "block", "size", "gram").agg(F.count(F.lit(1)).alias("c"))
+    every = counted.select("id", "block", "size", "gram", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("k"))
+    return every.select("id", "block", "size", F.concat("gram", F.lit("\u0001"), F.col("k").cast("string")).alias("tok"))
 
 
 def prefix_pairs(
-    left: DataFrame, right: DataFrame | None, prefix: Column, floor: float
+    left: DataFrame,
+    right: DataFrame | None,
+    prefix: Column,
+    overlap: Callable[[Column, Column], Column],
+    floor: float,
 ) -> DataFrame:
     """Distinct candidate pairs ``(id_a, id_b)``.
 
-    Inputs have columns ``id``, ``block``, ``size`` and ``tokens``; only items
-    of one block meet. Without ``right`` the frame is compared with itself and
-    ``id_a < id_b``. Sizes must lie within the floor of each other.
+    Inputs have one row per token, ``(id, block, size, tok)``; only items of one
+    block whose sizes lie within the floor of each other meet.
+    ``prefix`` says how many of an item's rarest tokens to look at, ``overlap``
+    how many tokens two items of given sizes must share. Without ``right`` the
+    frame is compared with itself and ``id_a < id_b``.
     """
-    def exploded(df: DataFrame) -> DataFrame:
-        return df.select("id", "block", "size", F.explode("tokens").alias("tok"))
-
-    a = exploded(left)
-    b = a if right is None else exploded(right)
+    a = once(left, "tokens")
+    b = a if right is None else once(right, "tokens")
     every = a if right is None else a.unionByName(b)
     rarity = every.groupBy("tok").agg(F.count(F.lit(1)).alias("uses"))
 
@@ -66,20 +67,39 @@ def prefix_pairs(
             F.sort_array(F.collect_list(F.struct("uses", "tok"))).alias("ranked")
         )
         first = F.slice("ranked", F.lit(1), F.greatest(prefix, F.lit(1)))
-        return ranked.select("id", "block", "size", F.explode(first).alias("r")).select(
-            "id", "block", "size", F.col("r.tok").alias("tok")
-        )
+        placed = ranked.select("id", "block", "size", F.size("ranked").alias("n"), F.posexplode(first).alias("at", "r"))
+        return placed.select("id", "block", "size", F.col("r.tok").alias("tok"), (F.col("n") - F.col("at")).alias("ahead"))
 
     ra = rarest(a)
     rb = ra if right is None else rarest(b)
-    near = F.least("a.size", "b.size") >= F.greatest("a.size", "b.size") * floor - 1e-9
-    match = (F.col("a.tok") == F.col("b.tok")) & F.col("a.block").eqNullSafe(F.col("b.block")) & near
+    near = F.least("a.size", "b.size") >= F.greatest("a.size", "b.size") * floor - SLACK
+    # ``ahead`` counts the shared token and all behind it. A pair above the floor
+    # passes at its first shared token, before which nothing is shared.
+    enough = F.least("a.ahead", "b.ahead") >= overlap(F.col("a.size"), F.col("b.size"))
+    match = (F.col("a.tok") == F.col("b.tok")) & F.col("a.block").eqNullSafe(F.col("b.block")) & near & enough
     if right is None:
         match = match & (F.col("a.id") < F.col("b.id"))
     joined = ra.alias("a").join(rb.alias("b"), match)
     return joined.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
 
 
+def similar_texts(left: DataFrame, right: DataFrame | None, floor: float) -> DataFrame:
+    """Candidates for edit similarity >= ``floor``; inputs have ``id``, ``block`` and ``t``.
+
+    With ``k`` edits between texts at most ``k * n`` grams differ. A partner of a
+    text of length ``L`` is at most ``L / floor`` long, which bounds ``k``.
+    """
+    n = gram_length(floor)
+
+    def items(df: DataFrame) -> DataFrame:
+        return gram_rows(df.filter("block IS NOT NULL AND length(t) > 0"), n)
+
+    edits = lambda longest: F.floor(longest * (1 - floor) + SLACK)
+    prefix = (edits(F.col("size") / floor) * n + 1).cast("int")
+    overlap = lambda x, y: F.greatest(x, y) + (n - 1) - edits(F.greatest(x, y)) * n
+    return prefix_pairs(items(left), None if right is None else items(right), prefix, overlap, floor)
+
+
 def similar_word_sets(left: DataFrame, right: DataFrame | None, text: str, floor: float = 0.7) -> DataFrame:
     """Pairs ``(id_a, id_b)`` whose sets of words have Jaccard similarity >= ``floor``."""
     def words(df: DataFrame) -> DataFrame:
@@ -87,13 +107,19 @@ def similar_word_sets(left: DataFrame, right: DataFrame | None, text: str, floor
         items = df.select("id", F.lit(0).alias("block"), made.alias("tokens")).filter(F.size("tokens") > 0)
         return items.withColumn("size", F.size("tokens"))
 
+    def rows(df: DataFrame) -> DataFrame:
+        return df.select("id", "block", "size", F.explode("tokens").alias("tok"))
+
     a = words(left)
     b = None if right is None else words(right)
-    pairs = prefix_pairs(a, b, jaccard_prefix(F.col("size"), floor), floor)
+    size = F.col("size")
+    prefix = (size - F.ceil(size * floor - SLACK) + 1).cast("int")
+    overlap = lambda x, y: F.ceil((x + y) * (floor / (1 + floor)) - SLACK)
+    pairs = prefix_pairs(rows(a), None if b is None else rows(b), prefix, overlap, floor)
     other = a if b is None else b
     full = pairs.join(a.select(F.col("id").alias("id_a"), F.col("tokens").alias("ta")), "id_a").join(
         other.select(F.col("id").alias("id_b"), F.col("tokens").alias("tb")), "id_b"
     )
     shared = F.size(F.array_intersect("ta", "tb"))
     score = shared / (F.size("ta") + F.size("tb") - shared)
-    return full.select("id_a", "id_b", score.alias("similarity")).filter(F.col("similarity") >= floor - 1e-9)
+    return full.select("id_a", "id_b", score.alias("similarity")).filter(F.col("similarity") >= floor - SLACK)

@@ -26,8 +26,7 @@ def assign_surrogate_keys(df: DataFrame, keys: list[str], column: str, existing:
     check_columns(df, keys, "create_surrogate_key")
     data = once(df.drop(column) if column in df.columns else df, "surrogates")
     existing = once(existing, "dimension") if existing is not None else None
-    whole = data.filter(~any_null(keys))
-    checked = data.filter(any_null(keys)).unionByName(one_row_per_key(whole, keys, "surrogate key input"))
+    checked = one_row_per_key(data, keys, "surrogate key input", ignore_nulls=True)
     if existing is None:
         known, top, fresh = None, F.lit(0).cast("bigint"), checked
     else:
@@ -40,12 +39,13 @@ def assign_surrogate_keys(df: DataFrame, keys: list[str], column: str, existing:
         fresh = found.filter(F.col(f"`{column}`").isNull()).drop(column)
         top = F.coalesce(existing.agg(F.max(F.col(f"`{column}`").cast("bigint"))).scalar(), F.lit(0))
         top = F.greatest(top, F.lit(0))
-    blank, named = fresh.filter(any_null(keys)), fresh.filter(~any_null(keys))
     order = [(k, "asc") for k in keys]
-    before = blank.agg(F.count(F.lit(1))).scalar()
-    first = _number_with_nulls(blank, keys, order)
-    rest = number_rows(named, order, "__n").withColumn("__n", F.col("__n") + before)
-    numbered = first.unionByName(rest)
+    blank = fresh.filter(any_null(keys))
+    numbered = number_rows(fresh.filter(~any_null(keys)), order, "__n")
+    if not blank.isEmpty():
+        before = blank.agg(F.count(F.lit(1))).scalar()
+        numbered = numbered.withColumn("__n", F.col("__n") + before)
+        numbered = _number_with_nulls(blank, keys, order).unionByName(numbered)
     made = numbered.select((F.col("__n") + top).cast("bigint").alias(column), *data.columns)
     return made if known is None else known.unionByName(made)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tableloom.session import settle
 from tableloom.spec import SpecError
@@ -25,8 +25,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     current = settle(_canonical(pairs), "components")
     before = None
     for _ in range(max_rounds):
-        current = settle(_small_star(_large_star(current)), "components")
-        now = _fingerprint(current)
+        seen = Observation()
+        current = settle(_small_star(_large_star(current)), "components", seen, *_digest())
+        now = seen.get
         if now == before:
             break
         before = now
@@ -56,11 +57,11 @@ def _small_star(down: DataFrame) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Order-free digest of the edge set: its size and two sums of hashes."""
+def _digest() -> list[Column]:
+    """Order-free digest of an edge set: its size and two sums of hashes."""
     one, two = F.xxhash64("u", "v"), F.xxhash64("v", "u", F.lit(1))
-    digest = lambda h: F.sum(h.cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count(F.lit(1)), digest(one), digest(two)).first())
+    total = lambda h: F.sum(h.cast("decimal(38,0)"))
+    return [F.count(F.lit(1)).alias("n"), total(one).alias("one"), total(two).alias("two")]
 
 
 def flatten_hierarchy(

@@ -60,13 +60,14 @@ def mark_by_keys(df: DataFrame, keys: list[str], facts: DataFrame) -> DataFrame:
     )
 
 
-def one_row_per_key(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+def one_row_per_key(df: DataFrame, keys: list[str], what: str, ignore_nulls: bool = False) -> DataFrame:
     """``df`` unchanged, with a plan that fails when a key occurs twice.
 
     The duplicate groups are counted with partial aggregation and reduced to a
     single number, so neither the hot key nor the list of duplicates ever
-    reaches one task.
+    reaches one task. ``ignore_nulls`` lets keys with a null part repeat.
     """
-    bad = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("n")).scalar()
+    counted = df.filter(~any_null(keys)) if ignore_nulls else df
+    bad = duplicate_keys(counted, keys).agg(F.count(F.lit(1)).alias("n")).scalar()
     message = F.concat(F.lit(f"{what}: "), bad.cast("string"), F.lit(f" duplicate keys on {', '.join(keys)}"))
     return df.filter(F.when(bad > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))

@@ -17,9 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.functions.text import normalized, similarity
-from tableloom.operators.candidates import (
-    LOWEST_FUZZY_FLOOR, fuzzy_prefix, grams, prefix_pairs, similar_word_sets,
-)
+from tableloom.operators.candidates import LOWEST_FUZZY_FLOOR, similar_texts, similar_word_sets
 from tableloom.operators.graph import connected_components
 from tableloom.operators.keys import mark_by_keys
 from tableloom.session import settle
@@ -139,11 +137,7 @@ def _star(left: DataFrame, right: DataFrame | None, block: Column) -> DataFrame:
 
 
 def _fuzzy_items(df: DataFrame, i: int, block: Column) -> DataFrame:
-    value = cleaned(F.col(f"v{i}").cast("string"))
-    made = df.select(F.col("rep").alias("id"), block.alias("block"), value.alias("t")).filter(
-        "block IS NOT NULL AND length(t) > 0"
-    )
-    return made.select("id", "block", F.length("t").alias("size"), grams(F.col("t")).alias("tokens"))
+    return df.select(F.col("rep").alias("id"), block.alias("block"), cleaned(F.col(f"v{i}").cast("string")).alias("t"))
 
 
 def _candidates(spec: MatchSpec, left: DataFrame, right: DataFrame | None) -> DataFrame:
@@ -169,7 +163,7 @@ def _candidates(spec: MatchSpec, left: DataFrame, right: DataFrame | None) -> Da
             for i in fuzzy:
                 a = _fuzzy_items(left, i, block)
                 b = None if right is None else _fuzzy_items(right, i, block)
-                found.append(prefix_pairs(a, b, fuzzy_prefix(F.col("size"), floor), floor))
+                found.append(similar_texts(a, b, floor))
     if not found:
         raise SpecError("entity_resolution: an exact, soundex or fuzzy comparison is needed to find candidates")
     if right is None:  # a profile with copies is compared with itself
@@ -190,7 +184,7 @@ def _scores(spec: MatchSpec) -> dict[str, Column]:
         elif c.kind == "soundex":
             value = F.coalesce(F.soundex(a) == F.soundex(b), F.lit(False))
         elif c.kind == "fuzzy":
-            value = similarity(cleaned(a), cleaned(b))
+            value = similarity(a, b)
         else:
             value = F.abs(F.try_divide(b.cast("double") - a.cast("double"), a.cast("double")) * 100)
         out[spec.score_name(c)] = value
@@ -207,8 +201,12 @@ def resolve(primary: DataFrame, spec: MatchSpec, secondary: DataFrame | None = N
         sid = spec.secondary_id_column or spec.id_column
         check_columns(secondary, [sid, *rcols], "entity_resolution")
         right, rrecords = _profiles(secondary, sid, rcols)
+    # Fuzzy texts are cleaned once per profile, before pairs multiply them.
+    compared = [
+        cleaned(F.col(f"v{i}").cast("string")) if c.kind == "fuzzy" else F.col(f"v{i}") for i, c in enumerate(spec.comparisons)
+    ]
     side = lambda df, tag: df.select(
-        F.col("rep").alias(f"id_{tag}"), *[F.col(f"v{i}").alias(f"{tag}{i}") for i in range(len(lcols))]
+        F.col("rep").alias(f"id_{tag}"), *[v.alias(f"{tag}{i}") for i, v in enumerate(compared)]
     )
     scored = _candidates(spec, left, right).join(side(left, "a"), "id_a").join(
         side(left if right is None else right, "b"), "id_b"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
@@ -51,12 +51,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame, label: str = "stage") -> DataFrame:
+def settle(df: DataFrame, label: str = "stage", watch: Observation | None = None, *measures: Column) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage like a reliable checkpoint, survives executor loss, and gives
-    the planner real sizes for what follows.
+    the planner real sizes for what follows. ``watch`` collects aggregate
+    ``measures`` of the rows while they are written.
     """
+    df = df.observe(watch, *measures) if watch is not None else df
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
