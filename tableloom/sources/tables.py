@@ -88,9 +88,12 @@ def read_jdbc(
     return spark.read.jdbc(url, table, properties=props)
 
 
-def date_predicates(column: str, edges: list[str], literal: str = "DATE") -> list[str]:
-    """Half-open ranges over ascending ``edges`` that cover every row once, nulls included."""
-    at = [f"{literal} '{e}'" if literal else e for e in edges]
+def date_predicates(column: str, edges: list[str], literal: str = "DATE '{}'") -> list[str]:
+    """Half-open ranges over ascending ``edges`` that cover every row once, nulls included.
+
+    ``literal`` is how the database writes a date.
+    """
+    at = [literal.format(e) for e in edges]
     ranges = [f"{column} < {at[0]} OR {column} IS NULL"]
     ranges += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(at, at[1:])]
     return [*ranges, f"{column} >= {at[-1]}"]
