@@ -1,12 +1,11 @@
 """Running totals and row numbers over groups too large for one task.
 
-A plain window sorts each partition inside one task. That is right for
-ordinary groups and impossible for a group holding a third of the table, or for
-a whole-table numbering. ``cumulate`` splits each group into ranges of the
-order columns: boundaries are picked from a deterministic hash sample, every
-(group, range) is windowed on its own, and the totals of the preceding ranges
-are added. Only boundary choice is sampled; every row is counted, so the result
-equals that of the plain window.
+A plain window sorts each partition inside one task. That is right for ordinary
+groups and impossible for a group holding a third of the table, or for a
+whole-table numbering. ``cumulate`` range-partitions the rows by (group, order),
+so that a large group spreads over many ranges, totals each (group, range), and
+adds the totals of the ranges before to a window inside the range. Every row is
+counted, so the result equals that of the plain window.
 """
 
 from __future__ import annotations
@@ -14,65 +13,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tableloom.operators.keys import same_key
-from tableloom.session import once
-
-RANGES = 64
-SAMPLE = 4096
+from tableloom.session import settle
 
 Order = list[tuple[str, str]]  # (column, "asc" | "desc")
 
 
-def _sort(order: Order) -> list[Column]:
+def sort_columns(order: Order) -> list[Column]:
     return [F.col(f"`{c}`").asc() if d == "asc" else F.col(f"`{c}`").desc() for c, d in order]
 
 
-def _leading(order: Order) -> tuple[Column, bool]:
-    """The longest run of leading columns sharing one direction, as a comparable struct."""
-    first = order[0][1]
-    run = []
-    for column, direction in order:
-        if direction != first:
-            break
-        run.append(F.col(f"`{column}`"))
-    return F.struct(*run), first == "desc"
-
-
-def _with_ranges(df: DataFrame, keys: list[str], order: Order, ranges: int, lead: int | None) -> DataFrame:
-    """Add ``__range``: how many boundaries of its group precede the row."""
-    place, descending = _leading(order[:lead])
-    tagged = df.withColumn("__place", place)
-    every = F.xxhash64(*[F.col(f"`{c}`") for c in [*keys, *[c for c, _ in order]]])
-    step = lambda n: F.greatest(F.lit(1), (n / SAMPLE).cast("long"))
-    picked = F.sort_array(F.collect_set("__place"))
-    spread = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(ranges - 1)),
-            lambda i: F.get(F.col("__sorted"), (i * F.size("__sorted") / ranges).cast("int")),
-        )
-    )
-    if keys:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        sample = (
-            tagged.alias("l").join(sizes.alias("r"), same_key("l", "r", keys), "inner")
-            .filter(F.pmod(every_of("l", keys, order), step(F.col("r.__n"))) == 0)
-            .select(*[F.col(f"l.`{k}`") for k in keys], F.col("l.__place"))
-        )
-        bounds = sample.groupBy(*keys).agg(picked.alias("__sorted")).select(*keys, spread.alias("__bounds"))
-        joined = tagged.alias("l").join(bounds.alias("r"), same_key("l", "r", keys), "left")
-        tagged = joined.select("l.*", F.col("r.__bounds"))
-    else:
-        total = df.agg(F.count(F.lit(1))).scalar()
-        sample = tagged.filter(F.pmod(every, step(total)) == 0)
-        tagged = tagged.withColumn(
-            "__bounds", sample.agg(picked.alias("__sorted")).select(spread.alias("__bounds")).scalar()
-        )
-    before = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col("__place"))), F.lit(0))
-    position = F.lit(ranges) - before if descending else before
-    return tagged.withColumn("__range", position.cast("int")).drop("__place", "__bounds")
-
-
-def every_of(alias: str, keys: list[str], order: Order) -> Column:
-    return F.xxhash64(*[F.col(f"{alias}.`{c}`") for c in [*keys, *[c for c, _ in order]]])
+def range_count(df: DataFrame) -> int:
+    """As many ranges as the session has shuffle partitions, which its owner sized to the data."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_ranges(df: DataFrame, keys: list[str], order: Order, ranges: int | None = None) -> DataFrame:
+    """``df`` in ranges of (keys, order), the number of a row's range in ``__range``.
+
+    Equal (keys, order) fall into one range, and ranges ascend with the order.
+    The result is written to the shared folder: partition numbers are facts of
+    one execution and must not change when a lost task is repeated.
+    """
+    by = [*[F.col(f"`{k}`").asc() for k in keys], *sort_columns(order)]
+    parts = df.repartitionByRange(ranges or range_count(df), *by)
+    return settle(parts.withColumn("__range", F.spark_partition_id()), "ranges")
 
 
 def cumulate(
@@ -82,44 +46,40 @@ def cumulate(
     sums: dict[str, str] | None = None,
     lows: dict[str, str] | None = None,
     highs: dict[str, str] | None = None,
-    ranges: int = RANGES,
+    ranges: int | None = None,
     lead: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums, minima and maxima per group in ``order``.
 
     ``sums``/``lows``/``highs`` map an output column to the input column. The
-    (keys, order) combination must be unique; callers aggregate ties first. Ranges are
-    cut on the first ``lead`` order columns (default: all), which keeps wide
-    tie-breakers out of the boundaries.
+    (keys, order) combination must be unique; callers aggregate ties first.
+    Ranges are cut on the first ``lead`` order columns (default: all), which
+    keeps wide tie-breakers out of the partitioning.
     """
-    sums, lows, highs = sums or {}, lows or {}, highs or {}
-    df = once(df, "ranges")
-    ranged = _with_ranges(df, keys, order, ranges, lead)
-    local = Window.partitionBy(*keys, "__range").orderBy(*_sort(order)).rowsBetween(Window.unboundedPreceding, 0)
-    kinds = [(F.sum, sums), (F.min, lows), (F.max, highs)]
+    kinds = [(F.sum, sums or {}), (F.min, lows or {}), (F.max, highs or {})]
+    ranged = with_ranges(df, keys, order[:lead], ranges)
+    both = [*keys, "__range"]
+    local = Window.partitionBy(*both).orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
     within = ranged.withColumns({f"__l_{o}": fn(F.col(f"`{c}`")).over(local) for fn, m in kinds for o, c in m.items()})
-    totals = ranged.groupBy(*keys, "__range").agg(
-        *[fn(F.col(f"`{c}`")).alias(f"__t_{o}") for fn, m in kinds for o, c in m.items()]
-    )
-    # One row per (group, range): at most RANGES + 1 rows per group meet here.
+    totals = ranged.groupBy(*both).agg(*[fn(F.col(f"`{c}`")).alias(f"__t_{o}") for fn, m in kinds for o, c in m.items()])
+    # One row per (group, range): a group has at most as many as there are ranges.
     earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        *keys, "__range", *[fn(f"__t_{o}").over(earlier).alias(f"__s_{o}") for fn, m in kinds for o in m]
-    )
-    both = [*keys, "__range"]
+    starts = totals.select(*both, *[fn(f"__t_{o}").over(earlier).alias(f"__s_{o}") for fn, m in kinds for o in m])
     joined = within.alias("l").join(starts.alias("r"), same_key("l", "r", both), "left").select(
         "l.*", *[F.col(f"r.__s_{o}") for _, m in kinds for o in m]
     )
+
     def combined(fn, o: str) -> Column:
         here, start = F.col(f"__l_{o}"), F.col(f"__s_{o}")
         if fn is F.sum:
             return F.coalesce(here + start, here, start)
         return (F.least if fn is F.min else F.greatest)(here, start)
+
     out = joined.withColumns({o: combined(fn, o) for fn, m in kinds for o in m})
     return out.select(*df.columns, *[o for _, m in kinds for o in m if o not in df.columns])
 
 
-def number_rows(df: DataFrame, order: Order, output: str, ranges: int = RANGES) -> DataFrame:
+def number_rows(df: DataFrame, order: Order, output: str, ranges: int | None = None) -> DataFrame:
     """``row_number`` over the whole table for a unique ``order``, without one task sorting it."""
     ones = df.withColumn("__one", F.lit(1).cast("long"))
     return cumulate(ones, [], order, sums={output: "__one"}, ranges=ranges).drop("__one")

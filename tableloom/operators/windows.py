@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tableloom.operators.keys import mark_by_keys, same_key
-from tableloom.operators.numbering import RANGES, cumulate
+from tableloom.operators.numbering import cumulate
 from tableloom.operators.project import ordering
 from tableloom.session import once
 from tableloom.spec import SpecError, check_columns, choice, names
@@ -73,14 +73,14 @@ def hot_limit(df: DataFrame) -> int:
 
 def add_window(
     df: DataFrame, function: str, output: str, partition_by=None, order_by=None, directions="asc",
-    column: str | None = None, hot_rows: int | None = None, ranges: int = RANGES,
+    column: str | None = None, hot_rows: int | None = None, ranges: int | None = None,
 ) -> DataFrame:
     """Add one window column."""
     made = WindowColumn.make(function, output, partition_by, order_by, directions, column)
     return add_windows(df, [made], hot_rows, ranges)
 
 
-def add_windows(df: DataFrame, columns: list[WindowColumn], hot_rows: int | None = None, ranges: int = RANGES) -> DataFrame:
+def add_windows(df: DataFrame, columns: list[WindowColumn], hot_rows: int | None = None, ranges: int | None = None) -> DataFrame:
     """Add window columns that share their partitioning keys and do not read each other."""
     keys = columns[0].keys
     for w in columns:
@@ -101,7 +101,7 @@ def add_windows(df: DataFrame, columns: list[WindowColumn], hot_rows: int | None
     return small.unionByName(_oversized(split, columns, ranges).select(*small.columns))
 
 
-def _oversized(df: DataFrame, columns: list[WindowColumn], ranges: int) -> DataFrame:
+def _oversized(df: DataFrame, columns: list[WindowColumn], ranges: int | None) -> DataFrame:
     """All functions over groups too large for one task, one after the other."""
     unordered = [w for w in columns if not w.order]
     if unordered:
@@ -143,7 +143,7 @@ def _first(df: DataFrame, w: WindowColumn) -> DataFrame:
     return mark_by_keys(kept, w.keys, first.select(*w.keys, value))
 
 
-def _split(df: DataFrame, fn: str, output: str, keys: list[str], order: list, column: str | None, ranges: int) -> DataFrame:
+def _split(df: DataFrame, fn: str, output: str, keys: list[str], order: list, column: str | None, ranges: int | None) -> DataFrame:
     by = [c for c, _ in order]
     one = F.lit(1).cast("long")
     if fn == "row_number":
