@@ -10,6 +10,7 @@ are never formed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -123,3 +124,28 @@ def similar_word_sets(left: DataFrame, right: DataFrame | None, text: str, floor
     shared = F.size(F.array_intersect("ta", "tb"))
     score = shared / (F.size("ta") + F.size("tb") - shared)
     return full.select("id_a", "id_b", score.alias("similarity")).filter(F.col("similarity") >= floor - SLACK)
+
+
+def near_values(left: DataFrame, right: DataFrame | None, ceiling: float) -> DataFrame:
+    """Candidates whose numbers differ by at most ``ceiling`` percent of either one.
+
+    Inputs have ``id``, ``block`` and a number ``v``. Numbers are put into bands
+    of ratio ``1 + ceiling / 100``; two near numbers of one sign lie in the same
+    band or few bands apart.
+    """
+    share = ceiling / 100
+    bands = math.ceil(-math.log1p(-share) / math.log1p(share))  # the larger number may be the base
+
+    def banded(df: DataFrame, spread: bool) -> DataFrame:
+        usable = df.select("id", "block", F.col("v").cast("double").alias("v")).filter("block IS NOT NULL AND v <> 0")
+        band = F.floor(F.ln(F.abs("v")) / F.lit(math.log1p(share)))
+        reach = F.explode(F.sequence(band - bands, band + bands)) if spread else band
+        return usable.select("id", "block", "v", F.signum("v").alias("sign"), reach.alias("band"))
+
+    a, b = banded(left, False).alias("a"), banded(left if right is None else right, True).alias("b")
+    match = (F.col("a.band") == F.col("b.band")) & (F.col("a.sign") == F.col("b.sign"))
+    match = match & F.col("a.block").eqNullSafe(F.col("b.block"))
+    if right is None:
+        match = match & (F.col("a.id") < F.col("b.id"))
+    near = F.abs(F.col("a.v") - F.col("b.v")) <= F.greatest(F.abs("a.v"), F.abs("b.v")) * (share + SLACK)
+    return a.join(b, match & near).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()

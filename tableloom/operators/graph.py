@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from tableloom.session import settle
+from tableloom.session import once, settle
 from tableloom.spec import SpecError
 
 
@@ -64,13 +64,11 @@ def _digest() -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), total(one).alias("one"), total(two).alias("two")]
 
 
-def flatten_hierarchy(
-    nodes: DataFrame, key: str, parent: str, max_depth: int = 20, settle_every: int = 4
-) -> DataFrame:
+def flatten_hierarchy(nodes: DataFrame, key: str, parent: str, max_depth: int = 20) -> DataFrame:
     """Every node with its root, depth and path, level by level from the roots.
 
-    Each level is one equi-join of the current frontier with the nodes; levels
-    are written to the shared folder every few rounds to keep plans short. A
+    Each level is one equi-join of the frontier with the nodes and is written to
+    the shared folder, so that a level is computed once and plans stay short. A
     hierarchy deeper than ``max_depth`` (a cycle, for instance) is an error.
     """
     k, p = F.col(key), F.col(parent)
@@ -78,14 +76,14 @@ def flatten_hierarchy(
         k.alias("node"), k.alias("root"), F.lit(0).alias("depth"), k.cast("string").alias("path")
     )
     found = level
+    nodes = once(nodes, "hierarchy")
     children = nodes.filter(p.isNotNull()).select(k.alias("c"), p.alias("p"))
     for depth in range(1, max_depth + 2):
-        level = level.join(children, F.col("node") == F.col("p")).select(
+        below = level.join(children, F.col("node") == F.col("p")).select(
             F.col("c").alias("node"), "root", F.lit(depth).alias("depth"),
             F.concat_ws(">", "path", F.col("c").cast("string")).alias("path"),
         )
-        if depth % settle_every == 0:
-            level = settle(level, "hierarchy")
+        level = settle(below, "hierarchy")
         if level.isEmpty():
             return found
         if depth > max_depth:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.spec import SpecError
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tableloom.operators.keys import BROADCAST_LIMIT, estimated_bytes, one_row_per_key, same_key
+from tableloom.session import once
 from tableloom.spec import CHANGE_COLUMNS, CREATED, SpecError, check_columns, choice, type_of
 
 MERGE_TYPES = (
@@ -69,6 +70,7 @@ def upsert(
     rows the source does not have.
     """
     given = source.columns
+    source = once(source, "batch")
     source = one_row_per_key(source.drop(*CHANGE_COLUMNS) if delete is None else source, keys, "merge source")
     gone = None
     if delete is not None:

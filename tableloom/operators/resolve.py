@@ -5,7 +5,8 @@ any size is compared once and linked to its representative. Profiles meet
 
 * as a star around the smallest profile, where they agree on a set of exact or
   soundex comparisons and no fuzzy comparison has to be weighed;
-* through shared rare grams or words (``candidates``), where fuzzy scores count.
+* through shared rare grams or words, or numbers in neighbouring bands
+  (``candidates``), where fuzzy scores or percent differences count.
 
 Rules label the scored pairs; groups are the connected components.
 """
@@ -17,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.functions.text import normalized, similarity
-from tableloom.operators.candidates import LOWEST_FUZZY_FLOOR, similar_texts, similar_word_sets
+from tableloom.operators.candidates import LOWEST_FUZZY_FLOOR, near_values, similar_texts, similar_word_sets
 from tableloom.operators.graph import connected_components
 from tableloom.operators.keys import mark_by_keys
 from tableloom.session import settle
@@ -43,6 +44,8 @@ class MatchSpec:
     agreeing on all comparisons of one set become candidates. By default each
     such comparison is a set of its own. ``fuzzy_floor`` is the fuzzy score
     below which no rule can hold; it is needed to find fuzzy candidates.
+    ``percent_ceiling`` likewise is the percent difference above which no rule
+    can hold; it is needed where numbers are compared and no text is.
     """
 
     comparisons: list[Comparison]
@@ -54,6 +57,7 @@ class MatchSpec:
     secondary_alias: str = "b"
     blocks: list[list[int]] = field(default_factory=list)
     fuzzy_floor: float | None = None
+    percent_ceiling: float | None = None
     fuzzy_needs_exact: bool = True
     word_filter: bool = False
 
@@ -75,6 +79,7 @@ class MatchSpec:
             text(step, "secondary_dataset_alias", "b").strip(),
             [[int(i) for i in names(b, "+")] for b in names(step.get("blocks"))],
             float(floor) if floor else None,
+            float(step["percent_ceiling"]) if step.get("percent_ceiling") else None,
             flag(step.get("only_fuzzy_match_if_one_exact_match"), True),
             flag(step.get("use_ngram_filtering_for_fuzzy_comparisons")),
         )
@@ -147,9 +152,16 @@ def _candidates(spec: MatchSpec, left: DataFrame, right: DataFrame | None) -> Da
     if fuzzy and not spec.word_filter and (spec.fuzzy_floor or 0) < LOWEST_FUZZY_FLOOR:
         raise SpecError(f"fuzzy comparisons need a fuzzy_floor of at least {LOWEST_FUZZY_FLOOR:.2f}")
     found = []
-    if not fuzzy and any(c.kind == "percent_difference" for c in spec.comparisons):
-        raise SpecError("percent_difference needs a fuzzy comparison to find candidates")
-    if not fuzzy:
+    numbers = [i for i, c in enumerate(spec.comparisons) if c.kind == "percent_difference"]
+    if numbers and not fuzzy:
+        if not spec.percent_ceiling or not 0 < spec.percent_ceiling < 100:
+            raise SpecError("percent_difference without a fuzzy comparison needs a percent_ceiling below 100")
+        side = lambda df, i, b: df.select(F.col("rep").alias("id"), b.alias("block"), F.col(f"v{i}").alias("v"))
+        for block in [_block_value(spec, b) for b in blocks] or [F.struct(F.lit(0).alias("b0"))]:
+            for i in numbers:
+                other = None if right is None else side(right, i, block)
+                found.append(near_values(side(left, i, block), other, spec.percent_ceiling))
+    elif not fuzzy:
         found = [_star(left, right, _block_value(spec, b)) for b in blocks]
     elif spec.word_filter and not (spec.fuzzy_needs_exact and blocks):
         for i in fuzzy:

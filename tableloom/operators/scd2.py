@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.operators.keys import broadcast_if_small, one_row_per_key, same_key
 from tableloom.operators.merge import DeleteFlag
+from tableloom.session import once
 from tableloom.spec import is_metadata, type_of
 
 START, END, ACTIVE = "scd_start_date", "scd_end_date", "scd_active"
@@ -46,7 +47,7 @@ def merge_history(
     it becomes: unchanged; closed plus new version; closed by deletion (which
     also takes the batch's values); new key; never-seen key that arrives deleted.
     """
-    source = one_row_per_key(source, keys, "history source")
+    source = one_row_per_key(once(source, "batch"), keys, "history source")
     columns = target.columns + [c for c in source.columns if c not in target.columns]
     types = {c: type_of(target if c in target.columns else source, c) for c in columns}
     given = set(source.columns)

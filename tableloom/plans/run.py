@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,6 +18,7 @@ from tableloom.operators.quality import QualityFailure, run_quality
 from tableloom.operators.scd2 import add_history_columns, backdate_single_versions, merge_history
 from tableloom.plans import control
 from tableloom.plans.steps import Hook, StepContext, apply_steps
+from tableloom.session import scratch
 from tableloom.sources.files import FileSpec, read_changed_files, read_files, read_new_folders
 from tableloom.sources.store import TableStore
 from tableloom.sources.tables import FIRST_MARKS, after_mark, next_mark, read_changes
@@ -135,7 +136,8 @@ def run_table(
     first_run = spec.full_reload or not store.exists(spec.target)
     mark = None if spec.full_reload else mark
     try:
-        result = _run(spark, store, spec, mark, hooks or {}, now, first_run, log_id)
+        with scratch(spark):
+            result = _run(spark, store, spec, mark, hooks or {}, now, first_run, log_id)
     except NoDataFound:
         if first_run:
             raise
@@ -230,3 +232,23 @@ def _log(spark, store, spec: TableSpec, result: RunResult, now: datetime, log_id
     ]
     if notes:
         store.append_rows("log.quality", control.log_rows(spark, notes, control.DQ_LOG))
+
+
+def micro_batches(
+    spark: SparkSession, store: TableStore, spec: TableSpec, hooks: dict[str, Hook] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` handler that runs ``spec`` on each micro-batch once.
+
+    The batch takes the place of the spec's source. Ids of finished batches are
+    kept in a table of their own, so a batch replayed after a failure is skipped.
+    """
+    done = f"{spec.target}_batches"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if store.exists(done) and not store.read(done).filter(F.col("batch_id") == batch_id).isEmpty():
+            return
+        if not batch.isEmpty():
+            run_table(spark, store, replace(spec, source=SourceSpec(function=lambda metadata, session: batch)), hooks=hooks)
+        store.append_rows(done, spark.createDataFrame([(batch_id,)], "batch_id bigint"))
+
+    return handle

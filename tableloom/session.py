@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -51,6 +54,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_OWNED: ContextVar[list[str] | None] = ContextVar("settled_paths", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables settled inside the block when it ends.
+
+    For code that has written its results by then, such as one table's run.
+    """
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settle(df: DataFrame, label: str = "stage", watch: Observation | None = None, *measures: Column) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -60,6 +83,8 @@ def settle(df: DataFrame, label: str = "stage", watch: Observation | None = None
     """
     df = df.observe(watch, *measures) if watch is not None else df
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if (owned := _OWNED.get()) is not None:
+        owned.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

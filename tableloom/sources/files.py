@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -158,6 +160,25 @@ def read_new_folders(
     return read_files(spark, [f"{base.rstrip('/')}/{f}" for f in found], spec), found[-1]
 
 
+def stage(
+    spark: SparkSession, function: Callable[[dict, SparkSession], dict], base: str, at: datetime, metadata: dict | None = None
+) -> dict:
+    """Let a custom function land files in a new time-stamped folder below ``base``.
+
+    The function gets the folder as ``staging_folder``, must write its files
+    directly into it, and returns ``rows_copied`` and ``next_watermark_value``.
+    A retry at the same time overwrites the folder; ``read_new_folders`` picks it up.
+    """
+    folder = f"{base.rstrip('/')}/{at:%Y%m%d%H%M%S}"
+    made = function({**(metadata or {}), "staging_folder": folder}, spark)
+    if missing := {"rows_copied", "next_watermark_value"} - set(made or {}):
+        raise SpecError(f"the staging function did not return {', '.join(sorted(missing))}")
+    nested = list_files(spark, folder).filter(F.element_at(F.split("path", "/"), -2) != folder.rsplit("/", 1)[-1])
+    if int(made["rows_copied"]) > 0 and not nested.isEmpty():
+        raise SpecError("staged files must lie directly in the staging folder")
+    return {**made, "staging_folder": folder}
+
+
 def csv_to_parquet(spark: SparkSession, paths: list[str], spec: FileSpec, out: str) -> DataFrame:
     """Rewrite staged text files as parquet and read that instead; the text stays."""
     read_files(spark, paths, spec).write.mode("overwrite").parquet(out)

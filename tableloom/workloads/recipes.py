@@ -154,6 +154,22 @@ def er_groups(t):
     return resolve.resolve(people(t), _name_spec()).records.select("id", "match_group_id")
 
 
+@query("er_near_balances", """
+WITH p AS (SELECT c_nationkey, c_mktsegment, c_acctbal, min(c_custkey) AS id FROM customer GROUP BY ALL)
+SELECT a.id AS id_a, b.id AS id_b, round(abs((b.c_acctbal - a.c_acctbal) / a.c_acctbal * 100), 6) AS percent FROM p a JOIN p b
+  ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.id < b.id AND a.c_acctbal <> 0 AND abs((b.c_acctbal - a.c_acctbal) / a.c_acctbal * 100) < 4
+""")
+def er_near_balances(t):
+    """Customers of one nation and segment with nearly the same balance."""
+    spec = resolve.MatchSpec(
+        [resolve.Comparison("c_nationkey", "c_nationkey", "exact"), resolve.Comparison("c_mktsegment", "c_mktsegment", "exact"),
+         resolve.Comparison("c_acctbal", "c_acctbal", "percent_difference")],
+        "a_c_acctbal_b_c_acctbal_percent_difference < 4", None, "c_custkey", blocks=[[0, 1]], percent_ceiling=4.0,
+    )
+    pairs = resolve.resolve(t.customer, spec).pairs
+    return pairs.select("id_a", "id_b", F.round("a_c_acctbal_b_c_acctbal_percent_difference", 6).alias("percent"))
+
+
 @query("er_exact_groups", """
 SELECT doc_id AS id, CASE WHEN count(*) OVER (PARTITION BY md5(text)) > 1 THEN min(doc_id) OVER (PARTITION BY md5(text)) END AS match_group_id,
   CASE WHEN count(*) OVER (PARTITION BY md5(text)) > 1 THEN 'Auto_Match' ELSE 'No_Match' END AS match_outcome FROM documents

@@ -12,7 +12,7 @@ from tableloom.operators.merge import DeleteFlag
 from tableloom.operators.quality import QualityFailure
 from tableloom.operators.schema import SchemaDrift
 from tableloom.plans import control
-from tableloom.plans.run import SourceSpec, TableSpec, run_table
+from tableloom.plans.run import SourceSpec, TableSpec, micro_batches, run_table
 from tableloom.sources import files, tables
 from tableloom.sources.files import FileSpec
 from tableloom.sources.store import TableStore, stamp_path, write_output
@@ -223,6 +223,40 @@ def test_dimension_run(spark, store):
     assert as_set(store.read("gold.dim"), "sk", "id") == {(-1, None), (1, 1), (2, 2), (3, 3)}
 
 
+def test_micro_batches_run_once(spark, tmp_path):
+    store, source = TableStore(spark, str(tmp_path / "t")), str(tmp_path / "in")
+    spec = TableSpec("silver.s", SourceSpec(), primary_keys=["id"], checks=[
+        {"Category": "validate_range", "column_name": "id", "max_value": "5", "if_not_compliant": "quarantine", "message": "big"}])
+    handle = micro_batches(spark, store, spec)
+    for low, high in ((0, 4), (3, 8)):
+        spark.range(low, high).write.mode("append").json(source)
+        stream = ingest.stream_files(spark, source, FileSpec("json", schema="id bigint", on_bad_records="drop"))
+        ingest.ingest_available(stream, str(tmp_path / "state"), handle).awaitTermination()
+    handle(spark.range(100), 0)  # a replay of the first batch changes nothing
+    assert as_set(store.read("silver.s"), "id") == {(i,) for i in range(6)}
+    assert as_set(store.read("silver.s_quarantined"), "id") == {(6,), (7,)}
+
+
+def test_custom_staging(spark, tmp_path):
+    def land(metadata, spark):
+        put(tmp_path / "stage" / metadata["staging_folder"].rsplit("/", 1)[-1] / "a.csv", "k\n7\n")
+        return {"rows_copied": 1, "next_watermark_value": "9"}
+
+    made = files.stage(spark, land, str(tmp_path / "stage"), datetime(2024, 1, 2, 3, 4, 5))
+    assert made["staging_folder"].endswith("/20240102030405") and made["next_watermark_value"] == "9"
+    df, mark = files.read_new_folders(spark, str(tmp_path / "stage"), FileSpec("csv"))
+    assert as_set(df, "k") == {("7",)} and mark == "20240102030405"
+    with pytest.raises(SpecError):
+        files.stage(spark, lambda m, s: {}, str(tmp_path / "stage"), datetime(2024, 1, 2))
+
+
+def test_a_run_leaves_no_intermediate_tables(spark, store):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    run_table(spark, store, table_spec())
+    assert set(os.listdir(shared)) == before
+
+
 def test_control_helpers(spark):
     at = datetime(2024, 1, 1)
     row = control.reset_mark(spark, 7, "silver", at, "x").first()
