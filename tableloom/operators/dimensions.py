@@ -136,6 +136,7 @@ def date_dimension(
 
 def calendar(days: DataFrame, key: str = "date_sk", padded_month: bool = True, unknown_row: bool = True) -> DataFrame:
     """Calendar attributes for a frame with one ``Date`` column of distinct days."""
+    # Names and order of the calendar attributes.
     d = F.col("Date")
     number = F.date_format(d, "yyyyMMdd").cast("int")
     month: Column = F.year(d) * 100 + F.month(d) if padded_month else F.concat(F.year(d), F.month(d)).cast("int")

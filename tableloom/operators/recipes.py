@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.operators.keys import mark_by_keys, one_row_per_key, same_key
 from tableloom.operators.numbering import cumulate
+from tableloom.session import once
 
 
 def running_total_with_reset(
@@ -24,7 +25,7 @@ def running_total_with_reset(
     flagged = df.withColumns(
         {"__reset": F.when(F.expr(reset), 1).otherwise(0).cast("bigint"), "__v": F.coalesce(F.col(value), F.lit(0))}
     )
-    segments = cumulate(flagged, keys, sort, sums={"__segment": "__reset", "__all": "__v"})
+    segments = once(cumulate(flagged, keys, sort, sums={"__segment": "__reset", "__all": "__v"}), "segments")
     # The total before a segment is the running sum just ahead of its first row.
     ahead = segments.groupBy(*keys, "__segment").agg(F.min(F.struct(*order, (F.col("__all") - F.col("__v")).alias("b"))).alias("f"))
     starts = ahead.select(*keys, "__segment", F.col("f.b").alias("__before"))

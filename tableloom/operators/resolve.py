@@ -223,12 +223,12 @@ def resolve(primary: DataFrame, spec: MatchSpec, secondary: DataFrame | None = N
     scored = _candidates(spec, left, right).join(side(left, "a"), "id_a").join(
         side(left if right is None else right, "b"), "id_b"
     )
-    scored = scored.select("id_a", "id_b", *[v.alias(k) for k, v in _scores(spec).items()])
+    # Written before the rules look at them: a filter on computed scores would compute them again.
+    scored = settle(scored.select("id_a", "id_b", *[v.alias(k) for k, v in _scores(spec).items()]), "scores")
     label = F.when(F.expr(spec.auto_rule), F.lit(AUTO))
     if spec.review_rule:
         label = label.when(F.expr(spec.review_rule), F.lit(REVIEW))
-    matched = scored.withColumn("match_outcome", label).filter("match_outcome IS NOT NULL")
-    links = settle(matched, "matches")
+    links = scored.withColumn("match_outcome", label).filter("match_outcome IS NOT NULL")
     one_table = right is None
     node = lambda tag, c: F.struct(F.lit("a" if one_table else tag).alias("side"), F.col(c).alias("id"))
     edges = links.filter("id_a <> id_b") if one_table else links

@@ -103,12 +103,22 @@ def read_mixed_files(spark: SparkSession, paths: list[str], spec: FileSpec) -> D
 
 
 def _paths_by_csv_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """First line of each file; the list collected is as long as the list of paths given."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("s"))
-    first = lines.filter("s = 0").groupBy("p").agg(F.first("value").alias("header"))
+    """Files grouped by their first line; only that line of each file is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
     groups: dict[str, list[str]] = {}
-    for row in sorted(first.collect()):
-        groups.setdefault(row["header"], []).append(row["p"])
+    for given in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(given)
+        fs = folder.getFileSystem(conf)
+        for status in fs.listStatus(folder):
+            path = status.getPath()
+            if status.isDirectory() or path.getName().startswith(("_", ".")):
+                continue
+            codec, stream = codecs.getCodec(path), fs.open(path)
+            stream = codec.createInputStream(stream) if codec is not None else stream
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
+            groups.setdefault(reader.readLine(), []).append(path.toString())
+            reader.close()
     return groups
 
 
