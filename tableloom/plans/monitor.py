@@ -190,6 +190,14 @@ def config_and_status(orchestration: DataFrame, primary: DataFrame, log: DataFra
     return out.withColumn("Last_Ingestion_Status", F.coalesce("Last_Ingestion_Status", F.lit(FAILED)))
 
 
+def full_metadata(
+    table_id: int, orchestration: DataFrame, primary: DataFrame, advanced: DataFrame
+) -> dict[str, DataFrame]:
+    """All configuration rows of one table, by control table."""
+    tables = {"orchestration": orchestration, "primary": primary, "advanced": advanced}
+    return {name: df.filter(F.col("Table_ID") == table_id) for name, df in tables.items()}
+
+
 def trigger_overview(orchestration: DataFrame) -> DataFrame:
     """Steps and tables per trigger."""
     return orchestration.groupBy("Trigger_Name").agg(

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableloom.operators.schema import check_contract
@@ -123,11 +124,19 @@ def _paths_by_csv_header(spark: SparkSession, paths: list[str]) -> dict[str, lis
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Path and modification time of the files below ``path``; contents are not read."""
+    """Path and modification time of the files below ``path``; contents are not read.
+
+    A path that does not exist has no files.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select("path", "modificationTime")
+    try:
+        return reader.load(path).select("path", "modificationTime")
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, modificationTime timestamp")
 
 
 def read_changed_files(

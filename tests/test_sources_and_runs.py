@@ -73,6 +73,13 @@ def test_changed_files_are_read_once(spark, tmp_path):
     assert as_set(df, "k") == {("2",)} and newer > mark
 
 
+def test_a_missing_folder_has_no_files(spark, tmp_path):
+    gone = str(tmp_path / "gone")
+    assert files.list_files(spark, gone).isEmpty()
+    assert files.read_changed_files(spark, gone, FileSpec("csv")) == (None, files.FIRST_MARK)
+    assert files.read_new_folders(spark, gone, FileSpec("csv")) == (None, "-1")
+
+
 def test_new_folders_by_name(spark, tmp_path):
     for name in ("20240101000000", "20240102000000", "Archived_1/20240103000000"):
         put(tmp_path / name / "x.csv", f"k\n{name[-14:-6]}\n")
