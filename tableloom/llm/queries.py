@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import curriculum, secret_links, sentencepiece_table, token_counts, toxicity
+from tableloom.llm import curriculum, secret_links, sentencepiece_table, token_counts, topk, toxicity
 from tableloom.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,8 +99,8 @@ def _secrets_sql() -> str:
     kinds = {**secret_links.KINDS, **secret_links.WEAK}
     found = "\n  UNION ALL ".join(
         f"SELECT rid, '{kind}' AS kind, {i} AS ord, '{role}' AS role, {least} AS least, "
-        f"unnest(range(len(m))) AS at, unnest(list_transform(string_split_regex(body, '{quoted(p)}')[1:len(m)], x -> length(x))) AS gap, "
-        f"unnest(list_transform(m, x -> length(x))) AS len, unnest(list_transform(v, x -> length(x))) AS counted FROM "
+        f"unnest(range(len(m))) AS nth, unnest(list_transform(string_split_regex(body, '{quoted(p)}')[1:len(m)], lambda x: length(x))) AS gap, "
+        f"unnest(list_transform(m, lambda x: length(x))) AS len, unnest(list_transform(v, lambda x: length(x))) AS counted FROM "
         f"(SELECT rid, body, regexp_extract_all(body, '{quoted(p)}') AS m, regexp_extract_all(body, '{quoted(p)}', {group}) AS v FROM d)"
         for i, (kind, (p, group, least, role)) in enumerate(kinds.items())
     )
@@ -115,7 +115,7 @@ def _secrets_sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
 m AS ({found}),
-e AS (SELECT *, sum(gap + len) OVER (PARTITION BY rid, kind ORDER BY at)::BIGINT AS stop FROM m),
+e AS (SELECT *, sum(gap + len) OVER (PARTITION BY rid, kind ORDER BY nth)::BIGINT AS stop FROM m),
 parts AS (SELECT rid, kind, ord, role, stop - len AS start, stop FROM e WHERE counted >= least),
 base AS (SELECT * FROM parts WHERE kind IN ({listed})),
 weak AS (SELECT * FROM parts w WHERE kind NOT IN ({listed}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = w.rid AND b.start = w.start) AND ({met})),
@@ -139,3 +139,24 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op9_top_k", TOPK_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    return topk.top_k(table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0)
