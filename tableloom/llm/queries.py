@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import curriculum, secret_links, sentencepiece_table, token_counts, topk, toxicity
+from tableloom.llm import curriculum, fragment_join, secret_links, sentencepiece_table, token_counts, topk, toxicity
 from tableloom.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +160,27 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     return topk.top_k(table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0)
+
+
+LINKS_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+  FROM d
+), e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+o AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id AND a.n * 10 >= b.n * 9 AND b.n * 10 >= a.n * 9 GROUP BY 1, 2
+), l AS (SELECT a, b FROM o WHERE 100 * k >= 90 * (na + nb - k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, m.component_id
+FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) m ON m.a = s.doc_id
+"""
+
+
+@query("op4_fragment_join", LINKS_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return fragment_join.components(table(spark, folder, "documents"))
