@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import curriculum, fragment_join, secret_links, sentencepiece_table, token_counts, topk, toxicity
+from tableloom.llm import curriculum, fragment_join, media, secret_links, sentencepiece_table, token_counts, topk, toxicity
 from tableloom.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,3 +184,8 @@ FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) m ON m.a = s.do
 @query("op4_fragment_join", LINKS_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return fragment_join.components(table(spark, folder, "documents"))
+
+
+@query("op7_progressive_jpeg")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return media.media_digest(table(spark, folder, "documents"))
