@@ -172,7 +172,7 @@ class Labeler:
             i, start, stop = place[n]
             if not any(s < stop and e > start for _, s, e in base[i]):
                 kind, before = "crf_" + KINDS[label[n] - 1], out[i][-1] if out[i] else ("", 0, 0)
-                if before[0] == kind and 0 <= start - before[2] <= 1:
+                if before[0] == kind and 0 <= start - before[2] <= 3:
                     out[i][-1] = (kind, before[1], stop)  # tokens of one mention stand side by side
                 else:
                     out[i].append((kind, start, stop))
