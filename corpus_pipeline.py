@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableloom.llm import curriculum, secret_links, sentencepiece_table, toxicity
+from tableloom.llm import curriculum, fragment_join, secret_links, sentencepiece_table, toxicity
 from tableloom.llm.queries import table, tokenizer
 from tableloom.session import apply_settings, shared_folder
 
@@ -19,6 +19,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model, out="_toxic").filter("_toxic < 0.5").select(*COLUMNS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class linked by four fifths of their five-word shingles."""
+    return fragment_join.one_of_each(docs.select(*COLUMNS))
+
+
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret and every linked weak part masked."""
     clean = secret_links.redact(docs.select(*COLUMNS))
@@ -38,6 +43,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
     ("secret scans", hide_secrets),
     ("mixing sources to target weights", mix_sources),
     ("SentencePiece encoding and decoding", to_tokens),

@@ -28,7 +28,7 @@ MARK = "▁"
 #: Entries of the broadcast table and the longest chunk it may hold, in bytes: at most some tens of megabytes.
 TABLE_ENTRIES, CHUNK_BYTES = 200_000, 48
 #: The tail a task remembers is dropped when it reaches this many chunks.
-TAIL_ENTRIES = 200_000
+TAIL_ENTRIES = 400_000
 _SEP = "\x1e"
 
 

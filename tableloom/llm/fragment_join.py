@@ -34,7 +34,7 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tableloom.llm.batches import pieces
 from tableloom.llm.shingles import Shingler, mix
@@ -231,5 +231,18 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     return named.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: str = "0.8") -> DataFrame:
+    """``docs`` with one row of each class of linked documents: that of the smallest id.
+
+    Documents without words stay; of rows alike in id and text one stays; rows without an
+    id stay together, when one of them is the first of its class.
+    """
+    found = components(docs, key, text, words, threshold)
+    first = found.filter(F.col("component_id").eqNullSafe(F.col(key))).select(F.col(key).alias("_first")).distinct()
+    kept = docs.join(first, F.col(key).eqNullSafe(F.col("_first")), "left_semi")
+    alike = Window.partitionBy(key, F.xxhash64(text)).orderBy(*[c for c in docs.columns if c not in (key, text)])
+    return kept.withColumn("_nth", F.row_number().over(alike)).filter("_nth = 1").drop("_nth")
+
+
 def _partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

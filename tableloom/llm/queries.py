@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import curriculum, fragment_join, media, secret_links, sentencepiece_table, skip_chain, token_counts, topk, toxicity
+from tableloom.llm import curriculum, fragment_join, media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, topk, toxicity
 from tableloom.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +194,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_skip_chain")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return skip_chain.private_digest(table(spark, folder, "documents"))
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, folder, "documents"))
