@@ -117,5 +117,6 @@ def in_training_order(mixed: DataFrame, repeat: bool = False, schedules: Sequenc
         demand = (F.col("_start") + F.col("_copy") * F.col("source_size")) / F.greatest("target", F.lit(1.0))
         at = F.coalesce(*[F.when(F.col("_turn") == i, when_reached(demand, knots)) for i, knots in enumerate(schedules)])
         mixed = many.withColumn("position", at).drop("_copy")
-    rows = mixed.drop("_turn", "_start")
-    return rows.repartitionByRange(F.col("position").asc_nulls_last()).sortWithinPartitions(F.col("position").asc_nulls_last())
+    # documents that the mix leaves out have no position; their place on the tape spreads them
+    order = [F.col("position").asc_nulls_last(), F.col("_start")]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_turn", "_start")
