@@ -64,12 +64,14 @@ def _digest() -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), total(one).alias("one"), total(two).alias("two")]
 
 
-def flatten_hierarchy(nodes: DataFrame, key: str, parent: str, max_depth: int = 20) -> DataFrame:
+def flatten_hierarchy(nodes: DataFrame, key: str, parent: str, max_depth: int = 20, keep_unrooted: bool = False) -> DataFrame:
     """Every node with its root, depth and path, level by level from the roots.
 
     Each level is one equi-join of the frontier with the nodes and is written to
     the shared folder, so that a level is computed once and plans stay short. A
-    hierarchy deeper than ``max_depth`` (a cycle, for instance) is an error.
+    hierarchy deeper than ``max_depth`` is an error. Nodes that no root reaches, on or
+    below a cycle or a missing parent, are an error too, or with ``keep_unrooted``
+    come back without root, depth and path.
     """
     k, p = F.col(key), F.col(parent)
     level = nodes.filter(p.isNull()).select(
@@ -85,10 +87,18 @@ def flatten_hierarchy(nodes: DataFrame, key: str, parent: str, max_depth: int =
         )
         level = settle(below, "hierarchy")
         if level.isEmpty():
-            return found
+            break
         if depth > max_depth:
             raise SpecError(f"the hierarchy is deeper than {max_depth} levels")
         found = found.unionByName(level)
+    lost = nodes.select(k.alias("node")).join(found.select("node"), "node", "left_anti")
+    n, one = lost.agg(F.count(F.lit(1)), F.min("node")).first()
+    if n and not keep_unrooted:
+        raise SpecError(f"{n} nodes hang on no root (a cycle or a missing parent), '{one}' for one")
+    if n:
+        none = lambda kind: F.lit(None).cast(kind)
+        kinds = dict(found.dtypes)
+        found = found.unionByName(lost.select("node", *[none(kinds[c]).alias(c) for c in ("root", "depth", "path")]))
     return found
 
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tableloom.operators.keys import BROADCAST_LIMIT, estimated_bytes, one_row_per_key, same_key
+from tableloom.operators.keys import BROADCAST_LIMIT, estimated_bytes, mark_by_keys, one_row_per_key, same_key
 from tableloom.session import once
 from tableloom.spec import CHANGE_COLUMNS, CREATED, SpecError, check_columns, choice, type_of
 
@@ -121,11 +121,11 @@ def merge_and_delete(target: DataFrame, source: DataFrame, keys: list[str], dele
 
 
 def merge_mark_unmatched(
-    target: DataFrame, source: DataFrame, keys: list[str], delete: DeleteFlag, **options
+    target: DataFrame, source: DataFrame, keys: list[str], delete: DeleteFlag, given_flags: bool = False, **options
 ) -> DataFrame:
-    """Source rows are live; target rows the source no longer has are flagged."""
+    """Source rows are live (or as flagged already); target rows the source no longer has are flagged."""
     dtype = type_of(target, delete.column)
-    live = source.withColumn(delete.column, F.lit(None).cast(dtype))
+    live = source.withColumn(delete.column, F.col(f"`{delete.column}`").cast(dtype) if given_flags else F.lit(None).cast(dtype))
     def marked(c: str) -> Column:
         return delete.literal().cast(dtype) if c == delete.column else F.col(f"t.`{c}`")
     return upsert(target, live, keys, unmatched=marked, **options)
@@ -191,6 +191,64 @@ def latest_per_key(source: DataFrame, keys: list[str], batch_columns: list[str])
     return joined.select(*[F.col("s.__born" if c == CREATED else f"t.`{c}`").alias(c) for c in last.columns])
 
 
+def last_batch_live(source: DataFrame, keys: list[str], batch_columns: list[str], delete: DeleteFlag) -> DataFrame:
+    """Net effect of mark-unmatched batches: keys of the last batch are live, all earlier ones are flagged."""
+    newest = source.agg(F.max(F.struct(*[F.col(f"`{c}`") for c in batch_columns]))).scalar()
+    kind = type_of(source, delete.column) if delete.column in source.columns else "string"
+    live = F.struct(*[F.col(f"`{c}`") for c in batch_columns]) == newest
+    return latest_per_key(source, keys, batch_columns).withColumn(
+        delete.column, F.when(live, F.lit(None)).otherwise(delete.literal().cast(kind))
+    )
+
+
+def net_effect(
+    target: DataFrame, source: DataFrame, keys: list[str], batch_columns: list[str], delete: DeleteFlag
+) -> tuple[DataFrame, DataFrame]:
+    """Target and source for one ``merge_and_delete`` that does what one merge per batch would.
+
+    The ordered batches of a key are folded once for a key that the target has and once for one that
+    it has not: a flagged row removes a present key, any other row sets its values, and a row
+    for an absent key begins it anew. Keys removed and begun again leave the target
+    first, so that they get a new creation time. A key has one row per batch, so a fold is as long as its batches.
+    """
+    source = one_row_per_key(once(source, "batches"), [*keys, *batch_columns], "merge source")
+    row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
+    item = F.struct(F.struct(*[F.col(f"`{c}`") for c in batch_columns]).alias("o"), delete.holds(F.col(f"`{delete.column}`")).alias("gone"), row.alias("row"))
+    grouped = source.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    kind = f"struct<live:boolean,fresh:boolean,row:{source.select(row.alias('r')).schema['r'].dataType.simpleString()},born:{_born_type(source)}>"
+    born = lambda x: x["row"][CREATED] if CREATED in source.columns else F.lit(None).cast("timestamp")
+
+    def fold(present: bool) -> Column:
+        start = F.struct(F.lit(present).alias("live"), F.lit(False).alias("fresh"), F.lit(None).alias("row"), F.lit(None).alias("born")).cast(kind)
+        gone = F.struct(F.lit(False).alias("live"), F.lit(False).alias("fresh"), F.lit(None).alias("row"), F.lit(None).alias("born")).cast(kind)
+
+        def step(state: Column, x: Column) -> Column:
+            begun = F.struct(F.lit(True).alias("live"), F.lit(True).alias("fresh"), x["row"].alias("row"), born(x).alias("born")).cast(kind)
+            kept = F.struct(F.lit(True).alias("live"), state["fresh"].alias("fresh"), x["row"].alias("row"), state["born"].alias("born")).cast(kind)
+            return F.when(state["live"] & x["gone"], gone).when(state["live"], kept).otherwise(begun)
+
+        return F.aggregate("items", start, step)
+
+    have = target.select(*keys).distinct().withColumn("__have", F.lit(True))
+    known = mark_by_keys(grouped, keys, have)
+    state = known.withColumn("__s", F.when(F.col("__have"), fold(True)).otherwise(fold(False)))
+    last = F.element_at("items", -1)
+    state = once(state.select(*keys, "__have", "__s", last["row"].alias("__last")), "net")
+    values = lambda s: [(F.col(f"{s}.born") if c == CREATED and s == "__s" else F.col(f"{s}.row.`{c}`" if s == "__s" else f"{s}.`{c}`")).alias(c) for c in source.columns]
+    again = state.filter("__s.live AND __s.fresh").select(*values("__s"))
+    updated = state.filter("__s.live AND NOT __s.fresh").select(*[F.col(f"__s.row.`{c}`").alias(c) for c in source.columns])
+    removed = state.filter("NOT __s.live AND __have").select(*values("__last")).withColumn(
+        delete.column, delete.literal().cast(type_of(source, delete.column))
+    )
+    reborn = state.filter("__have AND __s.live AND __s.fresh").select(*keys)
+    left = target.alias("t").join(reborn.alias("s"), same_key("t", "s", keys), "left_anti")
+    return left, again.unionByName(updated).unionByName(removed)
+
+
+def _born_type(source: DataFrame) -> str:
+    return type_of(source, CREATED).simpleString() if CREATED in source.columns else "timestamp"
+
+
 def change_feed(
     previous: DataFrame, current: DataFrame, keys: list[str], version: int, at: Column
 ) -> DataFrame:
@@ -199,9 +257,9 @@ def change_feed(
     Deleted rows carry their last values; unchanged rows do not appear. Rows are
     compared column by column, so there are no hash collisions.
     """
-    columns = current.columns
+    previous, current, columns = _aligned(previous, current)
     rest = [c for c in columns if c not in keys]
-    p = previous.select(*columns).withColumn("__p", F.lit(True)).alias("t")
+    p = previous.withColumn("__p", F.lit(True)).alias("t")
     c = current.withColumn("__c", F.lit(True)).alias("s")
     both = p.join(c, same_key("t", "s", keys), "full_outer")
     same = F.lit(True)
@@ -248,7 +306,12 @@ def apply_merge(
         if not replace_column:
             raise SpecError("replace_where needs a column")
         return replace_where(target, source, replace_column)
-    if batch_columns:
+    if batch_columns and kind == "merge_and_delete" and delete is not None:
+        target, source = net_effect(target, source, keys, batch_columns, delete)
+    elif batch_columns and kind == "merge_mark_unmatched_deleted" and delete is not None:
+        source = last_batch_live(source, keys, batch_columns, delete)
+        return merge_mark_unmatched(target, source, keys, delete, given_flags=True, **options)
+    elif batch_columns:
         source = latest_per_key(source, keys, batch_columns)
     if kind == "merge":
         return merge(target, source, keys, **options)

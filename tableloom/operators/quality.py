@@ -97,6 +97,7 @@ class _Build:
     lookup: Callable[[str], DataFrame]
     baseline: DataFrame | None
     now: Column
+    step: int = 0
 
     def col(self, name: str) -> Column:
         return F.col(f"`{name}`")
@@ -122,9 +123,9 @@ def _referential(b: _Build, step: dict, action: str, message: str) -> list[Check
     known = b.lookup(text(step, "reference_table_name")).select(F.col(f"`{theirs}`").alias("__known")).distinct()
     used = b.df.select(b.col(mine).alias("__used")).distinct()
     missing = used.join(known, F.col("__used") == F.col("__known"), "left_anti")
-    tag = f"__missing_{mine}"
+    tag = f"__missing_{b.step}"
     facts = missing.filter("__used IS NOT NULL").select(F.col("__used").alias(mine), F.lit(True).alias(tag))
-    b.df = b.df.join(facts, mine, "left").select("*") if tag not in b.df.columns else b.df
+    b.df = b.df.join(facts, mine, "left").select("*")
     lost = F.max(missing.agg(F.count(F.lit(1))).scalar())
     fails = F.coalesce(F.col(tag), F.lit(False))
     return [Check("validate_referential_integrity", action, message, fails=fails, count=F.coalesce(lost, F.lit(0)))]
@@ -141,9 +142,8 @@ def _not_null(b: _Build, step: dict, action: str, message: str) -> list[Check]:
 def _unique(b: _Build, step: dict, action: str, message: str) -> list[Check]:
     columns = names(text(step, "column_name"))
     check_columns(b.df, columns, "validate_unique")
-    tag = f"__copies_{'_'.join(columns)}"
-    if tag not in b.df.columns:
-        b.df = mark_by_keys(b.df, columns, duplicate_keys(b.df, columns, tag))
+    tag = f"__copies_{b.step}"
+    b.df = mark_by_keys(b.df, columns, duplicate_keys(b.df, columns, tag))
     return [Check("validate_unique", action, message, fails=F.col(tag).isNotNull())]
 
 
@@ -228,7 +228,7 @@ def _anomaly(b: _Build, step: dict, action: str, message: str) -> list[Check]:
             out.append(Check("validate_anomaly", action, label, c, fails=F.lit(False), skip=F.lit(gone)))
             continue
         history = b.baseline.select(F.col(f"`{c}`").cast("double").alias("v")).filter("v IS NOT NULL")
-        tag = f"__stats_{method}_{c}"
+        tag = f"__stats_{b.step}_{c}"
         if method == "z_score":
             stats = history.agg(F.count("v").alias("n"), F.avg("v").alias("mid"), F.stddev_samp("v").alias("spread"))
             mid, spread = F.col(f"{tag}.mid"), F.col(f"{tag}.spread")
@@ -314,7 +314,7 @@ def run_quality(
     first = len(checks)
     passing = df.filter(~held) if gates else df
     build = _Build(passing, lookup or _no_lookup, baseline, now if now is not None else F.current_timestamp())
-    for step in steps:
+    for build.step, step in enumerate(steps):
         category = choice(text(step, "Category"), CHECKS, "quality check")
         action = choice(text(step, "if_not_compliant", "warn"), ACTIONS, "if_not_compliant")
         checks += CHECKS[category](build, step, action, text(step, "message"))

@@ -1,12 +1,15 @@
 """Entity resolution: which records denote the same thing.
 
 Records with equal compared values are one *profile*, so a group of copies of
-any size is compared once and linked to its representative. Profiles meet
+any size is compared once and linked to its representative. Which profiles meet
+follows from the rules: each smallest set of agreeing comparisons that makes a rule
+true (``ways``) is a way to match, and profiles meet
 
-* as a star around the smallest profile, where they agree on a set of exact or
-  soundex comparisons and no fuzzy comparison has to be weighed;
+* as a star around the smallest profile, where agreeing on exact or soundex
+  comparisons alone makes the rule true;
 * through shared rare grams or words, or numbers in neighbouring bands
-  (``candidates``), where fuzzy scores or percent differences count.
+  (``candidates``), within the exact and soundex agreements of that way, where it
+  needs fuzzy scores or percent differences.
 
 Rules label the scored pairs; groups are the connected components.
 """
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tableloom.functions.text import normalized, similarity
 from tableloom.operators.candidates import LOWEST_FUZZY_FLOOR, near_values, similar_texts, similar_word_sets
@@ -26,7 +29,7 @@ from tableloom.spec import SpecError, check_columns, choice, flag, names, text
 
 KINDS = ("exact", "soundex", "fuzzy", "percent_difference")
 AUTO, REVIEW, NONE = "Auto_Match", "Match_For_Manual_Review", "No_Match"
-WORD_FLOOR = 0.7  # a Jaccard distance of 0.3
+MOST_COMPARISONS = 12
 
 
 @dataclass(frozen=True)
@@ -40,10 +43,10 @@ class Comparison:
 class MatchSpec:
     """What to compare and how to decide.
 
-    ``blocks`` lists sets of exact/soundex comparisons (by position); profiles
-    agreeing on all comparisons of one set become candidates. By default each
-    such comparison is a set of its own. ``fuzzy_floor`` is the fuzzy score
-    below which no rule can hold; it is needed to find fuzzy candidates.
+    Exact and soundex scores are 1.0 or 0.0. ``blocks`` lists sets of exact/soundex
+    comparisons (by position) on one of which candidates must agree besides what a rule asks for.
+    ``fuzzy_floor`` is the fuzzy score below which no rule counts it as agreement; it is needed to find
+    fuzzy candidates, and with ``word_filter`` so is ``word_floor``, the least share of common words.
     ``percent_ceiling`` likewise is the percent difference above which no rule
     can hold; it is needed where numbers are compared and no text is.
     """
@@ -60,6 +63,7 @@ class MatchSpec:
     percent_ceiling: float | None = None
     fuzzy_needs_exact: bool = True
     word_filter: bool = False
+    word_floor: float | None = None
 
     @staticmethod
     def parse(step: dict) -> MatchSpec:
@@ -82,6 +86,7 @@ class MatchSpec:
             float(step["percent_ceiling"]) if step.get("percent_ceiling") else None,
             flag(step.get("only_fuzzy_match_if_one_exact_match"), True),
             flag(step.get("use_ngram_filtering_for_fuzzy_comparisons")),
+            float(step["word_floor"]) if step.get("word_floor") else None,
         )
 
     def score_name(self, c: Comparison) -> str:
@@ -145,39 +150,61 @@ def _fuzzy_items(df: DataFrame, i: int, block: Column) -> DataFrame:
     return df.select(F.col("rep").alias("id"), block.alias("block"), cleaned(F.col(f"v{i}").cast("string")).alias("t"))
 
 
+def ways(spark: SparkSession, spec: MatchSpec) -> list[frozenset[int]]:
+    """The smallest sets of agreeing comparisons that make one of the rules true.
+
+    The rules are asked, not read: a table with one row for each set of agreements has the best score for
+    what agrees and the worst for what does not, and Spark evaluates the rules over it.
+    """
+    n = len(spec.comparisons)
+    if n > MOST_COMPARISONS:
+        raise SpecError(f"entity_resolution: more than {MOST_COMPARISONS} comparisons")
+    agree = lambda i: F.col("id").bitwiseAND(F.lit(1 << i)) != 0
+    worst = {"percent_difference": 1e300}
+    best = {"percent_difference": 0.0}
+    scores = [
+        F.when(agree(i), F.lit(best.get(c.kind, 1.0))).otherwise(F.lit(worst.get(c.kind, 0.0))).alias(spec.score_name(c))
+        for i, c in enumerate(spec.comparisons)
+    ]
+    grid = spark.range(1 << n).select("id", *scores)
+    found: set[frozenset[int]] = set()
+    for rule in filter(None, (spec.auto_rule, spec.review_rule)):
+        true = {r.id for r in grid.filter(F.expr(rule)).select("id").collect()}
+        if any(m | 1 << i not in true for m in true for i in range(n)):
+            raise SpecError(f"entity_resolution: in '{rule}' agreement speaks against a match")
+        if 0 in true:
+            raise SpecError(f"entity_resolution: '{rule}' holds for records that agree on nothing")
+        found |= {frozenset(i for i in range(n) if m >> i & 1) for m in true if not any(m & ~(1 << i) in true for i in range(n) if m >> i & 1)}
+    return sorted(found, key=sorted)
+
+
 def _candidates(spec: MatchSpec, left: DataFrame, right: DataFrame | None) -> DataFrame:
-    fuzzy = [i for i, c in enumerate(spec.comparisons) if c.kind == "fuzzy"]
-    equal = [i for i, c in enumerate(spec.comparisons) if c.kind in ("exact", "soundex")]
-    blocks = spec.blocks or [[i] for i in equal]
-    if fuzzy and not spec.word_filter and (spec.fuzzy_floor or 0) < LOWEST_FUZZY_FLOOR:
-        raise SpecError(f"fuzzy comparisons need a fuzzy_floor of at least {LOWEST_FUZZY_FLOOR:.2f}")
-    found = []
-    numbers = [i for i, c in enumerate(spec.comparisons) if c.kind == "percent_difference"]
-    if numbers and not fuzzy:
-        if not spec.percent_ceiling or not 0 < spec.percent_ceiling < 100:
-            raise SpecError("percent_difference without a fuzzy comparison needs a percent_ceiling below 100")
-        side = lambda df, i, b: df.select(F.col("rep").alias("id"), b.alias("block"), F.col(f"v{i}").alias("v"))
-        for block in [_block_value(spec, b) for b in blocks] or [F.struct(F.lit(0).alias("b0"))]:
-            for i in numbers:
-                other = None if right is None else side(right, i, block)
-                found.append(near_values(side(left, i, block), other, spec.percent_ceiling))
-    elif not fuzzy:
-        found = [_star(left, right, _block_value(spec, b)) for b in blocks]
-    elif spec.word_filter and not (spec.fuzzy_needs_exact and blocks):
-        for i in fuzzy:
-            side = lambda df: df.select(F.col("rep").alias("id"), cleaned(F.col(f"v{i}")).alias("t"))  # noqa: E731, B023
-            pairs = similar_word_sets(side(left), None if right is None else side(right), "t", WORD_FLOOR)
-            found.append(pairs.select("id_a", "id_b"))
-    else:
-        wanted = [_block_value(spec, b) for b in blocks] if spec.fuzzy_needs_exact and blocks else [F.struct(F.lit(0).alias("b0"))]
-        floor = spec.fuzzy_floor if spec.fuzzy_floor else WORD_FLOOR
-        for block in wanted:
-            for i in fuzzy:
-                a = _fuzzy_items(left, i, block)
-                b = None if right is None else _fuzzy_items(right, i, block)
-                found.append(similar_texts(a, b, floor))
-    if not found:
-        raise SpecError("entity_resolution: an exact, soundex or fuzzy comparison is needed to find candidates")
+    kinds = [c.kind for c in spec.comparisons]
+    equal = [i for i, k in enumerate(kinds) if k in ("exact", "soundex")]
+    found, done = [], set()
+    everywhere = F.struct(F.lit(0).alias("b0"))
+    for way in ways(left.sparkSession, spec):
+        agreed = [i for i in sorted(way) if i in equal]
+        fuzzy = [i for i in sorted(way) if kinds[i] == "fuzzy"]
+        numbers = [i for i in sorted(way) if kinds[i] == "percent_difference"]
+        narrowed = [sorted({*agreed, *b}) for b in spec.blocks] or [agreed]
+        if fuzzy and spec.fuzzy_needs_exact and equal and not agreed and not spec.blocks:
+            narrowed = [[i] for i in equal]
+        for block in narrowed:
+            at = (tuple(block), tuple(fuzzy[:1]), tuple(numbers[:1] if not fuzzy else ()))
+            if at in done:
+                continue
+            done.add(at)
+            value = _block_value(spec, block) if block else everywhere
+            if fuzzy:
+                found.append(_fuzzy_candidates(spec, left, right, value, fuzzy[0], bool(block)))
+            elif numbers:
+                if not spec.percent_ceiling or not 0 < spec.percent_ceiling < 100:
+                    raise SpecError("percent_difference without a fuzzy comparison needs a percent_ceiling below 100")
+                side = lambda df: df.select(F.col("rep").alias("id"), value.alias("block"), F.col(f"v{numbers[0]}").alias("v"))  # noqa: E731, B023
+                found.append(near_values(side(left), None if right is None else side(right), spec.percent_ceiling))
+            else:
+                found.append(_star(left, right, value))
     if right is None:  # a profile with copies is compared with itself
         own = left.filter("copies > 1")
         found.append(own.select(F.col("rep").alias("id_a"), F.col("rep").alias("id_b")))
@@ -187,14 +214,26 @@ def _candidates(spec: MatchSpec, left: DataFrame, right: DataFrame | None) -> Da
     return out.distinct()
 
 
+def _fuzzy_candidates(spec: MatchSpec, left: DataFrame, right: DataFrame | None, block: Column, i: int, narrowed: bool) -> DataFrame:
+    """Profiles of one block whose texts may be similar enough; words stand for letters where asked for and nothing narrows."""
+    if spec.word_filter and not narrowed:
+        if spec.word_floor is None:
+            raise SpecError("filtering fuzzy comparisons by words needs a word_floor")
+        side = lambda df: df.select(F.col("rep").alias("id"), cleaned(F.col(f"v{i}").cast("string")).alias("t"))
+        return similar_word_sets(side(left), None if right is None else side(right), "t", spec.word_floor).select("id_a", "id_b")
+    if (spec.fuzzy_floor or 0) < LOWEST_FUZZY_FLOOR:
+        raise SpecError(f"fuzzy comparisons need a fuzzy_floor of at least {LOWEST_FUZZY_FLOOR:.2f}")
+    return similar_texts(_fuzzy_items(left, i, block), None if right is None else _fuzzy_items(right, i, block), spec.fuzzy_floor)
+
+
 def _scores(spec: MatchSpec) -> dict[str, Column]:
     out = {}
     for i, c in enumerate(spec.comparisons):
         a, b = F.col(f"a{i}"), F.col(f"b{i}")
         if c.kind == "exact":
-            value = F.coalesce(a == b, F.lit(False))
+            value = F.coalesce(a == b, F.lit(False)).cast("double")
         elif c.kind == "soundex":
-            value = F.coalesce(F.soundex(a) == F.soundex(b), F.lit(False))
+            value = F.coalesce(F.soundex(a) == F.soundex(b), F.lit(False)).cast("double")
         elif c.kind == "fuzzy":
             value = similarity(a, b)
         else:

@@ -38,7 +38,7 @@ def merge_history(
     ts: str,
     delete: DeleteFlag | None = None,
     surrogate: str | None = None,
-    mark_column: str | None = None,
+    mark_columns: list[str] | None = None,
 ) -> DataFrame:
     """Target after the batch.
 
@@ -52,7 +52,7 @@ def merge_history(
     types = {c: type_of(target if c in target.columns else source, c) for c in columns}
     given = set(source.columns)
     watched = compared_columns(
-        [c for c in source.columns if c in target.columns], keys, [surrogate, ts, mark_column], delete
+        [c for c in source.columns if c in target.columns], keys, [surrogate, ts, *(mark_columns or [])], delete
     )
     active = target.filter(F.col(ACTIVE) == 1).withColumn("__t", F.lit(True))
     both = active.alias("t").join(
@@ -84,8 +84,8 @@ def merge_history(
     taken = version(lambda c: new(c) if c in given else old(c), started, at, 0)
     stillborn = version(new, at, at, 0)
     rows = (
-        F.when(in_t & (~in_s | ~differs), F.array(keep))
-        .when(in_t & gone, F.array(taken))
+        F.when(in_t & in_s & gone, F.array(taken))
+        .when(in_t & (~in_s | ~differs), F.array(keep))
         .when(in_t, F.array(closed, opened))
         .when(gone, F.array(stillborn))
         .otherwise(F.array(opened))

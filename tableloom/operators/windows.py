@@ -111,6 +111,10 @@ def _oversized(df: DataFrame, columns: list[WindowColumn], ranges: int | None) -
             df = _first(once(df, "split"), w)
         elif w.order:
             df = _split(once(df, "split"), w.function, w.output, w.keys, w.order, w.column, ranges)
+        # sums of sums are wider than a plain window's sum; a column keeps its type however large a group grows
+        plain = df.select(w.plain().alias("x")).schema["x"].dataType
+        if w.keys and df.schema[w.output].dataType != plain:
+            df = df.withColumn(w.output, F.col(f"`{w.output}`").cast(plain))
     return df
 
 

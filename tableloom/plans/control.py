@@ -163,7 +163,7 @@ def find_datastore(datastores: DataFrame, name: str) -> DataFrame:
     """The datastore of that name (any case), or an error naming the valid ones."""
     hit = datastores.filter(F.lower("Datastore_Name") == name.lower())
     if hit.isEmpty():
-        known = [r[0] for r in datastores.select("Datastore_Name").distinct().orderBy("Datastore_Name").limit(50).collect()]
+        known = [r[0] for r in datastores.select("Datastore_Name").distinct().orderBy("Datastore_Name").collect()]
         raise SpecError(f"datastore '{name}' not found; available: {', '.join(known) or '(none)'}")
     return hit
 

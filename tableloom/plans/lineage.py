@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, functions as F
 
 from tableloom.session import settle
@@ -64,6 +66,10 @@ def depths(edge: DataFrame, max_depth: int = 30) -> DataFrame:
         if depth > max_depth:
             raise SpecError(f"lineage is deeper than {max_depth} hops; is there a cycle?")
         found = found.unionByName(level)
+    tables = links.select(F.col("source").alias("node")).union(links.select("target")).distinct()
+    lost = tables.join(found.select("node").distinct(), "node", "left_anti").agg(F.count(F.lit(1)), F.min("node")).first()
+    if lost[0]:
+        raise SpecError(f"{lost[0]} tables lie on or below a cycle, '{lost[1]}' for one")
     return found.groupBy("node").agg(F.max(F.struct("depth", "path")).alias("m")).select("node", "m.depth", "m.path")
 
 
@@ -73,24 +79,27 @@ def records(edge: DataFrame, depth: DataFrame) -> DataFrame:
     return edge.join(at, "target", "left")
 
 
-def upstream(edge: DataFrame, table: str, max_depth: int = 30) -> DataFrame:
+def upstream(edge: DataFrame, table: str, max_depth: int | None = None) -> DataFrame:
     """All tables that feed ``table``, with their least distance."""
     return _reach(edge.select(F.col("target").alias("here"), F.col("source").alias("next")), table, max_depth)
 
 
-def downstream(edge: DataFrame, table: str, max_depth: int = 30) -> DataFrame:
+def downstream(edge: DataFrame, table: str, max_depth: int | None = None) -> DataFrame:
     """All tables fed by ``table``."""
     return _reach(edge.select(F.col("source").alias("here"), F.col("target").alias("next")), table, max_depth)
 
 
-def _reach(links: DataFrame, start: str, max_depth: int) -> DataFrame:
+def _reach(links: DataFrame, start: str, max_depth: int | None) -> DataFrame:
+    """Hops from ``start`` until no new table is found; more than ``max_depth``, where given, is an error."""
     frontier = links.sparkSession.createDataFrame([(start.lower(),)], "node string")
     seen = frontier.withColumn("distance", F.lit(0))
-    for distance in range(1, max_depth + 1):
+    for distance in count(1):
         step = frontier.join(links, F.col("node") == F.col("here")).select(F.col("next").alias("node")).distinct()
         frontier = settle(step.join(seen.select("node"), "node", "left_anti"), "lineage")
         if frontier.isEmpty():
             break
+        if max_depth is not None and distance > max_depth:
+            raise SpecError(f"lineage of '{start}' is deeper than {max_depth} hops")
         seen = seen.unionByName(frontier.withColumn("distance", F.lit(distance)))
     return seen.filter("distance > 0")
 

@@ -22,13 +22,17 @@ def _seconds() -> Column:
     return F.round(micros / F.lit(1e6), 3)
 
 
-def run_status(log: DataFrame, table_id: int | None = None, top: int = 10) -> DataFrame:
+def run_status(log: DataFrame, table_id: int | None = None, top: int | None = None) -> DataFrame:
     """Newest log rows, of one table or of all."""
     rows = log if table_id is None else log.filter(F.col("Table_ID") == table_id)
-    return rows.orderBy(F.desc("Ingestion_Start_Time"), "Log_ID", "Ingestion_Status").limit(top)
+    return _first(rows.orderBy(F.desc("Ingestion_Start_Time"), "Log_ID", "Ingestion_Status"), top)
 
 
-def recent_runs(log: DataFrame, table_id: int, now: Column, days: float = 30, top: int = 20) -> DataFrame:
+def _first(rows: DataFrame, top: int | None) -> DataFrame:
+    return rows if top is None else rows.limit(top)
+
+
+def recent_runs(log: DataFrame, table_id: int, now: Column, days: float = 30, top: int | None = None) -> DataFrame:
     rows = _since(log.filter(F.col("Table_ID") == table_id), "Ingestion_Start_Time", now, days)
     return run_status(rows.withColumn("Duration_Seconds", _seconds()), None, top)
 
@@ -72,15 +76,15 @@ def volume_trend(log: DataFrame) -> DataFrame:
     )
 
 
-def mark_progress(log: DataFrame, table_id: int, top: int = 20) -> DataFrame:
-    """Recent marks of one table's batch runs, each beside the one before.
+def mark_progress(log: DataFrame, table_id: int, top: int | None = None) -> DataFrame:
+    """Marks of one table's batch runs, each beside the one before.
 
-    The rows are cut to the newest ``top`` + 1 first, so the window is tiny.
+    With ``top`` the rows are cut to the newest ``top`` + 1 first, so the window is tiny.
     """
     done = log.filter(
         (F.col("Table_ID") == table_id) & (F.col("Processing_Phase") == "Batch") & (F.col("Ingestion_Status") == PROCESSED)
     )
-    newest = done.orderBy(F.desc("Ingestion_End_Time"), F.desc("Log_ID")).limit(top + 1)
+    newest = _first(done.orderBy(F.desc("Ingestion_End_Time"), F.desc("Log_ID")), None if top is None else top + 1)
     order = Window.partitionBy("Table_ID").orderBy("Ingestion_End_Time", "Log_ID")
     rows = newest.withColumn("Previous_Watermark", F.lag("Watermark_Value").over(order))
     return rows.select("Table_ID", "Log_ID", "Ingestion_End_Time", "Watermark_Value", "Previous_Watermark")
@@ -151,12 +155,11 @@ def dq_trend(notes: DataFrame) -> DataFrame:
     )
 
 
-def dq_overview(notes: DataFrame, top: int = 20) -> DataFrame:
+def dq_overview(notes: DataFrame, top: int | None = None) -> DataFrame:
     """Tables with most warnings and failures."""
     bad = F.col("Data_Quality_Result").isin("Warning", "Failure")
-    return notes.groupBy("Table_ID").agg(F.count_if(bad).alias("Problems"), F.count(F.lit(1)).alias("Results")).orderBy(
-        F.desc("Problems"), "Table_ID"
-    ).limit(top)
+    counted = notes.groupBy("Table_ID").agg(F.count_if(bad).alias("Problems"), F.count(F.lit(1)).alias("Results"))
+    return _first(counted.orderBy(F.desc("Problems"), "Table_ID"), top)
 
 
 def dq_by_log(notes: DataFrame, log_id: str) -> DataFrame:

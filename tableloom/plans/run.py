@@ -203,7 +203,7 @@ def _merge_type(spec: TableSpec) -> str:
 
 def _next_state(target, clean, spec: TableSpec, kind: str, keys: list[str], delete: DeleteFlag | None) -> DataFrame:
     if kind == "scd2" and target is not None:
-        merged = merge_history(target, clean, keys, spec.source_timestamp, delete, spec.dimension_key)
+        merged = merge_history(target, clean, keys, spec.source_timestamp, delete, spec.dimension_key, spec.source.mark_columns)
     else:
         merged = apply_merge(kind, target, clean, keys, delete, spec.replace_column, spec.batch_columns)
     return order_columns(backdate_single_versions(merged, keys) if kind == "scd2" else merged)

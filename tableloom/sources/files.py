@@ -77,14 +77,22 @@ def null_types_to_string(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(f"`{c}`").cast("string") for c in empty}) if empty else df
 
 
-def read_files(spark: SparkSession, paths: list[str], spec: FileSpec) -> DataFrame:
-    """All paths in one scan, with the file each row came from."""
-    df = null_types_to_string(_reader(spark, spec).load(paths))
+def read_files(spark: SparkSession, paths: list[str], spec: FileSpec, below: str | None = None) -> DataFrame:
+    """All paths in one scan, with the file each row came from; ``below`` is the folder that holds the table."""
+    reader = _reader(spark, spec)
+    df = null_types_to_string((reader.option("basePath", below) if below and _is_folder(spark, below) else reader).load(paths))
     if spec.schema and spec.format == "parquet":
         check_contract(df, spec.schema)
     return df.withColumn(SOURCE_PATH, F.col("_metadata.file_path"))
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    if any(c in path for c in "*?[{"):
+        return False
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(folder).isDirectory()
+
+
 def read_mixed_files(spark: SparkSession, paths: list[str], spec: FileSpec) -> DataFrame:
     """Files of different layouts: one scan per distinct header or schema.
 
@@ -99,27 +107,21 @@ def read_mixed_files(spark: SparkSession, paths: list[str], spec: FileSpec) -> D
             groups.setdefault(spark.read.parquet(path).schema.simpleString(), []).append(path)
     else:
         return read_files(spark, paths, spec)
-    frames = [read_files(spark, same, spec) for same in groups.values()]
+    # columns that stand in folder names are found below the given path
+    below = lambda key: key[0] if isinstance(key, tuple) else None
+    frames = [read_files(spark, same, spec, below(key)) for key, same in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=spec.allow_missing_columns), frames)
 
 
-def _paths_by_csv_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Files grouped by their first line; only that line of each file is read."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    groups: dict[str, list[str]] = {}
+def _paths_by_csv_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, str], list[str]]:
+    """Files, those in subfolders too, by given path and first line: one Spark job reads each file's first block."""
+    groups: dict[tuple[str, str], list[str]] = {}
     for given in paths:
-        folder = jvm.org.apache.hadoop.fs.Path(given)
-        fs = folder.getFileSystem(conf)
-        for status in fs.listStatus(folder):
-            path = status.getPath()
-            if status.isDirectory() or path.getName().startswith(("_", ".")):
-                continue
-            codec, stream = codecs.getCodec(path), fs.open(path)
-            stream = codec.createInputStream(stream) if codec is not None else stream
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
-            groups.setdefault(reader.readLine(), []).append(path.toString())
-            reader.close()
+        lines = spark.read.option("recursiveFileLookup", "true").text(given)
+        first = lines.filter("_metadata.file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
+        heads = first.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min_by("value", "at").alias("head"))
+        for row in heads.orderBy("path").collect():
+            groups.setdefault((given, row.head), []).append(row.path)
     return groups
 
 

@@ -102,12 +102,12 @@ def iterate_to_convergence(t):
 
 
 @query("components", """
-WITH RECURSIVE e AS (SELECT s_suppkey AS a, CAST(floor(s_suppkey * 0.6) AS BIGINT) AS b FROM supplier WHERE s_nationkey % 3 <> 0 AND CAST(floor(s_suppkey * 0.6) AS BIGINT) <> s_suppkey),
+WITH RECURSIVE e AS (SELECT s_suppkey AS a, CASE WHEN s_nationkey % 3 = 0 THEN s_suppkey ELSE CAST(floor(s_suppkey * 0.6) AS BIGINT) END AS b FROM supplier),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(id, c) AS (SELECT a, a FROM u UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.id)
 SELECT id, min(c) AS component FROM r GROUP BY id
 """)
 def components(t):
-    edges = t.supplier.filter("s_nationkey % 3 <> 0").selectExpr("s_suppkey AS a", "cast(floor(s_suppkey * 0.6) AS bigint) AS b").filter("a <> b")
+    edges = t.supplier.selectExpr("s_suppkey AS a", "CASE WHEN s_nationkey % 3 = 0 THEN s_suppkey ELSE cast(floor(s_suppkey * 0.6) AS bigint) END AS b")
     return graph.connected_components(edges)
 
 
@@ -141,7 +141,7 @@ def er_pairs(t):
 def _name_spec() -> resolve.MatchSpec:
     return resolve.MatchSpec(
         [resolve.Comparison("segment", "segment", "exact"), resolve.Comparison("name", "name", "fuzzy")],
-        "a_segment_b_segment_exact AND a_name_b_name_fuzzy > 0.93", "a_name_b_name_fuzzy >= 0.8", "id", fuzzy_floor=0.8,
+        "a_segment_b_segment_exact = 1.0 AND a_name_b_name_fuzzy > 0.93", "a_name_b_name_fuzzy >= 0.8", "id", fuzzy_floor=0.8,
     )
 
 
@@ -177,7 +177,7 @@ SELECT doc_id AS id, CASE WHEN count(*) OVER (PARTITION BY md5(text)) > 1 THEN m
 def er_exact_groups(t):
     """Copies of a document, linked to their first one whatever their number."""
     docs = t.documents.select("doc_id", F.md5("text").alias("digest"))
-    spec = resolve.MatchSpec([resolve.Comparison("digest", "digest", "exact")], "a_digest_b_digest_exact", None, "doc_id")
+    spec = resolve.MatchSpec([resolve.Comparison("digest", "digest", "exact")], "a_digest_b_digest_exact = 1.0", None, "doc_id")
     return resolve.resolve(docs, spec).records.drop("side")
 
 
@@ -192,7 +192,7 @@ def er_two_tables(t):
     right = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("nation"), F.round("s_acctbal", -2).alias("bal"))
     spec = resolve.MatchSpec(
         [resolve.Comparison("nation", "nation", "exact"), resolve.Comparison("bal", "bal", "exact")],
-        "a_nation_b_nation_exact AND a_bal_b_bal_exact", None, "c_custkey", "s_suppkey", blocks=[[0, 1]],
+        "a_nation_b_nation_exact = 1.0 AND a_bal_b_bal_exact = 1.0", None, "c_custkey", "s_suppkey", blocks=[[0, 1]],
     )
     records = resolve.resolve(left, spec, right).records
     return records.select("side", "id", (F.col("match_outcome") != resolve.NONE).alias("matched"))

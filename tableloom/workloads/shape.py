@@ -211,23 +211,33 @@ def _join(name: str, kind: str, sql: str) -> None:
     @query(f"join_{name}", sql)
     def run(t, kind=kind):
         return t.steps(
-            t.orders.filter("o_custkey % 3 <> 0"),
+            t.orders,
             step("join_data", right_table_name="rich", join_type=kind, join_condition="a.o_custkey = b.c_custkey",
                  left_columns="o_orderkey, o_custkey, o_totalprice", right_columns="c_custkey, c_name, c_acctbal"),
-            rich=t.customer.filter("c_acctbal > 2000"),
+            rich=t.customer,
         )
 
 
-_A = "(SELECT * FROM orders WHERE o_custkey % 3 <> 0) a"
-_B = "(SELECT * FROM customer WHERE c_acctbal > 2000) b"
+_A = "orders a"
+_B = "customer b"
 _AB = "SELECT a.o_orderkey, a.o_custkey, a.o_totalprice, b.c_custkey, b.c_name, b.c_acctbal"
 for _name, _kind, _join_sql in (("inner", "inner", "JOIN"), ("left", "left", "LEFT JOIN"), ("full", "full_outer", "FULL JOIN")):
     _join(_name, _kind, f"{_AB} FROM {_A} {_join_sql} {_B} ON a.o_custkey = b.c_custkey")
+
+
+def _exists(name: str, sql: str) -> None:
+    @query(f"join_{name}", sql)
+    def run(t, name=name):
+        return t.steps(
+            t.customer,
+            step("join_data", right_table_name="orders", join_type=name, join_condition="a.c_custkey = b.o_custkey",
+                 left_columns="c_custkey, c_name, c_acctbal", right_columns="o_orderkey"),
+            orders=t.orders,
+        )
+
+
 for _name, _not in (("semi", ""), ("anti", "NOT ")):
-    _join(
-        _name, _name,
-        f"SELECT o_orderkey, o_custkey, o_totalprice FROM {_A} WHERE {_not}EXISTS (SELECT 1 FROM {_B} WHERE b.c_custkey = a.o_custkey)",
-    )
+    _exists(_name, f"SELECT c_custkey, c_name, c_acctbal FROM customer c WHERE {_not}EXISTS (SELECT 1 FROM orders WHERE o_custkey = c.c_custkey)")
 
 
 @query("join_range", """

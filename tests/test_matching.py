@@ -75,7 +75,7 @@ def test_no_similar_word_set_is_lost(frame):
 
 SPEC = MatchSpec(
     [Comparison("grp", "grp", "exact"), Comparison("name", "name", "fuzzy"), Comparison("amt", "amt", "percent_difference")],
-    "a_grp_b_grp_exact AND a_name_b_name_fuzzy > 0.85", "a_name_b_name_fuzzy > 0.7", "id", fuzzy_floor=0.7,
+    "a_grp_b_grp_exact = 1.0 AND a_name_b_name_fuzzy > 0.85", "a_name_b_name_fuzzy > 0.7", "id", fuzzy_floor=0.7,
 )
 
 
@@ -97,7 +97,7 @@ def test_self_resolution(people):
 
 def test_many_copies_make_a_star_not_all_pairs(spark):
     df = spark.range(300).select("id", F.lit("same").alias("v"))
-    spec = MatchSpec([Comparison("v", "v", "exact")], "a_v_b_v_exact", None, "id")
+    spec = MatchSpec([Comparison("v", "v", "exact")], "a_v_b_v_exact = 1.0", None, "id")
     out = resolve(df, spec)
     assert out.pairs.count() == 299
     assert out.records.filter("match_group_id = 0 AND match_outcome = 'Auto_Match'").count() == 300
@@ -106,7 +106,7 @@ def test_many_copies_make_a_star_not_all_pairs(spark):
 def test_two_tables_keep_equal_ids_apart(frame):
     left = frame("id bigint, v string", [(1, "x"), (2, "y"), (3, "q")])
     right = frame("id bigint, v string", [(1, "y"), (2, "x"), (9, "x"), (3, "r")])
-    spec = MatchSpec([Comparison("v", "v", "exact")], "a_v_b_v_exact", None, "id")
+    spec = MatchSpec([Comparison("v", "v", "exact")], "a_v_b_v_exact = 1.0", None, "id")
     out = resolve(left, spec, right)
     assert as_set(out.records, "side", "id", "match_outcome") == {
         ("a", 1, "Auto_Match"), ("a", 2, "Auto_Match"), ("a", 3, "No_Match"), ("b", 1, "Auto_Match"), ("b", 2, "Auto_Match"),
@@ -118,7 +118,7 @@ def test_two_tables_keep_equal_ids_apart(frame):
 def test_soundex_and_step_attributes(frame):
     df = frame("id bigint, n string", [(1, "Robert"), (2, "Rupert"), (3, "Ann")])
     spec = MatchSpec.parse({
-        "primary_dataset_comparison_fields": "n", "comparison_types": "soundex", "auto_match_logic": "a_n_b_n_soundex", "id_column": "id",
+        "primary_dataset_comparison_fields": "n", "comparison_types": "soundex", "auto_match_logic": "a_n_b_n_soundex = 1.0", "id_column": "id",
     })
     assert as_set(resolve(df, spec).records, "id", "match_group_id") == {(1, 1), (2, 1), (3, None)}
     with pytest.raises(SpecError):
