@@ -160,7 +160,7 @@ class Labeler:
                         skip.append((last[key], n))
                     last[key] = n
         shape = lambda e: np.array(e, np.int64).reshape(-1, 2)
-        return base, place, np.array(feats, float).reshape(len(feats), -1), np.array(seen, np.int64), shape(chain), shape(skip)
+        return base, place, np.array(feats, float), np.array(seen, np.int64), shape(chain), shape(skip)
 
     def __call__(self, texts: list[str]) -> list[list[tuple[str, int, int]]]:
         base, place, feats, seen, chain, skip = self.graph(texts)

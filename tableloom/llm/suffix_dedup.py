@@ -36,7 +36,7 @@ LENGTH, GRAM = 200, 32
 #: Stretches of one anchor that may meet in one shard.
 COMMON = 128
 _SLICE = 1 << 20
-_BASE = np.uint64(0xD6E8FEB86659FD93)
+_BASE, _OTHER = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Anchors:
@@ -147,24 +147,77 @@ def _sorted_shards(stretches: DataFrame, shards: int) -> DataFrame:
     return stretches.select("key", "mark", "body").repartition(shards, "key").mapInArrow(run, _RUNS)
 
 
-def _counted_strings(stretches: DataFrame) -> DataFrame:
-    """The same for the stretches of common anchors, by counting each string's hash."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+_STRING = np.dtype([("h", "<i8"), ("g", "<i8"), ("key", "<i8"), ("mark", "<i8"), ("at", "<i4")])
+
+
+def _packed(rows: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    """Rows sorted by part, those of a part as one value."""
+    order = np.argsort(part, kind="stable")
+    rows, part = rows[order], part[order]
+    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    blocks = [x.tobytes() for x in np.split(rows, edges[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(part[edges], pa.int64()), pa.array(blocks, pa.binary())], names=["part", "block"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    blocks = [np.frombuffer(x.as_py(), _STRING) for batch in batches for x in batch.column("block")]
+    return np.concatenate(blocks) if blocks else np.empty(0, _STRING)
+
 
+def _counted_strings(stretches: DataFrame, parts: int) -> DataFrame:
+    """The same for the stretches of common anchors, by counting each string's hash.
+
+    Strings travel packed by a part of their hash, and the repeated ones once more, back to their stretch.
+    """
+    many = 4 * parts
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = Anchors()
+        with np.errstate(over="ignore"):
+            other = np.multiply.accumulate(np.full(_SLICE + LENGTH + 1, _OTHER))
+            back = np.multiply.accumulate(np.full(_SLICE + LENGTH + 1, np.uint64(pow(int(_OTHER), -1, 1 << 64))))
         for batch in batches:
-            for key, mark, body in zip(batch.column("key").to_pylist(), batch.column("mark").to_pylist(), batch.column("body").to_pylist()):
-                at = np.arange(len(body) - LENGTH + 1, dtype=np.int32)
-                both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(body[i:i + LENGTH]) for i in at), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(np.full(len(at), key)), pa.array(np.full(len(at), mark)), pa.array(at)],
-                    names=["h", "g", "key", "mark", "at"],
-                )
+            for piece in pieces(batch, "body", _SLICE // 2):
+                bodies = [x.as_py() for x in piece.column("body")]
+                b = np.frombuffer(b"".join(bodies), np.uint8).astype(np.uint64) + np.uint64(1)
+                count = np.array([len(x) - LENGTH + 1 for x in bodies])
+                begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
+                at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                start = np.repeat(begin, count) + at
+                rows = np.empty(len(at), _STRING)
+                with np.errstate(over="ignore"):
+                    for name, power, inverse in (("h", find.power, find.back), ("g", other, back)):
+                        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(b * power[:len(b)])))
+                        rows[name] = mix((sums[start + LENGTH] - sums[start]) * inverse[start]).view(np.int64)
+                rows["key"], rows["mark"] = (np.repeat(piece.column(c).to_numpy(), count) for c in ("key", "mark"))
+                rows["at"] = at
+                yield _packed(rows, rows["h"] % many)
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _unpacked(batches)
+        rows = rows[np.lexsort((rows["g"], rows["h"]))]
+        same = (rows["h"][1:] == rows["h"][:-1]) & (rows["g"][1:] == rows["g"][:-1])
+        rows = rows[np.concatenate((same, [False])) | np.concatenate(([False], same))] if len(rows) else rows
+        if len(rows):
+            yield _packed(rows, (rows["key"] ^ rows["mark"]) % many)
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _unpacked(batches)
+        if not len(rows):
+            return
+        rows = rows[np.lexsort((rows["at"], rows["mark"], rows["key"]))]
+        other = (rows["key"][1:] != rows["key"][:-1]) | (rows["mark"][1:] != rows["mark"][:-1])
+        first = np.flatnonzero(np.concatenate(([True], other | (rows["at"][1:] != rows["at"][:-1] + 1))))
+        last = np.append(first[1:], len(rows)) - 1
+        kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+        for lo in range(0, len(first), 10_000):
+            f, t = first[lo:lo + 10_000], last[lo:lo + 10_000]
+            found = [[{"a": a, "b": b}] for a, b in zip(rows["at"][f].tolist(), rows["at"][t].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(rows["key"][f]), pa.array(rows["mark"][f]), pa.array(found, kind)], names=["key", "mark", "runs"])
 
-    strings = stretches.select("key", "mark", "body").mapInArrow(run, "h long, g long, key long, mark long, at int")
-    again = strings.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "g")
-    hit = strings.join(again, ["h", "g"])
-    return hit.select("key", "mark", F.array(F.struct(F.col("at").alias("a"), F.col("at").alias("b"))).alias("runs"))
+    packed = stretches.select("key", "mark", "body").mapInArrow(strings, "part long, block binary").repartition(parts, "part")
+    hit = packed.mapInArrow(repeated, "part long, block binary").repartition(parts, "part")
+    return hit.mapInArrow(runs, _RUNS)
 
 
 def repeated_ranges(rows: DataFrame) -> DataFrame:
@@ -179,7 +232,7 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     sizes = different.groupBy("key").agg(F.count(F.lit(1)).alias("stretches"))
     wanted = different.join(sizes, "key").withColumn("common", F.col("stretches") > COMMON)
     bodies = settle(_stretches(rows, wanted), "bodies")
-    runs = _sorted_shards(bodies.filter("NOT common"), width).unionByName(_counted_strings(bodies.filter("common")))
+    runs = _sorted_shards(bodies.filter("NOT common"), width).unionByName(_counted_strings(bodies.filter("common"), width))
     # a stretch that occurs twice repeats as a whole
     twice = different.filter("n > 1").select("key", "mark", F.array(F.struct(F.lit(0).alias("a"), (F.col("last") - F.col("first")).alias("b"))).alias("runs"))
     part = again.filter("NOT alike").join(runs.unionByName(twice), ["key", "mark"]).select("row", "first", F.explode("runs").alias("r"))

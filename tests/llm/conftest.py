@@ -1,0 +1,5 @@
+from __future__ import annotations
+
+import pytest
+
+pytest.importorskip("tableloom.llm")
