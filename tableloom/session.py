@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -39,19 +38,13 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables.
 
-    It is named by ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a temporary folder, because executors of a real cluster could
-    neither write nor re-read one machine's disk.
+    It is named by ``spark.checkpoint.dir``; without that setting nothing is written
+    anywhere, because executors could neither write nor re-read one machine's disk.
     """
-    conf = spark.sparkContext.getConf()
-    named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not conf.get("spark.master", "").startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tableloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return named.rstrip("/")
 
 
 _OWNED: ContextVar[list[str] | None] = ContextVar("settled_paths", default=None)

@@ -6,6 +6,7 @@ import datetime
 import decimal
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -72,7 +73,7 @@ def main(names: list[str], folder: str) -> int:
     from tableloom.session import get_spark
     from tableloom.workloads import all_queries, all_sql
 
-    spark = get_spark(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = get_spark(master="local[8]", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tableloom-compare-"), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(folder), 0
     queries, sql = all_queries(), all_sql()
