@@ -273,7 +273,7 @@ WITH {_LOG} SELECT Log_ID, Ingestion_Status, round({_SECONDS}, 3) AS Duration_Se
 ORDER BY Ingestion_Start_Time DESC, Log_ID, Ingestion_Status LIMIT 20
 """)
 def mon_recent_runs(t):
-    return monitor.recent_runs(log(t), 7, now()).select("Log_ID", "Ingestion_Status", "Duration_Seconds")
+    return monitor.recent_runs(log(t), 7, now(), top=20).select("Log_ID", "Ingestion_Status", "Duration_Seconds")
 
 
 @query("mon_watermark_progress", f"""
@@ -281,7 +281,7 @@ WITH {_LOG}, d AS (SELECT * FROM log WHERE Table_ID = 7 AND Processing_Phase = '
 SELECT Table_ID, Log_ID, Watermark_Value, lag(Watermark_Value) OVER (ORDER BY Ingestion_End_Time, Log_ID) AS Previous_Watermark FROM d
 """)
 def mon_watermark_progress(t):
-    return monitor.mark_progress(log(t), 7).drop("Ingestion_End_Time")
+    return monitor.mark_progress(log(t), 7, 20).drop("Ingestion_End_Time")
 
 
 @query("mon_watermark_comparison", f"""
@@ -335,7 +335,7 @@ def mon_dq_trend(t):
 WITH {_NOTES} SELECT Table_ID, count(*) FILTER (Data_Quality_Result <> 'Pass') AS Problems, count(*) AS Results FROM notes GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20
 """)
 def mon_dq_overview(t):
-    return monitor.dq_overview(notes(t))
+    return monitor.dq_overview(notes(t), 20)
 
 
 @query("mon_latest_profile", """
