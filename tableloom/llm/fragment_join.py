@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,8 @@ from tableloom.session import settle
 
 #: A fingerprint of more rows than this is common; blocks of this many nodes are compared in a task.
 COMMON, BLOCK = 256, 512
+#: Open groups of a node that are listed with it, and pairs compared at once.
+LISTED, TOGETHER = 128, 1 << 17
 #: Members of a fragment when overlaps are counted.
 COUNTED = 512
 
@@ -56,7 +59,7 @@ class Scheme:
         parts = self.differ + 1
         self.spare_empty = self.spare_common = 1 + math.ceil(0.04 * parts)
         self.cuts = parts + self.spare_empty + self.spare_common if self.differ else 0
-        self.fine = 3 * (self.differ + 1)
+        self.fine = 6 * (self.differ + 1)
         self.counted = 1 << max(0, math.ceil(math.log2(max(1, hi / COUNTED))))
 
 
@@ -70,10 +73,14 @@ def schemes(t: Fraction, most: int = 1 << 40) -> list[Scheme]:
     return out
 
 
+@lru_cache(4096)
+def _edges(parts: int) -> np.ndarray:
+    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+
+
 def _cut(members: np.ndarray, parts: int) -> np.ndarray:
     """Bounds of ``parts`` equal ranges of the hash order in a sorted set."""
-    edges = [(i << 64) // parts for i in range(1, parts)]
-    return np.concatenate(([0], np.searchsorted(members, np.array(edges, np.uint64)), [len(members)]))
+    return np.concatenate(([0], np.searchsorted(members, _edges(parts)), [len(members)]))
 
 
 def _sums(members: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -100,10 +107,11 @@ def fingerprints(docs: DataFrame, key: str, text: str, words: int, t: Fraction)
                         mine, short = [], []
                         for s, scheme in enumerate(table):
                             if scheme.cuts and scheme.lo <= len(members) <= scheme.most:
-                                sums = _sums(members, _cut(members, scheme.cuts))
+                                bounds = _cut(members, scheme.cuts)
+                                sums = _sums(members, bounds)
                                 marked = mix(sums + mix(np.arange(scheme.cuts, dtype=np.uint64) * np.uint64(64) + np.uint64(s + 1)))
                                 marked = (marked & ~np.uint64(63)) | np.uint64(s)
-                                empty = np.diff(_cut(members, scheme.cuts)) == 0
+                                empty = bounds[1:] == bounds[:-1]
                                 mine.append(marked if empty.sum() > scheme.spare_empty else marked[~empty])
                                 fine = mix(_sums(members, _cut(members, scheme.fine)) + np.uint64(1))
                                 short.append({"s": s, "sketch": (fine >> np.uint64(56)).astype(np.uint8).tobytes()})
@@ -157,30 +165,64 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     return summed.filter(near).select("a", "b").distinct()
 
 
-def _across(rows: DataFrame) -> DataFrame:
+def _across(rows: DataFrame, t: Fraction, parts: int) -> DataFrame:
     """``a, b, s``: pairs of nodes of one group in different components whose sketches can reach the threshold.
 
-    ``rows`` has ``key, node, comp, s, least, sketch, i, j, side``: a row of block i or j, on side 0 or 1.
+    ``rows`` has ``key, i, j, side, node, comp, n, s, sketch, own``: a node of block i or j of a group, on side 0 or
+    1, with the groups that it is in. A pair of nodes in several groups is given by the first of them.
     """
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["node", "side"]).sort_values("comp", kind="stable")
-        one, two = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        same = two.empty
-        two = one if same else two
-        x = np.frombuffer(b"".join(one["sketch"]), np.uint8).reshape(len(one), -1) if len(one) else np.empty((0, 1), np.uint8)
-        y = x if same else np.frombuffer(b"".join(two["sketch"]), np.uint8).reshape(len(two), -1)
-        a, b, ca, cb = one["node"].to_numpy(), two["node"].to_numpy(), one["comp"].to_numpy(), two["comp"].to_numpy()
-        least = int(pdf["least"].iloc[0])
-        out = []
-        for i in range(len(a)):
-            others = np.flatnonzero(cb[i + 1:] != ca[i]) + i + 1 if same else np.flatnonzero(cb != ca[i])
-            if len(others):
-                hit = others[(y[others] == x[i]).sum(1) >= least]
-                out.append(np.c_[np.full(len(hit), a[i]), b[hit]])
-        found = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1], "s": np.full(len(found), pdf["s"].iloc[0], np.int32)})
-
-    return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long, s int").distinct()
+    up, down = t.denominator - t.numerator, t.denominator + t.numerator
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for pdf in frames:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            tail = (pdf[["key", "i", "j"]] == pdf[["key", "i", "j"]].iloc[-1]).all(axis=1).to_numpy()
+            yield from groups(pdf[~tail])
+            rest = pdf[tail].reset_index(drop=True)
+        if rest is not None:
+            yield from groups(rest)
+
+    def groups(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for s, part in pdf.groupby("s", sort=False):
+            part = part.reset_index(drop=True)
+            x = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(len(part), -1)
+            place = part[["key", "i", "j"]].to_numpy()
+            edges = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]).any(axis=1))))
+            side = part["side"].to_numpy()
+            left, right, size = [], [], 0
+            for lo, hi in zip(edges, [*edges[1:], len(part)]):
+                if place[lo, 1] == place[lo, 2]:
+                    a, b = np.triu_indices(hi - lo, 1)
+                else:
+                    one, two = np.flatnonzero(side[lo:hi] == 0), np.flatnonzero(side[lo:hi] == 1)
+                    a, b = np.repeat(one, len(two)), np.tile(two, len(one))
+                left.append(a + lo)
+                right.append(b + lo)
+                size += len(a)
+                if size >= TOGETHER:
+                    yield found(part, int(s), x, np.concatenate(left), np.concatenate(right))
+                    left, right, size = [], [], 0
+            if size:
+                yield found(part, int(s), x, np.concatenate(left), np.concatenate(right))
+
+    def found(part: pd.DataFrame, s: int, x: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        comp, n, node = (part[c].to_numpy() for c in ("comp", "n", "node"))
+        apart = comp[a] != comp[b]
+        a, b = a[apart], b[apart]
+        most = (n[a] + n[b]) * up // down
+        near = np.zeros(len(a), bool)
+        for lo in range(0, len(a), 1 << 15):
+            at = slice(lo, lo + (1 << 15))
+            near[at] = np.add.reduce(x[a[at]] != x[b[at]], axis=1, dtype=np.int32) <= most[at]
+        a, b = a[near], b[near]
+        own, key = part["own"], part["key"].to_numpy()
+        first = np.array([own[i] is None or own[j] is None or min(set(own[i]).intersection(own[j])) == k for i, j, k in zip(a, b, key[a])], bool)
+        a, b = (a[first], b[first]) if len(first) else (a, b)
+        return pd.DataFrame({"a": node[a], "b": node[b], "s": np.full(len(a), s, np.int32)})
+
+    dealt = rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    return dealt.mapInPandas(compare, "a long, b long, s int").distinct()
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, threshold: str = "0.9") -> DataFrame:
@@ -210,17 +252,19 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     again = kept.filter("size > 2").join(found, F.col("node") == F.col("id"), "left")
     again = again.select("key", "node", "s", F.coalesce("component", "node").alias("comp"))
     open_groups = again.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-    sketches = marks.select("node", F.explode("sketches").alias("k")).select("node", "k.s", "k.sketch").dropDuplicates(["node", "s"])
-    least = F.element_at(F.array(*[F.lit(max(1, x.fine - x.differ)) for x in table]), F.col("s") + 1)
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    open_rows = settle(again.join(open_groups.select("key", blocks.alias("blocks")), "key"), "open")
+    listed = open_rows.groupBy("node", "s").agg(F.collect_list("key").alias("own"))
+    listed = listed.select("node", "s", F.when(F.size("own") <= LISTED, F.col("own")).alias("own"))
+    sketches = marks.select("node", "n", F.explode("sketches").alias("k")).select("node", "n", "k.s", "k.sketch").dropDuplicates(["node", "s"])
     mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    open_rows = again.join(open_groups.select("key", blocks.alias("blocks")), "key").join(sketches, ["node", "s"])
-    open_rows = open_rows.select("key", "node", "comp", "s", least.alias("least"), "sketch", mine.alias("m"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-    dealt = open_rows.select(
-        "key", "node", "comp", "s", "least", "sketch", F.least("m", "o").alias("i"), F.greatest("m", "o").alias("j"),
-        F.when(F.col("m") <= F.col("o"), 0).otherwise(1).alias("side"),
+    full = open_rows.join(listed.join(sketches, ["node", "s"]), ["node", "s"])
+    full = full.withColumn("m", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = full.select(
+        "key", F.least("m", "o").alias("i"), F.greatest("m", "o").alias("j"), F.when(F.col("m") <= F.col("o"), 0).otherwise(1).alias("side"),
+        "node", "comp", "n", "s", "sketch", "own",
     )
-    more = settle(_across(dealt), "across")
+    more = settle(_across(dealt, t, _partitions(spark)), "across")
     all_links = links.union(_verified(more, sets, t))
     classes = connected_components(settle(all_links, "links"))
     smallest = marks.filter("n > 0").join(classes, F.col("node") == F.col("id"), "left").withColumn("class", F.coalesce("component", "node"))
