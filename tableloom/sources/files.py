@@ -80,7 +80,7 @@ def null_types_to_string(df: DataFrame) -> DataFrame:
 def read_files(spark: SparkSession, paths: list[str], spec: FileSpec, below: str | None = None) -> DataFrame:
     """All paths in one scan, with the file each row came from; ``below`` is the folder that holds the table."""
     reader = _reader(spark, spec)
-    df = null_types_to_string((reader.option("basePath", below) if below and _is_folder(spark, below) else reader).load(paths))
+    df = null_types_to_string((reader.option("basePath", below) if below else reader).load(paths))
     if spec.schema and spec.format == "parquet":
         check_contract(df, spec.schema)
     return df.withColumn(SOURCE_PATH, F.col("_metadata.file_path"))
@@ -113,15 +113,22 @@ def read_mixed_files(spark: SparkSession, paths: list[str], spec: FileSpec) -> D
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=spec.allow_missing_columns), frames)
 
 
-def _paths_by_csv_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, str], list[str]]:
-    """Files, those in subfolders too, by given path and first line: one Spark job reads each file's first block."""
-    groups: dict[tuple[str, str], list[str]] = {}
-    for given in paths:
-        lines = spark.read.option("recursiveFileLookup", "true").text(given)
-        first = lines.filter("_metadata.file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
-        heads = first.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min_by("value", "at").alias("head"))
-        for row in heads.orderBy("path").collect():
-            groups.setdefault((given, row.head), []).append(row.path)
+def _paths_by_csv_header(spark: SparkSession, paths: list[str]) -> dict[tuple, list[str]]:
+    """Files, those in subfolders too, by the folder given for them and first line: one Spark job reads each file's first block."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+    first = lines.filter("_metadata.file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
+    heads = first.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min_by("value", "at").alias("head"))
+    folders = {}
+    for given in filter(lambda p: _is_folder(spark, p), paths):
+        path = spark._jvm.org.apache.hadoop.fs.Path(given)
+        folders[path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath().rstrip("/") + "/"] = given
+    groups: dict[tuple, list[str]] = {}
+    for row in heads.orderBy("path").collect():
+        below = max((f for f in folders if f in row.path), key=len, default=None)
+        # files under different folder columns are different layouts, even with one header
+        inner = row.path.split(below, 1)[1].split("/")[:-1] if below else []
+        columns = tuple(part.split("=")[0] for part in inner if "=" in part)
+        groups.setdefault((folders[below] if columns else None, row.head, columns), []).append(row.path)
     return groups
 
 

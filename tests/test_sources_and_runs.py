@@ -55,6 +55,15 @@ def test_tsv_json_xml_and_parquet_contract(spark, tmp_path):
         files.row_tag("//book[@id='1']")
 
 
+def test_mixed_layouts_in_subfolders(spark, tmp_path):
+    """Files below the given folder count, and folder names give their columns."""
+    for name, text in (("a.csv", "a,b\n1,2\n"), ("p=1/b.csv", "a,b\n3,4\n"), ("p=2/c.csv", "a,c\n5,6\n")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        put(tmp_path / name, text)
+    df = files.read_mixed_files(spark, [str(tmp_path)], FileSpec("csv"))
+    assert as_set(df, "a") == {("1",), ("3",), ("5",)}
+
+
 def test_mixed_layouts_share_scans(spark, tmp_path):
     paths = [put(tmp_path / f"{i}.csv", text) for i, text in enumerate(["a,b\n1,2\n", "a,c\n3,4\n", "a,b\n5,6\n"])]
     df = files.read_mixed_files(spark, paths, FileSpec("csv"))
