@@ -62,6 +62,7 @@ class TableSpec:
     delete: DeleteFlag | None = None
     replace_column: str | None = None
     batch_columns: list[str] = field(default_factory=list)
+    batch_id: int | None = None
     source_timestamp: str | None = None
     dimension_key: str | None = None
     contract: str | None = None
@@ -181,7 +182,10 @@ def _run(spark, store, spec, mark, hooks, now, first_run, log_id) -> RunResult:
         schemas.schema_changes(known, outcome.clean.schema) if target is not None else [],
         spec.fail_on_schema_change, spec.fail_on_type_change, first_run,
     )
-    version = store.write(spec.target, _next_state(target, outcome.clean, spec, kind, keys, delete))
+    if kind == "append" and target is not None:
+        version = store.append(spec.target, order_columns(outcome.clean), spec.batch_id)
+    else:
+        version = store.write(spec.target, _next_state(target, outcome.clean, spec, kind, keys, delete), spec.batch_id)
     if held:
         store.append_rows(f"{spec.target}_quarantined", outcome.quarantined)
     return RunResult(control.PROCESSED, new_mark, results, changes, version, rows, held)
@@ -239,16 +243,13 @@ def micro_batches(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` handler that runs ``spec`` on each micro-batch once.
 
-    The batch takes the place of the spec's source. Ids of finished batches are
-    kept in a table of their own, so a batch replayed after a failure is skipped.
+    The batch takes the place of the spec's source. Its id is committed in the
+    pointer of the version it makes, so a batch replayed after a failure is skipped or done, never doubled.
     """
-    done = f"{spec.target}_batches"
-
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if store.exists(done) and not store.read(done).filter(F.col("batch_id") == batch_id).isEmpty():
-            return
-        if not batch.isEmpty():
-            run_table(spark, store, replace(spec, source=SourceSpec(function=lambda metadata, session: batch)), hooks=hooks)
-        store.append_rows(done, spark.createDataFrame([(batch_id,)], "batch_id bigint"))
+        last = store.batch(spec.target)
+        if (last is None or batch_id > last) and not batch.isEmpty():
+            source = SourceSpec(function=lambda metadata, session: batch)
+            run_table(spark, store, replace(spec, source=source, batch_id=batch_id), hooks=hooks)
 
     return handle

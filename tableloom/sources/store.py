@@ -1,14 +1,19 @@
 """Named tables as versioned parquet folders, and single-purpose file outputs.
 
 Spark cannot overwrite a folder it is reading, so each new state is written to
-a folder of its own and a pointer row names the current version. Readers see
-either the old or the new state; earlier versions stay for change feeds.
+a folder of its own, and a version is a pointer file that lists the folders it is made of. Readers see
+either the old or the new state; an append adds a folder and lists it beside the old ones;
+earlier versions stay for change feeds until ``forget`` drops them. A pointer is created
+exclusively: of two runs that end at once one fails or, for an append, tries again.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from tableloom.spec import SpecError, choice
@@ -33,7 +38,8 @@ class TableStore:
             return known[name.lower()]
         at = self.version(name) if version is None else version
         if at is not None:
-            return self.spark.read.parquet(f"{self._folder(name)}/v={at}")
+            parts = [f"{self._folder(name)}/{p}" for p in self._pointer(name, at)["parts"]]
+            return self.spark.read.option("mergeSchema", len(parts) > 1).parquet(*parts)
         if self.spark.catalog.tableExists(name):
             return self.spark.table(name)
         raise SpecError(f"table '{name}' is not known")
@@ -48,24 +54,83 @@ class TableStore:
         pointers = self._files(f"{self._folder(name)}/_current")
         return max((int(p.removeprefix("p")) for p in pointers), default=None)
 
-    def write(self, name: str, df: DataFrame) -> int:
-        """Write the table's next state and make it current."""
-        if self.root is None:
-            raise SpecError("this store has no folder to write to")
+    def write(self, name: str, df: DataFrame, batch: int | None = None) -> int:
+        """Write the table's next state and make it current, together with the id of the micro-batch it is from."""
         new = (self.version(name) or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self._folder(name)}/v={new}")
-        self._touch(f"{self._folder(name)}/_current/p{new}")
-        self.frames.pop(name.lower(), None)
+        part = self._part(name, df)
+        if not self._point(name, new, [part], batch):
+            raise SpecError(f"another run has written version {new} of '{name}'")
         return new
 
+    def append(self, name: str, df: DataFrame, batch: int | None = None, tries: int = 10) -> int:
+        """Add a folder of rows to the table: what is there is neither read nor written."""
+        part = self._part(name, df)
+        for _ in range(tries):
+            at = self.version(name)
+            old = self._pointer(name, at)["parts"] if at else []
+            if self._point(name, (at or 0) + 1, [*old, part], batch):
+                return (at or 0) + 1
+        raise SpecError(f"'{name}' changed {tries} times while rows were added")
+
+    def batch(self, name: str) -> int | None:
+        """The id of the last micro-batch that the table holds."""
+        at = self.version(name)
+        return self._pointer(name, at)["batch"] if at else None
+
+    def forget(self, name: str, keep: int = 1) -> None:
+        """Drop all but the newest ``keep`` versions and the folders that none of these lists."""
+        at = self.version(name) or 0
+        kept = {p for v in range(max(1, at - keep + 1), at + 1) for p in self._pointer(name, v)["parts"]}
+        for pointer in self._files(f"{self._folder(name)}/_current"):
+            if int(pointer.removeprefix("p")) <= at - keep:
+                self._delete(f"{self._folder(name)}/_current/{pointer}")
+        for folder in self._files(self._folder(name)):
+            if folder.startswith("part-") and folder not in kept:
+                self._delete(f"{self._folder(name)}/{folder}")
+
     def append_rows(self, name: str, df: DataFrame) -> None:
-        """Add rows to an append-only table such as a log or a quarantine."""
-        if self.root is None:
-            raise SpecError("this store has no folder to write to")
+        """Add rows to an append-only table such as a log or a quarantine, without a version of their own."""
         if self.version(name) is None:
             self.write(name, df)
         else:
-            df.write.mode("append").parquet(f"{self._folder(name)}/v={self.version(name)}")
+            last = self._pointer(name, self.version(name))["parts"][-1]
+            df.write.mode("append").parquet(f"{self._folder(name)}/{last}")
+
+    def _part(self, name: str, df: DataFrame) -> str:
+        if self.root is None:
+            raise SpecError("this store has no folder to write to")
+        part = f"part-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self._folder(name)}/{part}")
+        return part
+
+    def _pointer(self, name: str, version: int) -> dict:
+        fs, target = self._fs(f"{self._folder(name)}/_current/p{version}")
+        stream = fs.open(target)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _point(self, name: str, version: int, parts: list[str], batch: int | None) -> bool:
+        """Make a version current; False when it exists already. The batch id of the version before stays if none is given."""
+        before = self._pointer(name, version - 1)["batch"] if batch is None and version > 1 else batch
+        fs, target = self._fs(f"{self._folder(name)}/_current/p{version}")
+        if fs.exists(target):
+            return False
+        try:
+            stream = fs.create(target, False)
+        except Py4JJavaError as err:
+            if "FileAlreadyExists" in str(err.java_exception.getClass().getName()):
+                return False
+            raise
+        stream.write(bytearray(json.dumps({"parts": parts, "batch": before}).encode()))
+        stream.close()
+        self.frames.pop(name.lower(), None)
+        return True
+
+    def _delete(self, path: str) -> None:
+        fs, target = self._fs(path)
+        fs.delete(target, True)
 
     def _folder(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -79,10 +144,6 @@ class TableStore:
         fs, target = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
-    def _touch(self, path: str) -> None:
-        fs, target = self._fs(path)
-        fs.create(target, True).close()
-
 
 def stamp_path(path: str, now: datetime) -> str:
     """Fill date and time placeholders of an output path."""

@@ -284,3 +284,17 @@ def test_control_helpers(spark):
     log = control.log_rows(spark, [{"Log_ID": "1", "Table_ID": 7, "Ingestion_Status": "Started", "Processing_Phase": "Staging", "Ingestion_Start_Time": at}], control.RUN_LOG)
     with pytest.raises(SpecError):
         control.assert_not_in_flight(log, 7, F.lit(at))
+
+
+def test_appends_add_folders_and_old_versions_can_go(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.write("silver.t", spark.range(2))
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "silver" / "t").glob("part-*/*.parquet")}
+    assert store.append("silver.t", spark.range(5, 7), batch=3) == 2 and store.batch("silver.t") == 3
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+    assert store.read("silver.t").count() == 4 and store.read("silver.t", 1).count() == 2
+    assert not store._point("silver.t", 2, [], None)
+    store.write("silver.t", spark.range(1))
+    store.forget("silver.t")
+    assert store.batch("silver.t") == 3 and store.read("silver.t").count() == 1
+    assert len(list((tmp_path / "silver" / "t").glob("part-*"))) == 1
