@@ -59,7 +59,7 @@ class Scheme:
         parts = self.differ + 1
         self.spare_empty = self.spare_common = 1 + math.ceil(0.04 * parts)
         self.cuts = parts + self.spare_empty + self.spare_common if self.differ else 0
-        self.fine = 6 * (self.differ + 1)
+        self.fine = max(self.differ + 1, math.ceil(0.67 * hi))
         self.counted = 1 << max(0, math.ceil(math.log2(max(1, hi / COUNTED))))
 
 
@@ -90,67 +90,81 @@ def _sums(members: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, words: int, t: Fraction) -> DataFrame:
-    """``doc, n, node, keys, sketches`` of every row; a key holds its scheme in its last six bits."""
-    table = schemes(t)
+def _node(members: np.ndarray) -> int:
+    """The fingerprint of a whole set."""
+    with np.errstate(over="ignore"):
+        return int((mix(_sums(members, np.array([0, len(members)])) + np.uint64(len(members)))).view(np.int64)[0])
 
+
+def nodes(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """``doc, n, node``: the size and the fingerprint of every row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                n, node, keys, sketches = [], [], [], []
-                for value in piece.column("text").to_pylist():
-                    members = shingler(value or "")
-                    n.append(len(members))
-                    with np.errstate(over="ignore"):
-                        node.append(int((mix(_sums(members, np.array([0, len(members)])) + np.uint64(len(members)))).view(np.int64)[0]))
-                        mine, short = [], []
-                        for s, scheme in enumerate(table):
-                            if scheme.cuts and scheme.lo <= len(members) <= scheme.most:
-                                bounds = _cut(members, scheme.cuts)
-                                sums = _sums(members, bounds)
-                                marked = mix(sums + mix(np.arange(scheme.cuts, dtype=np.uint64) * np.uint64(64) + np.uint64(s + 1)))
-                                marked = (marked & ~np.uint64(63)) | np.uint64(s)
-                                empty = bounds[1:] == bounds[:-1]
-                                mine.append(marked if empty.sum() > scheme.spare_empty else marked[~empty])
-                                fine = mix(_sums(members, _cut(members, scheme.fine)) + np.uint64(1))
-                                short.append({"s": s, "sketch": (fine >> np.uint64(56)).astype(np.uint8).tobytes()})
-                    keys.append(np.concatenate(mine).view(np.int64) if mine else np.empty(0, np.int64))
-                    sketches.append(short)
-                kind = pa.list_(pa.struct([("s", pa.int32()), ("sketch", pa.binary())]))
+                sets = [shingler(value or "") for value in piece.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, kind)],
-                    names=["doc", "n", "node", "keys", "sketches"],
+                    [piece.column("doc"), pa.array([len(m) for m in sets], pa.int64()), pa.array(list(map(_node, sets)), pa.int64())], names=["doc", "n", "node"],
                 )
 
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc long, n long, node long, keys array<long>, sketches array<struct<s:int,sketch:binary>>")
+    return docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, "doc long, n long, node long")
 
 
-def _fragments(docs: DataFrame, key: str, text: str, words: int, t: Fraction) -> DataFrame:
-    """``node, s, part, n, members``: the sets of documents, cut for counting."""
+def fingerprints(docs: DataFrame, text: str, words: int, t: Fraction) -> DataFrame:
+    """``key, node``: the fragments' fingerprints of every row; a key holds its scheme in its last six bits."""
     table = schemes(t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
             for piece in pieces(batch, "text"):
+                keys, node, count = [], [], []
+                for value in piece.column("text").to_pylist():
+                    members = shingler(value or "")
+                    for s, scheme in enumerate(table):
+                        if scheme.cuts and scheme.lo <= len(members) <= scheme.most:
+                            bounds = _cut(members, scheme.cuts)
+                            with np.errstate(over="ignore"):
+                                marked = mix(_sums(members, bounds) + mix(np.arange(scheme.cuts, dtype=np.uint64) * np.uint64(64) + np.uint64(s + 1)))
+                            marked = (marked & ~np.uint64(63)) | np.uint64(s)
+                            empty = bounds[1:] == bounds[:-1]
+                            keys.append(marked if empty.sum() > scheme.spare_empty else marked[~empty])
+                            node.append(_node(members))
+                            count.append(len(keys[-1]))
+                if keys:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(node, np.int64), count))], names=["key", "node"],
+                    )
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "key long, node long")
+
+
+def _fragments(docs: DataFrame, text: str, words: int, t: Fraction) -> DataFrame:
+    """``node, s, part, n, members, sketch``: the sets of documents, cut for counting, the first part with a sketch."""
+    table = schemes(t)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in batches:
+            for piece in pieces(batch, "text", 1 << 20):
                 out = []
                 for value in piece.column("text").to_pylist():
                     members = shingler(value or "")
-                    with np.errstate(over="ignore"):
-                        node = int((mix(_sums(members, np.array([0, len(members)])) + np.uint64(len(members)))).view(np.int64)[0])
                     for s, scheme in enumerate(table):
                         if scheme.cuts and scheme.lo <= len(members) <= scheme.most:
-                            bounds = _cut(members, scheme.counted)
-                            out += [(node, s, i, len(members), members[a:b].view(np.int64)) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
-                node, s, part, n, members = zip(*out) if out else ([], [], [], [], [])
+                            with np.errstate(over="ignore"):
+                                fine = mix(_sums(members, _cut(members, scheme.fine)) + np.uint64(1))
+                            sketch = (fine >> np.uint64(56)).astype(np.uint8).tobytes()
+                            bounds, node = _cut(members, scheme.counted), _node(members)
+                            out += [(node, s, i, len(members), members[a:b].view(np.int64), None if i else sketch) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+                node, s, part, n, members, sketch = zip(*out) if out else ([],) * 6
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node, pa.int64()), pa.array(s, pa.int32()), pa.array(part, pa.int32()), pa.array(n, pa.int64()), pa.array(members, pa.list_(pa.int64()))],
-                    names=["node", "s", "part", "n", "members"],
+                    [pa.array(node, pa.int64()), pa.array(s, pa.int32()), pa.array(part, pa.int32()), pa.array(n, pa.int64()),
+                     pa.array(members, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                    names=["node", "s", "part", "n", "members", "sketch"],
                 )
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "node long, s int, part int, n long, members array<long>")
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "node long, s int, part int, n long, members array<long>, sketch binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
@@ -230,8 +244,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     t = Fraction(threshold)
     table = schemes(t)
     spark = docs.sparkSession
-    marks = settle(fingerprints(docs, key, text, words, t), "fingerprints")
-    rows = marks.select(F.explode("keys").alias("key"), "node").repartition(_partitions(spark), "key")
+    marks = settle(nodes(docs, key, text, words), "nodes")
+    rows = fingerprints(docs, text, words, t).repartition(_partitions(spark), "key")
     groups = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"))
     shared = groups.filter("first <> last").select("key", "first", "size")
     scheme = F.col("key").bitwiseAND(F.lit(63)).cast("int")
@@ -244,7 +258,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     wanted = kept.select("node").union(kept.select("first")).distinct()
     known = settle(wanted.join(marks.groupBy("node").agg(F.min("doc").alias("doc")), "node").select("node", F.col("doc").alias(key)), "wanted")
     texts = docs.select(key, text).join(known.select(key).distinct(), key, "left_semi")
-    sets = _fragments(texts, key, text, words, t).join(known.select("node"), "node", "left_semi").dropDuplicates(["node", "s", "part"])
+    sets = _fragments(texts, text, words, t).join(known.select("node"), "node", "left_semi").dropDuplicates(["node", "s", "part"])
     sets = settle(sets, "sets")
     links = settle(_verified(stars, sets, t), "links")
     found = settle(connected_components(links), "classes")
@@ -256,7 +270,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     open_rows = settle(again.join(open_groups.select("key", blocks.alias("blocks")), "key"), "open")
     listed = open_rows.groupBy("node", "s").agg(F.collect_list("key").alias("own"))
     listed = listed.select("node", "s", F.when(F.size("own") <= LISTED, F.col("own")).alias("own"))
-    sketches = marks.select("node", "n", F.explode("sketches").alias("k")).select("node", "n", "k.s", "k.sketch").dropDuplicates(["node", "s"])
+    sketches = sets.filter("part = 0").select("node", "n", "s", "sketch")
     mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
     full = open_rows.join(listed.join(sketches, ["node", "s"]), ["node", "s"])
     full = full.withColumn("m", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
