@@ -40,6 +40,15 @@ DISPLAY = {
 }
 # Texts and units of the built-in checks.
 CORRUPT_REASON = "File Corruption check failed: row data does not conform to input schema in metadata."
+CORRUPT_FOUND = ("There are ", " rows from the input file in the Bronze files did not match the provided schema.")
+NO_TIMESTAMPS = "No timestamp values found in column '{}' - cannot validate freshness"
+COMPLETENESS_FOUND = ("{} - completeness ", "% below threshold {:.0f}%")
+NOTHING_TO_COMPLETE = "No records to validate completeness"
+BATCH_LEVEL = "{} (batch-level metric; falling back to warn)"
+NO_BASELINE = "Skipping anomaly detection: baseline table not accessible or column '{}' not found."
+FEW_RECORDS = ("Skipping anomaly detection: baseline table has ", " records, minimum required is {}.")
+NO_SPREAD = "Skipping anomaly detection: standard deviation is zero or null for column '{}'."
+ANOMALIES_FOUND = ("{} - ", " anomalous value(s) detected")
 UNIT_SECONDS = {"minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400, "month": 30 * 86400}
 
 REPORT_DDL = (
@@ -183,7 +192,7 @@ def _freshness(b: _Build, step: dict, action: str, message: str) -> list[Check]:
     newest = F.max(b.col(column)).cast("timestamp")
     age = (F.unix_micros(b.now) - F.unix_micros(newest)) / F.lit(1e6)
     stale = F.coalesce((age > limit).cast("int"), F.lit(0))
-    none = f"No timestamp values found in column '{column}' - cannot validate freshness"
+    none = NO_TIMESTAMPS.format(column)
     note, act = _batch_level(message, action)
     passed = F.when(newest.isNull(), F.lit(none)).otherwise(F.lit(message))
     return [Check("validate_freshness", act, message, count=stale, note=F.lit(note), passed=passed)]
@@ -200,9 +209,9 @@ def _completeness(b: _Build, step: dict, action: str, message: str) -> list[Chec
         share = F.try_divide(F.count(b.col(c)), F.count(F.lit(1))) * 100
         below = F.coalesce((share < least).cast("int"), F.lit(0))
         said = F.concat(
-            F.lit(f"{note} - completeness "), F.format_string("%.0f", share), F.lit(f"% below threshold {least:.0f}%")
+            F.lit(COMPLETENESS_FOUND[0].format(note)), F.format_string("%.0f", share), F.lit(COMPLETENESS_FOUND[1].format(least))
         )
-        empty = F.when(F.count(F.lit(1)) == 0, F.lit("No records to validate completeness")).otherwise(F.lit(label))
+        empty = F.when(F.count(F.lit(1)) == 0, F.lit(NOTHING_TO_COMPLETE)).otherwise(F.lit(label))
         out.append(Check("validate_completeness", act, label, c, count=below, note=said, passed=empty))
     return out
 
@@ -210,7 +219,7 @@ def _completeness(b: _Build, step: dict, action: str, message: str) -> list[Chec
 def _batch_level(message: str, action: str) -> tuple[str, str]:
     """Checks on the batch as a whole cannot mark or quarantine rows."""
     if action in ("mark", "quarantine"):
-        return f"{message} (batch-level metric; falling back to warn)", "warn"
+        return BATCH_LEVEL.format(message), "warn"
     return message, action
 
 
@@ -224,7 +233,7 @@ def _anomaly(b: _Build, step: dict, action: str, message: str) -> list[Check]:
     for c in columns:
         label, value = _labelled(message, c, columns), b.col(c).cast("double")
         if b.baseline is None or c not in b.baseline.columns:
-            gone = f"Skipping anomaly detection: baseline table not accessible or column '{c}' not found."
+            gone = NO_BASELINE.format(c)
             out.append(Check("validate_anomaly", action, label, c, fails=F.lit(False), skip=F.lit(gone)))
             continue
         history = b.baseline.select(F.col(f"`{c}`").cast("double").alias("v")).filter("v IS NOT NULL")
@@ -247,14 +256,14 @@ def _anomaly(b: _Build, step: dict, action: str, message: str) -> list[Check]:
         b.df = b.df.withColumn(tag, stats.select(F.struct("*")).scalar())
         size = F.col(f"{tag}.n")
         few = F.concat(
-            F.lit("Skipping anomaly detection: baseline table has "), size.cast("string"),
-            F.lit(f" records, minimum required is {least}."),
+            F.lit(FEW_RECORDS[0]), size.cast("string"),
+            F.lit(FEW_RECORDS[1].format(least)),
         )
-        flat = f"Skipping anomaly detection: standard deviation is zero or null for column '{c}'."
+        flat = NO_SPREAD.format(c)
         usable = (size >= least) & ~useless
         fails = F.coalesce(usable & odd, F.lit(False))
         skip = F.when(F.max(size) < least, F.max(few)).when(F.bool_and(useless), F.lit(flat))
-        found = F.concat(F.lit(f"{label} - "), F.count_if(fails).cast("string"), F.lit(" anomalous value(s) detected"))
+        found = F.concat(F.lit(ANOMALIES_FOUND[0].format(label)), F.count_if(fails).cast("string"), F.lit(ANOMALIES_FOUND[1]))
         out.append(Check("validate_anomaly", action, label, c, fails=fails, skip=skip, note=found))
     return out
 
@@ -395,8 +404,7 @@ def _line(i: int, c: Check) -> Column:
     if corrupt:
         outcome = F.lit("Warning")
         message = F.concat(
-            F.lit("There are "), n.cast("string"),
-            F.lit(" rows from the input file in the Bronze files did not match the provided schema."),
+            F.lit(CORRUPT_FOUND[0]), n.cast("string"), F.lit(CORRUPT_FOUND[1]),
         )
     hit = broken & skip.isNull()
     held = c.action == "quarantine"
