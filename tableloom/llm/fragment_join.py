@@ -12,8 +12,8 @@ fragments, and every set with it, once to find candidates and once to count:
   a set with no more of them than ``spare`` allows for, which loses no pair.
 * *Counts.* The overlap of a candidate pair is counted fragment by fragment and summed per pair.
 
-Documents with equal sets are one node. Groups of near copies are not expanded: in a
-group each node is first verified against the smallest one; then, between
+Documents with equal sets are one node. Groups of near copies are not expanded: each
+node is first verified against the smallest one of most of its groups; then, between
 nodes that are still in different components, short sketches of finer fragments are compared block
 by block inside the tasks, and only pairs that can reach the threshold are counted.
 A group of any size is dealt over its pairs of blocks.
@@ -254,7 +254,9 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     spare = F.element_at(F.array(*[F.lit(x.spare_common) for x in table]), F.col("s") + 1)
     weak = grouped.filter(F.col("size") > COMMON).groupBy("node", "s").agg(F.count(F.lit(1)).alias("common"))
     kept = grouped.join(weak, ["node", "s"], "left").filter((F.col("size") <= COMMON) | (F.col("common") > spare)).drop("common")
-    stars = settle(kept.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"), "s").distinct(), "stars")
+    # one pair for each node first: that with the smallest node of most of its groups
+    often = kept.filter("node <> first").groupBy("node", "s", "first").agg(F.count(F.lit(1)).alias("n"))
+    stars = often.groupBy(F.col("node").alias("a"), "s").agg(F.max_by("first", F.struct("n", "first")).alias("b")).select("a", "b", "s")
     wanted = kept.select("node").union(kept.select("first")).distinct()
     known = settle(wanted.join(marks.groupBy("node").agg(F.min("doc").alias("doc")), "node").select("node", F.col("doc").alias(key)), "wanted")
     texts = docs.select(key, text).join(known.select(key).distinct(), key, "left_semi")
@@ -263,7 +265,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     links = settle(_verified(stars, sets, t), "links")
     found = settle(connected_components(links), "classes")
 
-    again = kept.filter("size > 2").join(found, F.col("node") == F.col("id"), "left")
+    again = kept.join(found, F.col("node") == F.col("id"), "left")
     again = again.select("key", "node", "s", F.coalesce("component", "node").alias("comp"))
     open_groups = again.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
