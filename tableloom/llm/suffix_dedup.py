@@ -177,7 +177,7 @@ def _counted_strings(stretches: DataFrame, parts: int) -> DataFrame:
             other = np.multiply.accumulate(np.full(_SLICE + LENGTH + 1, _OTHER))
             back = np.multiply.accumulate(np.full(_SLICE + LENGTH + 1, np.uint64(pow(int(_OTHER), -1, 1 << 64))))
         for batch in batches:
-            for piece in pieces(batch, "body", _SLICE // 2):
+            for piece in pieces(batch, "body", _SLICE // 8):
                 bodies = [x.as_py() for x in piece.column("body")]
                 b = np.frombuffer(b"".join(bodies), np.uint8).astype(np.uint64) + np.uint64(1)
                 count = np.array([len(x) - LENGTH + 1 for x in bodies])
@@ -232,7 +232,7 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     sizes = different.groupBy("key").agg(F.count(F.lit(1)).alias("stretches"))
     wanted = different.join(sizes, "key").withColumn("common", F.col("stretches") > COMMON)
     bodies = settle(_stretches(rows, wanted), "bodies")
-    runs = _sorted_shards(bodies.filter("NOT common"), width).unionByName(_counted_strings(bodies.filter("common"), width))
+    runs = _sorted_shards(bodies.filter("NOT common"), 4 * width).unionByName(_counted_strings(bodies.filter("common"), width))
     # a stretch that occurs twice repeats as a whole
     twice = different.filter("n > 1").select("key", "mark", F.array(F.struct(F.lit(0).alias("a"), (F.col("last") - F.col("first")).alias("b"))).alias("runs"))
     part = again.filter("NOT alike").join(runs.unionByName(twice), ["key", "mark"]).select("row", "first", F.explode("runs").alias("r"))
