@@ -34,7 +34,9 @@ def main() -> None:
     spark = get_spark(
         "bench", f"local[{cpus}]",
         **{
-            "spark.checkpoint.dir": scratch,"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.log.level": "ERROR"},
+            "spark.checkpoint.dir": scratch, "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g",
+            "spark.ui.enabled": "false", "spark.log.level": "ERROR",
+        },
     )
     queries, seconds = all_queries(), {}
     for name in sys.argv[1:] or HEADLINE:
