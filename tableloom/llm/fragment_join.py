@@ -43,7 +43,7 @@ from tableloom.operators.graph import connected_components
 from tableloom.session import settle
 
 #: A fingerprint of more rows than this is common; blocks of this many nodes are compared in a task.
-COMMON, BLOCK = 256, 512
+COMMON, BLOCK = 64, 512
 #: Open groups of a node that are listed with it, and pairs compared at once.
 LISTED, TOGETHER = 128, 1 << 17
 #: Members of a fragment when overlaps are counted.
@@ -253,7 +253,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     grouped = settle(grouped.select("key", "node", "first", "size", scheme.alias("s")), "groups")
     spare = F.element_at(F.array(*[F.lit(x.spare_common) for x in table]), F.col("s") + 1)
     weak = grouped.filter(F.col("size") > COMMON).groupBy("node", "s").agg(F.count(F.lit(1)).alias("common"))
-    kept = grouped.join(weak, ["node", "s"], "left").filter((F.col("size") <= COMMON) | (F.col("common") > spare)).drop("common")
+    kept = grouped.join(weak, ["node", "s"], "left").filter((F.col("size") <= COMMON) | (F.col("common") > spare))
+    kept = settle(kept.drop("common"), "kept")
     # one pair for each node first: that with the smallest node of most of its groups
     often = kept.filter("node <> first").groupBy("node", "s", "first").agg(F.count(F.lit(1)).alias("n"))
     stars = often.groupBy(F.col("node").alias("a"), "s").agg(F.max_by("first", F.struct("n", "first")).alias("b")).select("a", "b", "s")
