@@ -30,7 +30,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -73,9 +72,14 @@ def schemes(t: Fraction, most: int = 1 << 40) -> list[Scheme]:
     return out
 
 
-@lru_cache(4096)
+_EDGES: dict[int, np.ndarray] = {}
+
+
 def _edges(parts: int) -> np.ndarray:
-    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    """Inner edges of equal ranges; a task remembers those of its schemes."""
+    if parts not in _EDGES:
+        _EDGES[parts] = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    return _EDGES[parts]
 
 
 def _cut(members: np.ndarray, parts: int) -> np.ndarray:
