@@ -1,9 +1,11 @@
 """Toxicity by compression distance: which of two dictionaries makes a window shorter.
 
 Two zstandard dictionaries are trained on a bounded, documented sample of
-labelled rows: one on toxic and one on ordinary text. A dictionary is the class's
-most telling words and word beginnings followed by the words common to both
-classes; the parts common to both sit at the same distance from a window, so
+labelled rows: one on toxic and one on ordinary text. A dictionary is the telling
+words and word beginnings of its own class followed by the words common to both
+classes. The class with fewer telling words (ordinary text may have none, when
+toxic text is ordinary text with words added) is filled up with common words in
+front; the common part sits at the same distance from a window in both, so
 that two lengths of a window differ only by what tells the classes apart. Each
 text, whole, is cut into short overlapping windows, every window is compressed
 with both dictionaries, and the distribution of the differences is turned into a
@@ -34,6 +36,8 @@ SAMPLE_BYTES = 64 << 10
 #: A window is WINDOW bytes and reaches OVERLAP bytes into the next, so a word at an edge is whole in one of them.
 WINDOW, OVERLAP, LEVEL = 48, 12, 4
 COMMON_WORDS = 900
+#: A telling word leans to its class by LEAN standard errors (less on small samples) and is RATIO times as usual there.
+LEAN, RATIO = 4.2, 4
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -134,16 +138,23 @@ def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
         return (a / n - b / m) / (p * (1 - p) * (1 / n + 1 / m) + 1e-12) ** 0.5
 
     words = [w for w in count[0].keys() | count[1].keys() if count[0][w] + count[1][w] >= 5]
-    #: A telling word leans by eight standard errors (less on small samples) and is ten times as usual in its class.
-    least = min(8.0, (n + m) ** 0.5 / 4)
-    telling = [w for w in words if lean(w) > least and count[0][w] / n > 10 * (count[1][w] + 1) / m]
-    telling.sort(key=lambda w: (lean(w), w))
-    known = set(telling)
+    least = min(LEAN, (n + m) ** 0.5 / 4)
+
+    def telling(sign: int, here: Counter, there: Counter, h: int, t: int) -> list[str]:
+        own = {w for w in words if sign * lean(w) > least and here[w] / h > RATIO * (there[w] + 0.5) / t}
+        # a telling beginning stands for its rarer continuations, whose ends are ordinary text
+        own = {w for w in own if "~" in w or w[:5] + "~" not in own or len(w) <= 5 or here[w] >= 0.3 * here[w[:5] + "~"]}
+        return sorted(own, key=lambda w: (sign * lean(w), w))
+
+    sides = [telling(1, count[0], count[1], n, m), telling(-1, count[1], count[0], m, n)]
+    known = {w for side in sides for w in side}
     common = sorted((w for w in words if w not in known and "~" not in w), key=lambda w: (count[0][w] / n + count[1][w] / m, w))
     shared = " ".join(common[-COMMON_WORDS:]).encode() + b" "
-    own = " ".join(dict.fromkeys(w.rstrip("~") for w in telling)).encode() + b" "
-    filler = (shared * (len(own) // len(shared) + 1))[:len(own)]
-    return own + shared, filler + shared
+    own = [" ".join(dict.fromkeys(w.rstrip("~") for w in side)).encode() + b" " for side in sides]
+    size = max(map(len, own))
+    filler = shared * (size // len(shared) + 1)
+    one, two = (filler[:size - len(x)] + x + shared for x in own)
+    return one, two
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 40) -> np.ndarray:

@@ -175,6 +175,16 @@ def test_empty_tables(frame):
     assert secret_links.secret_digest(empty).count() == 0
 
 
+def test_both_dictionaries_hold_their_own_and_rare_words():
+    rng = random.Random(7)
+    plain = ["".join(rng.choice("abcdefghiklmnoprstuv") for _ in range(6)) for _ in range(300)]
+    toxic = [" ".join(rng.choices(plain, k=30) + ["grobnak"] * (i < 25)) for i in range(400)]
+    ordinary = [" ".join(rng.choices(plain, k=30) + ["gardenia"] * (i < 40)) for i in range(400)]
+    one, two = toxicity._dictionaries(toxic, ordinary)
+    assert b"grobnak" in one and b"grobnak" not in two
+    assert b"gardenia" in two and b"gardenia" not in one and len(one) == len(two)
+
+
 def test_toxicity_learns_and_defines_its_edges(frame):
     rng = random.Random(5)
     plain = ["".join(rng.choice("abcdefghiklmnoprstuv") for _ in range(rng.randint(2, 8))) for _ in range(500)]
