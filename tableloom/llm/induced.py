@@ -9,7 +9,8 @@ scanned puts the one before it into the queue of its first character.
 
 The queues are monotone priority queues: first character, then order of arrival. Their
 tuples (position, common prefix with the tuple before) go to a file when more than
-``HELD`` of them wait, and the text is mapped from a file, so a shard may be larger than memory.
+``HELD`` of them wait, and the text is mapped from a file. Kinds, hashes, names, order and marks are
+whole arrays in memory, some 50 bytes for a character at the peak: the caller keeps shards small.
 The common prefix of two tuples is one more than the smallest
 common prefix scanned between their sources. Values are cut at ``cap``.
 """

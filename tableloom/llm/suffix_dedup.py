@@ -7,7 +7,8 @@ strings with one anchor; strings of different anchors cannot be equal. Anchors t
 occur once are done with; where all stretches of an anchor are alike, all of them repeat.
 Only the other stretches are compared: each different one once, sent to the shard of its
 anchor and sorted there with all its suffixes (see ``induced``), whose
-neighbours with a common prefix of ``LENGTH`` are the repeated strings.
+neighbours with a common prefix of ``LENGTH`` are the repeated strings. The number of
+shards follows from the bytes to be sorted, so that a shard fits into a task's memory.
 
 An anchor with very many different stretches, such as the edge of a passage that a third
 of all documents share, is not put into one shard: its strings are counted one
@@ -35,6 +36,8 @@ from tableloom.session import settle
 LENGTH, GRAM = 200, 32
 #: Stretches of one anchor that may meet in one shard.
 COMMON = 128
+#: Bytes of stretches that a shard holds on average; its sort needs some 50 bytes of memory for each of them.
+SHARD_BYTES = 8 << 20
 _SLICE = 1 << 20
 _BASE, _OTHER = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -119,6 +122,12 @@ def _runs(marks: np.ndarray) -> list[dict]:
 _RUNS = "key long, mark long, runs array<struct<a:int,b:int>>"
 
 
+def _shards(stretches: DataFrame, least: int) -> int:
+    """So many shards that each stays at ``SHARD_BYTES``, whatever the input; an anchor has ``COMMON`` stretches of under 400 bytes at most."""
+    size = stretches.agg(F.coalesce(F.sum(F.octet_length("body") + F.lit(1)), F.lit(0))).first()[0]
+    return max(least, -(-size // SHARD_BYTES))
+
+
 def _sorted_shards(stretches: DataFrame, shards: int) -> DataFrame:
     """Runs of repeated strings in each stretch, one suffix sort in each partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +241,8 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     sizes = different.groupBy("key").agg(F.count(F.lit(1)).alias("stretches"))
     wanted = different.join(sizes, "key").withColumn("common", F.col("stretches") > COMMON)
     bodies = settle(_stretches(rows, wanted), "bodies")
-    runs = _sorted_shards(bodies.filter("NOT common"), 4 * width).unionByName(_counted_strings(bodies.filter("common"), width))
+    rare = bodies.filter("NOT common")
+    runs = _sorted_shards(rare, _shards(rare, 4 * width)).unionByName(_counted_strings(bodies.filter("common"), width))
     # a stretch that occurs twice repeats as a whole
     twice = different.filter("n > 1").select("key", "mark", F.array(F.struct(F.lit(0).alias("a"), (F.col("last") - F.col("first")).alias("b"))).alias("runs"))
     part = again.filter("NOT alike").join(runs.unionByName(twice), ["key", "mark"]).select("row", "first", F.explode("runs").alias("r"))

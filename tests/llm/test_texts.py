@@ -203,3 +203,21 @@ def test_toxicity_learns_and_defines_its_edges(frame):
     none = toxicity.classify(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5} and len(none) == len(rows) + 3
     assert toxicity.classify(docs.limit(0), labels).count() == 0
+
+
+def test_shards_follow_the_bytes(frame, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 1000)
+    few = frame("key long, mark long, body binary", [(i, i, b"x" * 299) for i in range(40)])
+    assert suffix_dedup._shards(few, 4) == 12 and suffix_dedup._shards(few, 50) == 50 and suffix_dedup._shards(few.limit(0), 4) == 4
+    rng = random.Random(3)
+    shared = "".join(rng.choices("abcdef ", k=400))
+    texts = ["".join(rng.choices("abcdef ", k=300)) + shared[i:i + 300] for i in range(0, 60, 3)]
+    counted = []
+    monkeypatch.setattr(suffix_dedup, "_sorted_shards", lambda s, n, real=suffix_dedup._sorted_shards: counted.append(n) or real(s, n))
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.dedup(frame("doc_id long, text string", list(enumerate(texts)))).collect()}
+    starts = [[t[i:i + 200] for i in range(len(t) - 199)] for t in texts]
+    seen = [s for t in starts for s in t]
+    for i, t in enumerate(starts):
+        gone = {j for a, s in enumerate(t) if seen.count(s) > 1 for j in range(a, a + 200)}
+        assert got[i] == len(gone) > 0
+    assert len(counted) == 1
