@@ -12,7 +12,7 @@ shards follows from the bytes to be sorted, so that a shard fits into a task's m
 
 An anchor with very many different stretches, such as the edge of a passage that a third
 of all documents share, is not put into one shard: its strings are counted one
-by one by 128-bit hashes, which spreads them over all tasks.
+by one by 128-bit hashes, summed in each task before they are spread over all tasks.
 
 Defined cases: a null text is an empty one; texts shorter than ``LENGTH`` lose nothing;
 repeated rows are texts that repeat each other; overlapping repetitions count;
@@ -156,30 +156,15 @@ def _sorted_shards(stretches: DataFrame, shards: int) -> DataFrame:
     return stretches.select("key", "mark", "body").repartition(shards, "key").mapInArrow(run, _RUNS)
 
 
-_STRING = np.dtype([("h", "<i8"), ("g", "<i8"), ("key", "<i8"), ("mark", "<i8"), ("at", "<i4")])
+_STRINGS = "h long, g long, key long, mark long, at int"
 
 
-def _packed(rows: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
-    """Rows sorted by part, those of a part as one value."""
-    order = np.argsort(part, kind="stable")
-    rows, part = rows[order], part[order]
-    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    blocks = [x.tobytes() for x in np.split(rows, edges[1:])]
-    return pa.RecordBatch.from_arrays([pa.array(part[edges], pa.int64()), pa.array(blocks, pa.binary())], names=["part", "block"])
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-    blocks = [np.frombuffer(x.as_py(), _STRING) for batch in batches for x in batch.column("block")]
-    return np.concatenate(blocks) if blocks else np.empty(0, _STRING)
-
-
-def _counted_strings(stretches: DataFrame, parts: int) -> DataFrame:
+def _counted_strings(stretches: DataFrame) -> DataFrame:
     """The same for the stretches of common anchors, by counting each string's hash.
 
-    Strings travel packed by a part of their hash, and the repeated ones once more, back to their stretch.
+    Counts are summed in each task before they are shuffled, and only the hashes of the repeated strings are joined back, so
+    that a string of very many stretches is one row a task when it is counted, and a skewed key that AQE splits when joined.
     """
-    many = 4 * parts
-
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Anchors()
         with np.errstate(over="ignore"):
@@ -193,40 +178,30 @@ def _counted_strings(stretches: DataFrame, parts: int) -> DataFrame:
                 begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
                 at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 start = np.repeat(begin, count) + at
-                rows = np.empty(len(at), _STRING)
+                hashes = []
                 with np.errstate(over="ignore"):
-                    for name, power, inverse in (("h", find.power, find.back), ("g", other, back)):
+                    for power, inverse in ((find.power, find.back), (other, back)):
                         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(b * power[:len(b)])))
-                        rows[name] = mix((sums[start + LENGTH] - sums[start]) * inverse[start]).view(np.int64)
-                rows["key"], rows["mark"] = (np.repeat(piece.column(c).to_numpy(), count) for c in ("key", "mark"))
-                rows["at"] = at
-                yield _packed(rows, rows["h"] % many)
-
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _unpacked(batches)
-        rows = rows[np.lexsort((rows["g"], rows["h"]))]
-        same = (rows["h"][1:] == rows["h"][:-1]) & (rows["g"][1:] == rows["g"][:-1])
-        rows = rows[np.concatenate((same, [False])) | np.concatenate(([False], same))] if len(rows) else rows
-        if len(rows):
-            yield _packed(rows, (rows["key"] ^ rows["mark"]) % many)
+                        hashes.append(mix((sums[start + LENGTH] - sums[start]) * inverse[start]).view(np.int64))
+                place = [np.repeat(piece.column(c).to_numpy(), count) for c in ("key", "mark")]
+                columns = [*hashes, *place, at.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "g", "key", "mark", "at"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _unpacked(batches)
-        if not len(rows):
-            return
-        rows = rows[np.lexsort((rows["at"], rows["mark"], rows["key"]))]
-        other = (rows["key"][1:] != rows["key"][:-1]) | (rows["mark"][1:] != rows["mark"][:-1])
-        first = np.flatnonzero(np.concatenate(([True], other | (rows["at"][1:] != rows["at"][:-1] + 1))))
-        last = np.append(first[1:], len(rows)) - 1
         kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-        for lo in range(0, len(first), 10_000):
-            f, t = first[lo:lo + 10_000], last[lo:lo + 10_000]
-            found = [[{"a": a, "b": b}] for a, b in zip(rows["at"][f].tolist(), rows["at"][t].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(rows["key"][f]), pa.array(rows["mark"][f]), pa.array(found, kind)], names=["key", "mark", "runs"])
+        for batch in batches:
+            found = []
+            for places in batch.column("places"):
+                at = np.sort(places.values.to_numpy())
+                first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1] + 1)))
+                found.append([{"a": a, "b": b} for a, b in zip(at[first].tolist(), at[np.append(first[1:], len(at)) - 1].tolist())])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), pa.array(found, kind)], names=["key", "mark", "runs"])
 
-    packed = stretches.select("key", "mark", "body").mapInArrow(strings, "part long, block binary").repartition(parts, "part")
-    hit = packed.mapInArrow(repeated, "part long, block binary").repartition(parts, "part")
-    return hit.mapInArrow(runs, _RUNS)
+    every = stretches.select("key", "mark", "body").mapInArrow(strings, _STRINGS)
+    twice = every.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "g")
+    # written, so that the join knows its size; a stretch has fewer than LENGTH strings, so its places are few
+    again = every.join(settle(twice, "twice"), ["h", "g"])
+    return again.groupBy("key", "mark").agg(F.collect_list("at").alias("places")).mapInArrow(runs, _RUNS)
 
 
 def repeated_ranges(rows: DataFrame) -> DataFrame:
@@ -242,7 +217,7 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     wanted = different.join(sizes, "key").withColumn("common", F.col("stretches") > COMMON)
     bodies = settle(_stretches(rows, wanted), "bodies")
     rare = bodies.filter("NOT common")
-    runs = _sorted_shards(rare, _shards(rare, 4 * width)).unionByName(_counted_strings(bodies.filter("common"), width))
+    runs = _sorted_shards(rare, _shards(rare, 4 * width)).unionByName(_counted_strings(bodies.filter("common")))
     # a stretch that occurs twice repeats as a whole
     twice = different.filter("n > 1").select("key", "mark", F.array(F.struct(F.lit(0).alias("a"), (F.col("last") - F.col("first")).alias("b"))).alias("runs"))
     part = again.filter("NOT alike").join(runs.unionByName(twice), ["key", "mark"]).select("row", "first", F.explode("runs").alias("r"))

@@ -221,3 +221,11 @@ def test_shards_follow_the_bytes(frame, monkeypatch):
         gone = {j for a, s in enumerate(t) if seen.count(s) > 1 for j in range(a, a + 200)}
         assert got[i] == len(gone) > 0
     assert len(counted) == 1
+
+
+def test_common_strings_are_rows_summed_before_they_meet(frame):
+    shared = bytes(random.Random(4).choices(range(97, 123), k=260))
+    bodies = frame("key long, mark long, body binary", [(1, i, shared + bytes([i])) for i in range(50)] + [(2, 0, bytes(range(210)))])
+    found = suffix_dedup._counted_strings(bodies)
+    assert sorted((r.key, r.mark, [tuple(x) for x in r.runs]) for r in found.collect()) == [(1, i, [(0, 60)]) for i in range(50)]
+    assert suffix_dedup._counted_strings(bodies.limit(0)).count() == 0
