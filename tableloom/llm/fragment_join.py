@@ -21,7 +21,7 @@ A group of any size is dealt over its pairs of blocks.
 Defined cases: a null text, or one without words, has an empty set and is linked
 with nothing; fewer words than n are one n-gram; repeated rows are linked with
 each other; a null id never becomes a component's id unless all of its rows
-have none; an empty table gives an empty result; other columns are not read.
+have none, and its rows link others like any row; rows with one id are rows of their own; an empty table gives an empty result; other columns are not read.
 Sets are told apart by 64-bit fingerprints.
 """
 
@@ -101,17 +101,18 @@ def _node(members: np.ndarray) -> int:
 
 
 def nodes(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``doc, n, node``: the size and the fingerprint of every row's set."""
+    """``doc, h, n, node``: the text's hash, the size and the fingerprint of every row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets = [shingler(value or "") for value in piece.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc"), pa.array([len(m) for m in sets], pa.int64()), pa.array(list(map(_node, sets)), pa.int64())], names=["doc", "n", "node"],
+                    [piece.column("doc"), piece.column("h"), pa.array([len(m) for m in sets], pa.int64()), pa.array(list(map(_node, sets)), pa.int64())],
+                    names=["doc", "h", "n", "node"],
                 )
 
-    return docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, "doc long, n long, node long")
+    return docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).mapInArrow(run, "doc long, h long, n long, node long")
 
 
 def fingerprints(docs: DataFrame, text: str, words: int, t: Fraction) -> DataFrame:
@@ -245,6 +246,12 @@ def _across(rows: DataFrame, t: Fraction, parts: int) -> DataFrame:
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, threshold: str = "0.9") -> DataFrame:
     """``key, n_shingles, component_id`` of every row: the smallest id reachable by links of at least ``threshold``."""
+    own = F.when(F.col("n") > 0, F.col("first.doc")).otherwise(F.col("doc"))
+    return _classes(docs, key, text, words, threshold).select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -> DataFrame:
+    """``doc, h, n, first`` of every row: its id, its text's hash, its set's size, and the first row of its class."""
     t = Fraction(threshold)
     table = schemes(t)
     spark = docs.sparkSession
@@ -263,8 +270,11 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     often = kept.filter("node <> first").groupBy("node", "s", "first").agg(F.count(F.lit(1)).alias("n"))
     stars = often.groupBy(F.col("node").alias("a"), "s").agg(F.max_by("first", F.struct("n", "first")).alias("b")).select("a", "b", "s")
     wanted = kept.select("node").union(kept.select("first")).distinct()
-    known = settle(wanted.join(marks.groupBy("node").agg(F.min("doc").alias("doc")), "node").select("node", F.col("doc").alias(key)), "wanted")
-    texts = docs.select(key, text).join(known.select(key).distinct(), key, "left_semi")
+    # a row is found by its id, which may be missing or repeated, and its text's hash
+    row = F.struct(F.col("doc").isNull().alias("without"), "doc", "h")
+    known = settle(wanted.join(marks.groupBy("node").agg(F.min(row).alias("one")), "node").select("node", "one.doc", "one.h"), "wanted")
+    mine = F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_h"))
+    texts = docs.select(key, text).join(known.select(F.col("doc").alias("_doc"), F.col("h").alias("_h")).distinct(), mine, "left_semi")
     sets = _fragments(texts, text, words, t).join(known.select("node"), "node", "left_semi").dropDuplicates(["node", "s", "part"])
     sets = settle(sets, "sets")
     links = settle(_verified(stars, sets, t), "links")
@@ -289,22 +299,22 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     all_links = links.union(_verified(more, sets, t))
     classes = connected_components(settle(all_links, "links"))
     smallest = marks.filter("n > 0").join(classes, F.col("node") == F.col("id"), "left").withColumn("class", F.coalesce("component", "node"))
-    by_class = smallest.groupBy("node", "class").agg(F.min("doc").alias("doc"))
-    ids = by_class.join(by_class.groupBy("class").agg(F.min("doc").alias("component_id")), "class").select("node", "component_id")
-    named = marks.select("doc", "n", "node").join(ids, "node", "left")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))
-    return named.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+    by_class = smallest.groupBy("node", "class").agg(F.min(row).alias("one"))
+    ids = by_class.join(by_class.groupBy("class").agg(F.min("one").alias("first")), "class").select("node", "first")
+    return marks.select("doc", "h", "n", "node").join(ids, "node", "left").select("doc", "h", "n", "first")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: str = "0.8") -> DataFrame:
     """``docs`` with one row of each class of linked documents: that of the smallest id.
 
-    Documents without words stay; of rows alike in id and text one stays; rows without an
-    id stay together, when one of them is the first of its class.
+    Documents without words stay; of rows alike in id and text one stays. Rows are told apart by id and
+    text: of a repeated id only the rows stay that are first of their class, and a class without any id
+    keeps the row of the text with the smallest hash.
     """
-    found = components(docs, key, text, words, threshold)
-    first = found.filter(F.col("component_id").eqNullSafe(F.col(key))).select(F.col(key).alias("_first")).distinct()
-    kept = docs.join(first, F.col(key).eqNullSafe(F.col("_first")), "left_semi")
+    found = _classes(docs, key, text, words, threshold)
+    stays = (F.col("n") == 0) | (F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("h") == F.col("first.h")))
+    first = found.filter(stays).select(F.col("doc").alias("_doc"), F.col("h").alias("_h")).distinct()
+    kept = docs.join(first, F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_h")), "left_semi")
     alike = Window.partitionBy(key, F.xxhash64(text)).orderBy(*[c for c in docs.columns if c not in (key, text)])
     return kept.withColumn("_nth", F.row_number().over(alike)).filter("_nth = 1").drop("_nth")
 

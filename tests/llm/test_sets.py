@@ -60,6 +60,26 @@ def test_components_equal_all_pairs(frame, monkeypatch, words, threshold):
     assert kept == {i for i, (_, c) in enumerate(linked(texts, words, float(threshold))) if c == i}
 
 
+def test_null_and_repeated_ids_link_like_others(frame):
+    rng = random.Random(11)
+    texts, ids = [], []
+    for base in range(12):
+        words = [f"w{rng.randint(0, 9999)}" for _ in range(60)]
+        for i, name in enumerate([10 + base, None, 40 + base] if base % 3 else [None, None, None]):
+            texts.append(" ".join(words[:58 + i]))
+            ids.append(name)
+    ids[3], ids[8] = 5, 5  # one id in two classes
+    ids[6] = 2
+    want = linked(texts, 3, 0.95)
+    least = {c: min((ids[i] for i, (_, d) in enumerate(want) if d == c and ids[i] is not None), default=None) for _, c in want}
+    docs = frame("doc_id long, text string, lang string", [(i, t, "x") for i, t in zip(ids, texts)])
+    got = fragment_join.components(docs, words=3, threshold="0.95").collect()
+    rows = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got)
+    assert rows == sorted((str(i), n, str(least[c])) for i, (n, c) in zip(ids, want))
+    kept = [r.text for r in fragment_join.one_of_each(docs, words=3, threshold="0.95").collect()]
+    assert sorted(want[texts.index(x)][1] for x in kept) == sorted({c for _, c in want})
+
+
 def test_components_of_no_rows(frame):
     assert fragment_join.components(frame("doc_id long, text string", [])).count() == 0
 
