@@ -22,6 +22,8 @@ import numpy as np
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, (i // 8 if (i // 8 + i % 8) % 2 else i % 8))))
 #: Blocks or units between restart markers, and the widest image in units of 16 samples.
 INTERVAL, WIDEST = 8, 64
+#: Units in 16 bits of samples; an image grows wider than WIDEST when it would be higher.
+HIGHEST = 4095
 OFFSET = 256
 _AC = {0x08: (0, 1)} | {n << 4: (0b10000 + n, 5) for n in range(15)}
 _SCANS = [("dc", 0, 1)] + [("ac", c, lo, hi) for lo, hi in ((1, 5), (6, 63)) for c in range(3)] + [("dc", 1, 0)] + [("fine", c) for c in range(3)]
@@ -43,7 +45,9 @@ _INVERSE = _matrix()
 def shape_for(blocks: int) -> tuple[int, int]:
     """Width and height, in units of 16 samples, of the image for so many blocks of 64 bytes."""
     units = -(-blocks // 6)
-    wide = min(units, WIDEST)
+    wide = min(units, max(WIDEST, -(-units // HIGHEST)))
+    if wide > HIGHEST:
+        raise ValueError(f"a payload of {64 * blocks} bytes is more than an image of {16 * HIGHEST} by {16 * HIGHEST} samples holds")
     return wide, -(-units // wide)
 
 

@@ -5,7 +5,8 @@ A payload is a text's bytes, filled up with zero bytes to a positive multiple of
 it back exactly whatever the picture looks like.
 
 Defined cases: a null or empty text is 64 zero bytes; a null file has no payload and no
-tensor; equal texts give equal files; a file that is no progressive JPEG fails the job;
+tensor; a text of more than about 100 MB gets a wider image, up to the format's 16 bits each
+way (some 6 GB, more than one value of a column can hold); equal texts give equal files; a file that is no progressive JPEG fails the job;
 an empty table gives an empty result. Extra columns are carried along, and one named
 like a result column is replaced.
 """

@@ -320,3 +320,12 @@ def test_pipeline_on_the_smallest_tables(spark):
     assert hidden.count() == docs.count() and hidden.filter("text rlike '[0-9a-f]{16,}'").isEmpty()
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
+
+
+def test_very_long_payloads_get_wider_images():
+    for blocks in (1, 6 * 64, 6 * 64 * 4095, 6 * 64 * 4095 + 1, 6 * 4095 * 4095):
+        wide, high = jpeg.shape_for(blocks)
+        assert 6 * wide * high >= blocks and max(wide, high) * 16 < 1 << 16
+    assert jpeg.shape_for(6 * 64 * 4095) == (64, 4095)
+    with pytest.raises(ValueError):
+        jpeg.shape_for(6 * 4095 * 4095 + 1)
