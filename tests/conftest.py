@@ -30,7 +30,3 @@ def spark(tmp_path_factory):
 def frame(spark):
     """``frame(ddl, rows)`` builds a small frame."""
     return lambda ddl, rows: spark.createDataFrame(rows, ddl)
-
-
-def as_set(df, *columns):
-    return {tuple(r) for r in (df.select(*columns) if columns else df).collect()}

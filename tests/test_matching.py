@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.sql import functions as F
 
 from tableloom.operators import graph

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 

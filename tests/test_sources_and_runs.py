@@ -5,7 +5,7 @@ import time
 from datetime import datetime
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.sql import functions as F
 
 from tableloom.operators.merge import DeleteFlag
