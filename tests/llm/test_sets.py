@@ -8,9 +8,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tableloom.llm import curriculum, fragment_join, induced, jpeg, topk
-from tableloom.llm.induced import Shard
-from tableloom.llm.shingles import Shingler
+pytest.importorskip("tableloom.llm")
+
+from tableloom.llm import curriculum, fragment_join, induced, jpeg, topk  # noqa: E402
+from tableloom.llm.induced import Shard  # noqa: E402
+from tableloom.llm.shingles import Shingler  # noqa: E402
 
 
 def linked(texts, words, t):

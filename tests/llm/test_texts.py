@@ -10,8 +10,10 @@ import zlib
 import numpy as np
 import pytest
 
-from tableloom.llm import media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, toxicity
-from tableloom.llm.queries import tokenizer
+pytest.importorskip("tableloom.llm")
+
+from tableloom.llm import media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, toxicity  # noqa: E402
+from tableloom.llm.queries import tokenizer  # noqa: E402
 
 ODD = [
     None, "", " ", "   ", "a  b", "▁", "a▁b ", "\n\nx\n", "a\x1eb \x1e c", "日本語 😀 é́", "x" * 3000, "word " * 4000, "tab\there\r\n", "a\x00b",
