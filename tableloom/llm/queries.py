@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import curriculum, fragment_join, media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, topk, toxicity
+from tableloom.llm import curriculum, fragment_join, hash_tree, media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, topk, toxicity
 from tableloom.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,3 +199,46 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_suffix_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, folder, "documents"))
+
+
+def _tree_sql() -> str:
+    """The same descent in SQL: one row for each child of a level, the earliest clock kept; sums of bytes by a table of remainders."""
+    tree, new = hash_tree.FORTY, hash_tree.NEXT
+    regions = [(r, sum(map(sum, racks))) for r, racks in enumerate(tree.base)]
+    racks = [(r, k, sum(rack)) for r, region in enumerate(tree.base) for k, rack in enumerate(region)]
+    leaves = [(r, k, s, w) for r, region in enumerate(tree.base) for k, rack in enumerate(region) for s, w in enumerate(rack)]
+    leaves = [(*leaf, n) for n, leaf in enumerate(leaves)]
+    rows = lambda values: ", ".join("(" + ", ".join(map(repr, v)) + ")" for v in values)
+    draw = lambda name: f"('0x' || substr(md5(k || '|' || {name}), 1, {hash_tree.DIGITS}))::BIGINT::DOUBLE"
+    clock = lambda name, weight: f"-ln(({draw(name)} + 1) / {hash_tree.SPAN!r}::DOUBLE) / ({weight})::DOUBLE"
+    return f"""
+WITH RECURSIVE bits AS (
+  SELECT i, i AS c, 0 AS turn FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, turn + 1 FROM bits WHERE turn < 8
+), remainders AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE turn = 8),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id::VARCHAR, '') AS k, coalesce(strlen(text), 0)::BIGINT + {hash_tree.ROW_BYTES} AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
+      lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)::BIGINT AS text_crc32
+  FROM documents, remainders
+),
+regions(region, w) AS (VALUES {rows(regions)}), racks(region, rack, w) AS (VALUES {rows(racks)}),
+leaves(region, rack, leaf, w, shard) AS (VALUES {rows(leaves)}),
+a AS (SELECT rid, arg_min(region, c) AS region, min(c) AS clock FROM (SELECT rid, region, {clock("'region ' || region", "w")} AS c FROM d, regions) GROUP BY rid),
+b AS (
+  SELECT rid, any_value(region) AS region, arg_min(rack, c) AS rack
+  FROM (SELECT rid, region, rack, {clock("'rack ' || region || '.' || rack", "w")} AS c FROM d JOIN a USING (rid) JOIN racks USING (region)) GROUP BY rid
+), e AS (
+  SELECT rid, arg_min(shard, c) AS shard
+  FROM (SELECT rid, shard, {clock("'shard ' || region || '.' || rack || '.' || leaf", "w")} AS c FROM d JOIN b USING (rid) JOIN leaves USING (region, rack)) GROUP BY rid
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY {draw("'slot'")}, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+  (CASE WHEN {clock(f"'added {tree.built} in region {new.region}, rack {new.rack}'", new.weight)} < clock THEN {tree.built} ELSE shard END)::INT AS grown_shard
+FROM d JOIN a USING (rid) JOIN e USING (rid)
+"""
+
+
+@query("op12_hash_tree", _tree_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return hash_tree.assign(table(spark, folder, "documents").select("doc_id", "text"))
