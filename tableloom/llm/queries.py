@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import curriculum, fragment_join, hash_tree, media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, topk, toxicity
+from tableloom.llm import curriculum, divergence, fragment_join, hash_tree, media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, topk, toxicity
 from tableloom.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,3 +242,37 @@ FROM d JOIN a USING (rid) JOIN e USING (rid)
 @query("op12_hash_tree", _tree_sql())
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return hash_tree.assign(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), e AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS total FROM e GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(total) AS words FROM kept GROUP BY lang),
+n AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM e SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT lang, source, coalesce(v, 0)::HUGEINT AS v, coalesce(langs.words, 0)::HUGEINT AS lang_words, coalesce(s.words, 0)::HUGEINT AS words
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN langs USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS words FROM n GROUP BY ALL) s USING (lang, source)
+), p AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(n.n, 0) AS n, 1 + 1000000000 * (coalesce(n.n, 0) + 1) // (g.words + g.v) AS p,
+    1 + 1000000000 * (k.total + 1) // (g.lang_words + g.v) AS q
+  FROM g JOIN kept k USING (lang) LEFT JOIN n USING (lang, source, term)
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q
+), r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op11_divergence", DIVERGENCE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents").select("lang", "source", "text"))
