@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import curriculum, divergence, fragment_join, hash_tree, media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, topk, toxicity
+from tableloom.llm import cover_tree, curriculum, divergence, fragment_join, hash_tree, media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, topk, toxicity
 from tableloom.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,3 +276,30 @@ SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank
 @query("op11_divergence", DIVERGENCE_SQL)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents").select("lang", "source", "text"))
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS alike, list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@query("op13_cover_tree", NEGATIVES_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return cover_tree.mine(table(spark, folder, "embeddings"), "vec_id", "embedding", label, F.col("id") % 50 == 0)
