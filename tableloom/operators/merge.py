@@ -149,6 +149,18 @@ def first_load(source: DataFrame) -> DataFrame:
     return source.drop(*CHANGE_COLUMNS)
 
 
+def is_ranged(source: DataFrame, column: str) -> bool:
+    """Whether a batch covers a range of ``column`` (dates and numbers) or the values it has."""
+    return isinstance(type_of(source, column), (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def in_range(source: DataFrame, column: str) -> Column:
+    """True between the smallest and the largest value of ``column`` in the batch, a one-row subquery; else false."""
+    value = F.col(f"`{column}`")
+    low, high = source.agg(F.min(value)).scalar(), source.agg(F.max(value)).scalar()
+    return F.coalesce(value.between(low, high), F.lit(False))
+
+
 def replace_where(
     target: DataFrame, source: DataFrame, column: str, max_values: int | None = None
 ) -> DataFrame:
@@ -163,9 +175,8 @@ def replace_where(
     value = F.col(f"`{column}`")
     refuse = F.raise_error(F.lit(f"replace_where: null '{column}' in the batch")).cast("boolean")
     checked = source.filter(F.when(value.isNull(), refuse).otherwise(F.lit(True)))
-    if isinstance(type_of(source, column), (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        low, high = source.agg(F.min(value)).scalar(), source.agg(F.max(value)).scalar()
-        kept = target.filter(~F.coalesce(value.between(low, high), F.lit(False)))
+    if is_ranged(source, column):
+        kept = target.filter(~in_range(source, column))
     else:
         values = source.select(value).filter(value.isNotNull()).distinct()
         if max_values is not None:
@@ -206,47 +217,58 @@ def net_effect(
 ) -> tuple[DataFrame, DataFrame]:
     """Target and source for one ``merge_and_delete`` that does what one merge per batch would.
 
-    The ordered batches of a key are folded once for a key that the target has and once for one that
-    it has not: a flagged row removes a present key, any other row sets its values, and a row
-    for an absent key begins it anew. Keys removed and begun again leave the target
-    first, so that they get a new creation time. A key has one row per batch, so a fold is as long as its batches.
-    """
-    source = one_row_per_key(once(source, "batches"), [*keys, *batch_columns], "merge source")
-    row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
-    item = F.struct(F.struct(*[F.col(f"`{c}`") for c in batch_columns]).alias("o"), delete.holds(F.col(f"`{delete.column}`")).alias("gone"), row.alias("row"))
-    grouped = source.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = f"struct<live:boolean,fresh:boolean,row:{source.select(row.alias('r')).schema['r'].dataType.simpleString()},born:{_born_type(source)}>"
-    born = lambda x: x["row"][CREATED] if CREATED in source.columns else F.lit(None).cast("timestamp")
-
-    def fold(present: bool) -> Column:
-        start = F.struct(F.lit(present).alias("live"), F.lit(False).alias("fresh"), F.lit(None).alias("row"), F.lit(None).alias("born")).cast(kind)
-        gone = F.struct(F.lit(False).alias("live"), F.lit(False).alias("fresh"), F.lit(None).alias("row"), F.lit(None).alias("born")).cast(kind)
-
-        def step(state: Column, x: Column) -> Column:
-            begun = F.struct(F.lit(True).alias("live"), F.lit(True).alias("fresh"), x["row"].alias("row"), born(x).alias("born")).cast(kind)
-            kept = F.struct(F.lit(True).alias("live"), state["fresh"].alias("fresh"), x["row"].alias("row"), state["born"].alias("born")).cast(kind)
-            return F.when(state["live"] & x["gone"], gone).when(state["live"], kept).otherwise(begun)
+    In the order of its batches, a flagged row removes a key that is there, any other row sets its values, and a row
+    for an absent key begins it anew, even a flagged one. So a row without flag always leaves the key there, and every
+    flagged row turns it over. What a key's batches come to follows from a few aggregates, which Spark combines before
+    the shuffle and joins back, however many batches a key has:
 
-        return F.aggregate("items", start, step)
+    * its last row, and its last flagged row;
+    * the number of flagged rows that end with the latter, back to the last row without flag before it or to the
+      start: together with what was there before, its parity says whether the key is there after them;
+    * the first row behind them, which begins the key anew if it is not.
 
+    Keys removed and begun again leave the target first, so that they get a new creation time.
+    """
+    source = one_row_per_key(once(source, "batches"), [*keys, *batch_columns], "merge source")
+    order = F.struct(*[F.col(f"`{c}`") for c in batch_columns])
+    created = F.col(f"`{CREATED}`") if CREATED in source.columns else F.lit(None).cast("timestamp")
+    steps = source.select(*[F.col(f"`{k}`") for k in keys], order.alias("__o"), delete.holds(F.col(f"`{delete.column}`")).alias("__gone"), created.alias("__at"))
+    ends = steps.groupBy(*keys).agg(F.max("__o").alias("__last"), F.max(F.when(F.col("__gone"), F.col("__o"))).alias("__flag"))
+    seen = mark_by_keys(steps, keys, ends)
+    before, after = F.col("__o") < F.col("__flag"), F.col("__flag").isNull() | (F.col("__o") > F.col("__flag"))
+    alive = ~F.col("__gone")
+    edges = seen.groupBy(*keys, "__last", "__flag").agg(
+        F.max(F.when(alive & before, F.col("__o"))).alias("__live"),
+        F.min_by("__at", F.when(alive & after, F.col("__o"))).alias("__behind"),
+        F.min_by("__at", F.when(F.col("__gone") & (F.col("__o") == F.col("__flag")), F.col("__o"))).alias("__turned"),
+    )
+    edges = once(edges, "edges")
+    counted = mark_by_keys(steps.filter("__gone").select(*keys, "__o"), keys, edges.select(*keys, "__live"))
+    flags = counted.filter(F.col("__live").isNull() | (F.col("__o") > F.col("__live"))).groupBy(*keys).agg(F.count(F.lit(1)).alias("__flags"))
     have = target.select(*keys).distinct().withColumn("__have", F.lit(True))
-    known = mark_by_keys(grouped, keys, have)
-    state = known.withColumn("__s", F.when(F.col("__have"), fold(True)).otherwise(fold(False)))
-    last = F.element_at("items", -1)
-    state = once(state.select(*keys, "__have", "__s", last["row"].alias("__last")), "net")
-    values = lambda s: [(F.col(f"{s}.born") if c == CREATED and s == "__s" else F.col(f"{s}.row.`{c}`" if s == "__s" else f"{s}.`{c}`")).alias(c) for c in source.columns]
-    again = state.filter("__s.live AND __s.fresh").select(*values("__s"))
-    updated = state.filter("__s.live AND NOT __s.fresh").select(*[F.col(f"__s.row.`{c}`").alias(c) for c in source.columns])
-    removed = state.filter("NOT __s.live AND __have").select(*values("__last")).withColumn(
-        delete.column, delete.literal().cast(type_of(source, delete.column))
+    known = mark_by_keys(mark_by_keys(edges, keys, flags), keys, have).withColumn("__have", F.coalesce("__have", F.lit(False)))
+    odd = F.coalesce(F.col("__flags") % 2 == 1, F.lit(False))
+    there = (F.col("__live").isNotNull() | F.col("__have")) != odd  # after the last flagged row
+    ended = F.coalesce(F.col("__flag") == F.col("__last"), F.lit(False))
+    state = known.select(
+        *[F.col(f"`{k}`") for k in keys], "__have", F.col("__last").alias("__row"), (there | ~ended).alias("__stays"),
+        (F.col("__flag").isNotNull() | ~F.col("__have")).alias("__fresh"),
+        F.when(F.col("__flag").isNotNull() & there, F.col("__turned")).otherwise(F.col("__behind")).alias("__born"),
     )
-    reborn = state.filter("__have AND __s.live AND __s.fresh").select(*keys)
+    state = once(state, "net")
+    rows = mark_by_keys(source.withColumn("__o", order), keys, state).filter((F.col("__o") == F.col("__row")) & (F.col("__stays") | F.col("__have")))
+
+    def value(c: str) -> Column:
+        column = F.col(f"`{c}`")
+        if c == CREATED:
+            column = F.when(F.col("__stays") & F.col("__fresh"), F.col("__born")).otherwise(column)
+        if c == delete.column:
+            column = F.when(F.col("__stays"), column).otherwise(delete.literal().cast(type_of(source, c)))
+        return column.alias(c)
+
+    reborn = state.filter("__have AND __stays AND __fresh").select(*keys)
     left = target.alias("t").join(reborn.alias("s"), same_key("t", "s", keys), "left_anti")
-    return left, again.unionByName(updated).unionByName(removed)
-
-
-def _born_type(source: DataFrame) -> str:
-    return type_of(source, CREATED).simpleString() if CREATED in source.columns else "timestamp"
+    return left, rows.select(*[value(c) for c in source.columns])
 
 
 def change_feed(

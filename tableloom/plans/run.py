@@ -13,12 +13,13 @@ from tableloom.functions.dbtypes import ColumnDef, apply_source_types, not_null_
 from tableloom.functions.names import add_timestamps, cleanse_columns, cleanse_names, clean_strings
 from tableloom.operators import schema as schemas
 from tableloom.operators.merge import FEED_DELETE, DeleteFlag, apply_merge
+from tableloom.operators.partitions import CONFINED, emptied, pruned, touched
 from tableloom.operators.project import order_columns
 from tableloom.operators.quality import QualityFailure, run_quality
 from tableloom.operators.scd2 import add_history_columns, backdate_single_versions, merge_history
 from tableloom.plans import control
 from tableloom.plans.steps import Hook, StepContext, apply_steps
-from tableloom.session import scratch
+from tableloom.session import scratch, settle
 from tableloom.sources.files import FileSpec, read_changed_files, read_files, read_new_folders
 from tableloom.sources.store import TableStore
 from tableloom.sources.tables import FIRST_MARKS, after_mark, next_mark, read_changes
@@ -61,6 +62,7 @@ class TableSpec:
     merge_type: str | None = None
     delete: DeleteFlag | None = None
     replace_column: str | None = None
+    partition_by: list[str] = field(default_factory=list)
     batch_columns: list[str] = field(default_factory=list)
     batch_id: int | None = None
     source_timestamp: str | None = None
@@ -182,10 +184,7 @@ def _run(spark, store, spec, mark, hooks, now, first_run, log_id) -> RunResult:
         schemas.schema_changes(known, outcome.clean.schema) if target is not None else [],
         spec.fail_on_schema_change, spec.fail_on_type_change, first_run,
     )
-    if kind == "append" and target is not None:
-        version = store.append(spec.target, order_columns(outcome.clean), spec.batch_id)
-    else:
-        version = store.write(spec.target, _next_state(target, outcome.clean, spec, kind, keys, delete), spec.batch_id)
+    version = _write(store, spec, target, outcome.clean, kind, keys, delete)
     if held:
         store.append_rows(f"{spec.target}_quarantined", outcome.quarantined)
     return RunResult(control.PROCESSED, new_mark, results, changes, version, rows, held)
@@ -205,6 +204,25 @@ def _merge_type(spec: TableSpec) -> str:
     return DEFAULT_MERGE.get(spec.layer, "merge")
 
 
+def _write(store, spec: TableSpec, target, clean, kind: str, keys: list[str], delete: DeleteFlag | None) -> int:
+    """Bring the target to its next state and give its version.
+
+    Appends add files. In a partitioned table a merge that is confined to the partitions it touches rewrites these
+    alone. Everything else writes the whole next state.
+    """
+    if target is not None and kind == "append":
+        return store.append(spec.target, order_columns(clean), spec.batch_id)
+    by = spec.partition_by or (store.partitioned_by(spec.target) if target is not None else [])
+    kinds = dict(target.dtypes) if target is not None else {}
+    same_types = all(kinds.get(c, t) == t for c, t in clean.dtypes)
+    if not (target is not None and kind in CONFINED and same_types and by and by == store.partitioned_by(spec.target)):
+        return store.write(spec.target, _next_state(target, clean, spec, kind, keys, delete), spec.batch_id, by or None)
+    spots = settle(touched(kind, target, clean, by, keys, spec.replace_column), "partitions")
+    scope = pruned(target, spots, by)
+    result = settle(_next_state(scope, clean, spec, kind, keys, delete), "partitions")
+    return store.replace_partitions(spec.target, result, spec.batch_id, emptied(scope, result, by))
+
+
 def _next_state(target, clean, spec: TableSpec, kind: str, keys: list[str], delete: DeleteFlag | None) -> DataFrame:
     if kind == "scd2" and target is not None:
         merged = merge_history(target, clean, keys, spec.source_timestamp, delete, spec.dimension_key, spec.source.mark_columns)
