@@ -1,11 +1,16 @@
-"""Candidate pairs that share a rare token, complete for a similarity floor.
-
-If two items are similar enough, their rarest tokens must overlap: it suffices
-to compare items sharing one of the first few tokens in order of global
-frequency (prefix filtering). A shared token counts only if enough tokens are
-left behind it on both sides to reach the overlap the floor demands (positional
-filtering). Neither loses a pair above the floor, and the pairs of a whole group
-are never formed.
+"""Candidate pairs, complete for a similarity floor.
+
+Sets of words: similar enough sets share one of their rarest words. It suffices to compare
+items sharing one of the first few tokens in order of global frequency (prefix
+filtering), and a shared token counts only if enough tokens are left behind it on both
+sides to reach the overlap the floor demands (positional filtering).
+
+Edit distance: ``k`` edits leave one of ``k + 1`` disjoint pieces of a text unchanged (the pigeonhole
+principle). The longer text of a pair names its rarest ``k + 1`` disjoint grams, the shorter one
+has to have one of them at nearly the same place. Pieces need not cover the text, so
+what everybody shares, a common beginning for instance, is no piece.
+
+Neither loses a pair above the floor, and the pairs of a whole group are never formed.
 """
 
 from __future__ import annotations
@@ -17,29 +22,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.session import once
 
-LOWEST_FUZZY_FLOOR = 2 / 3  # below it short texts may be similar without sharing a gram
+LOWEST_FUZZY_FLOOR = 0.5
 SLACK = 1e-9
-
-
-def gram_length(floor: float) -> int:
-    """Longer grams are rarer, but need more similar texts to be sure of a shared one."""
-    return 3 if floor >= 0.75 else 2
-
-
-def gram_rows(df: DataFrame, n: int) -> DataFrame:
-    """Rows ``(id, block, size, tok)``: the grams of ``n`` letters of each padded text ``t``.
-
-    A gram that occurs repeatedly in a text is numbered, so that texts share as
-    many tokens as they share occurrences.
-    """
-    padded = df.select(
-        "id", "block", F.length("t").alias("size"), F.concat(F.lit("\u0002" * (n - 1)), "t", F.lit("\u0003" * (n - 1))).alias("p")
-    )
-    at = padded.select("id", "block", "size", "p", F.explode(F.sequence(F.lit(1), F.col("size") + n - 1)).alias("i"))
-    gram = F.substring("p", F.col("i"), F.lit(n)).alias("gram")
-    counted = at.select("id", "block", "size", gram).groupBy("id", "block", "size", "gram").agg(F.count(F.lit(1)).alias("c"))
-    every = counted.select("id", "block", "size", "gram", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("k"))
-    return every.select("id", "block", "size", F.concat("gram", F.lit("\u0001"), F.col("k").cast("string")).alias("tok"))
+#: Lengths of grams among which a text chooses its pieces.
+GRAMS = (1, 2, 3, 5)
 
 
 def prefix_pairs(
@@ -60,11 +46,11 @@ def prefix_pairs(
     a = once(left, "tokens")
     b = a if right is None else once(right, "tokens")
     every = a if right is None else a.unionByName(b)
-    rarity = every.groupBy("tok").agg(F.count(F.lit(1)).alias("uses"))
+    rarity = every.groupBy("block", "tok").agg(F.count(F.lit(1)).alias("uses"))
 
     def rarest(df: DataFrame) -> DataFrame:
         """The first tokens of each item by rarity; an item's own tokens bound each group."""
-        ranked = df.join(rarity, "tok").groupBy("id", "block", "size").agg(
+        ranked = df.join(rarity, ["block", "tok"]).groupBy("id", "block", "size").agg(
             F.sort_array(F.collect_list(F.struct("uses", "tok"))).alias("ranked")
         )
         first = F.slice("ranked", F.lit(1), F.greatest(prefix, F.lit(1)))
@@ -84,21 +70,67 @@ def prefix_pairs(
     return joined.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
 
 
-def similar_texts(left: DataFrame, right: DataFrame | None, floor: float) -> DataFrame:
-    """Candidates for edit similarity >= ``floor``; inputs have ``id``, ``block`` and ``t``.
+def gram_rows(df: DataFrame, floor: float) -> DataFrame:
+    """Rows ``(id, block, size, q, at, gram)``: the grams of each text ``t`` by length and place."""
+    items = df.filter("block IS NOT NULL AND length(t) > 0").select("id", "block", "t", F.length("t").alias("size"))
+    lengths = [q for q in GRAMS if q * (1 - floor) <= 1 + SLACK]
 
-    With ``k`` edits between texts at most ``k * n`` grams differ. A partner of a
-    text of length ``L`` is at most ``L / floor`` long, which bounds ``k``.
+    def grams(q: int) -> Column:
+        at = F.transform(F.sequence(F.lit(1), F.col("size") - (q - 1)), lambda i: F.struct(F.lit(q).alias("q"), i.alias("at")))
+        return F.when(F.col("size") >= q, at)
+
+    none = F.array().cast("array<struct<q:int,at:int>>")
+    every = items.select("id", "block", "size", "t", F.explode(F.concat(*[F.coalesce(grams(q), none) for q in lengths])).alias("p"))
+    return every.select("id", "block", "size", "p.q", "p.at", F.substring("t", F.col("p.at"), F.col("p.q")).alias("gram"))
+
+
+def rarest_pieces(grams: DataFrame, uses: DataFrame, floor: float) -> DataFrame:
+    """``id, block, size, edits, q, at, gram``: one disjoint piece more than edits are allowed, as rare as may be.
+
+    For each length of grams the rarest ones that do not overlap are taken in turn. The length with the
+    fewest uses in all wins; single letters are always enough, so every text has its pieces.
     """
-    n = gram_length(floor)
+    edits = F.floor(F.col("size") * (1 - floor) + SLACK).cast("int")
+    item = F.struct("uses", "at", "gram")
+    known = grams.join(uses, ["block", "q", "gram"], "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
+    listed = known.groupBy("id", "block", "size", "q").agg(F.sort_array(F.collect_list(item)).alias("all"))
+    none = F.array().cast("array<struct<uses:bigint,at:int,gram:string>>")
+
+    def taken(acc: Column, x: Column) -> Column:
+        free = (F.size(acc) <= F.col("edits")) & ~F.exists(acc, lambda y: F.abs(y["at"] - x["at"]) < F.col("q"))
+        return F.when(free, F.concat(acc, F.array(x))).otherwise(acc)
+
+    chosen = listed.withColumn("edits", edits).withColumn("pieces", F.aggregate("all", none, taken)).drop("all")
+    total = F.aggregate("pieces", F.lit(0).cast("bigint"), lambda n, x: n + x["uses"])
+    full = chosen.filter(F.size("pieces") > F.col("edits")).withColumn("total", total)
+    best = full.groupBy("id", "block", "size", "edits").agg(F.min(F.struct("total", "q", "pieces")).alias("b"))
+    return best.select("id", "block", "size", "edits", "b.q", F.explode("b.pieces").alias("x")).select("id", "block", "size", "edits", "q", "x.at", "x.gram")
 
-    def items(df: DataFrame) -> DataFrame:
-        return gram_rows(df.filter("block IS NOT NULL AND length(t) > 0"), n)
 
-    edits = lambda longest: F.floor(longest * (1 - floor) + SLACK)
-    prefix = (edits(F.col("size") / floor) * n + 1).cast("int")
-    overlap = lambda x, y: F.greatest(x, y) + (n - 1) - edits(F.greatest(x, y)) * n
-    return prefix_pairs(items(left), None if right is None else items(right), prefix, overlap, floor)
+def similar_texts(left: DataFrame, right: DataFrame | None, floor: float) -> DataFrame:
+    """Candidates for edit similarity >= ``floor``; inputs have ``id``, ``block`` and ``t``.
+
+    Without ``right`` the frame is compared with itself and ``id_a < id_b``.
+    """
+    a = once(gram_rows(left, floor), "grams")
+    b = a if right is None else once(gram_rows(right, floor), "grams")
+
+    def met(longer: DataFrame, shorter: DataFrame, also: Column) -> DataFrame:
+        uses = shorter.groupBy("block", "q", "gram").agg(F.count(F.lit(1)).alias("uses"))
+        r, s = rarest_pieces(longer, uses, floor).alias("r"), shorter.alias("s")
+        match = F.lit(True)
+        for c in ("block", "q", "gram"):
+            match = match & (F.col(f"r.{c}") == F.col(f"s.{c}"))
+        near = F.abs(F.col("r.at") - F.col("s.at")) <= F.col("r.edits")
+        return r.join(s, match & near & (F.col("s.size") >= F.col("r.size") - F.col("r.edits")) & also)
+
+    shorter, level = F.col("s.size") < F.col("r.size"), F.col("s.size") == F.col("r.size")
+    if right is None:
+        pairs = met(a, a, shorter | level & (F.col("s.id") < F.col("r.id")))
+        return pairs.select(F.least("r.id", "s.id").alias("id_a"), F.greatest("r.id", "s.id").alias("id_b")).distinct()
+    ours = met(a, b, shorter | level).select(F.col("r.id").alias("id_a"), F.col("s.id").alias("id_b"))
+    theirs = met(b, a, shorter).select(F.col("s.id").alias("id_a"), F.col("r.id").alias("id_b"))
+    return ours.union(theirs).distinct()
 
 
 def similar_word_sets(left: DataFrame, right: DataFrame | None, text: str, floor: float = 0.7) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from tableloom.session import once, settle
+from tableloom.session import settle
 from tableloom.spec import SpecError
 
 
@@ -64,42 +64,44 @@ def _digest() -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), total(one).alias("one"), total(two).alias("two")]
 
 
-def flatten_hierarchy(nodes: DataFrame, key: str, parent: str, max_depth: int = 20, keep_unrooted: bool = False) -> DataFrame:
-    """Every node with its root, depth and path, level by level from the roots.
+def flatten_hierarchy(nodes: DataFrame, key: str, parent: str, max_depth: int | None = None, keep_unrooted: bool = False, paths: bool = True) -> DataFrame:
+    """Every node with its root, depth and path, by pointer doubling.
 
-    Each level is one equi-join of the frontier with the nodes and is written to
-    the shared folder, so that a level is computed once and plans stay short. A
-    hierarchy deeper than ``max_depth`` is an error. Nodes that no root reaches, on or
-    below a cycle or a missing parent, are an error too, or with ``keep_unrooted``
-    come back without root, depth and path.
+    A node points to an ancestor and knows the way to it. Each round puts what that ancestor points to, and the two
+    ways one after the other, in the place of the pointer, so its reach doubles and a chain of 5,000 nodes takes 13
+    rounds. A round is one equi-join whose looked-up side has one row for each node and parent, and is written to the shared folder.
+    A node with several parents has a row for each way to a root. A hierarchy deeper than ``max_depth``, if given, is an error. Nodes that no
+    root reaches, on or below a cycle or a missing parent, are an error too, or with ``keep_unrooted``
+    come back without root, depth and path. Paths of a deep hierarchy are long; without ``paths`` none is made.
     """
-    k, p = F.col(key), F.col(parent)
-    level = nodes.filter(p.isNull()).select(
-        k.alias("node"), k.alias("root"), F.lit(0).alias("depth"), k.cast("string").alias("path")
+    k, p = F.col(f"`{key}`"), F.col(f"`{parent}`")
+    top = p.isNull()
+    state = nodes.select(
+        k.alias("node"), p.alias("up"), F.when(top, k).alias("root"), F.when(top, 0).otherwise(1).alias("depth"), (k.cast("string") if paths else F.lit("")).alias("path"),
     )
-    found = level
-    nodes = once(nodes, "hierarchy")
-    children = nodes.filter(p.isNotNull()).select(k.alias("c"), p.alias("p"))
-    for depth in range(1, max_depth + 2):
-        below = level.join(children, F.col("node") == F.col("p")).select(
-            F.col("c").alias("node"), "root", F.lit(depth).alias("depth"),
-            F.concat_ws(">", "path", F.col("c").cast("string")).alias("path"),
-        )
-        level = settle(below, "hierarchy")
-        if level.isEmpty():
+    state, reach = settle(state, "hierarchy"), 1
+    count = state.count()
+    while reach < count:
+        here, above = state.filter("up IS NOT NULL").alias("h"), state.alias("a")
+        done = state.filter("up IS NULL")
+        if here.isEmpty():
             break
-        if depth > max_depth:
-            raise SpecError(f"the hierarchy is deeper than {max_depth} levels")
-        found = found.unionByName(level)
-    lost = nodes.select(k.alias("node")).join(found.select("node"), "node", "left_anti")
-    n, one = lost.agg(F.count(F.lit(1)), F.min("node")).first()
+        moved = here.join(above, F.col("h.up") == F.col("a.node"), "left").select(
+            # without a row for the parent nothing leads on; the node keeps no pointer and no root
+            "h.node", "a.up", "a.root", (F.col("h.depth") + F.col("a.depth")).alias("depth"),
+            (F.concat("a.path", F.lit(">"), "h.path") if paths else F.lit("")).alias("path"),
+        )
+        state, reach = settle(done.unionByName(moved), "hierarchy"), reach * 2
+    found, lost = state.filter("root IS NOT NULL").drop("up"), state.filter("root IS NULL")
+    n, one, deepest = state.agg(F.count_if(F.col("root").isNull()), F.min(F.when(F.col("root").isNull(), F.col("node"))), F.max(F.when(F.col("root").isNotNull(), F.col("depth")))).first()
+    if max_depth is not None and (deepest or 0) > max_depth:
+        raise SpecError(f"the hierarchy is deeper than {max_depth} levels")
     if n and not keep_unrooted:
         raise SpecError(f"{n} nodes hang on no root (a cycle or a missing parent), '{one}' for one")
     if n:
-        none = lambda kind: F.lit(None).cast(kind)
-        kinds = dict(found.dtypes)
-        found = found.unionByName(lost.select("node", *[none(kinds[c]).alias(c) for c in ("root", "depth", "path")]))
-    return found
+        none = lambda c: F.lit(None).cast(found.schema[c].dataType).alias(c)
+        found = found.unionByName(lost.select("node").distinct().join(found.select("node"), "node", "left_anti").select("node", *map(none, ("root", "depth", "path"))))
+    return found if paths else found.drop("path")
 
 
 def iterate(df: DataFrame, step, moved: Column, max_rounds: int = 50) -> tuple[DataFrame, int]:

@@ -7,7 +7,7 @@ true (``ways``) is a way to match, and profiles meet
 
 * as a star around the smallest profile, where agreeing on exact or soundex
   comparisons alone makes the rule true;
-* through shared rare grams or words, or numbers in neighbouring bands
+* through pieces of texts that edits leave alone, shared rare words, or numbers in neighbouring bands
   (``candidates``), within the exact and soundex agreements of that way, where it
   needs fuzzy scores or percent differences.
 

@@ -43,30 +43,32 @@ def edges(orchestration: DataFrame, primary: DataFrame, advanced: DataFrame) ->
     return across
 
 
-def depths(edge: DataFrame, max_depth: int = 30) -> DataFrame:
+def depths(edge: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Hops from the farthest root and one such path, for every table.
 
     Tables without an incoming edge are roots. Each round extends the frontier by
     one join and keeps the smallest path per table, so a round holds at most one
-    row per table however many paths there are.
+    row per table however many paths there are. Paths longer than the number of tables, or
+    than ``max_depth`` if given, are an error: there is a cycle.
     """
     links = edge.select("source", "target").distinct().filter("source <> target")
     roots = links.select(F.col("source").alias("node")).join(
         links.select(F.col("target").alias("node")), "node", "left_anti"
     ).distinct()
+    tables = settle(links.select(F.col("source").alias("node")).union(links.select("target")).distinct(), "tables")
+    most = max_depth if max_depth is not None else tables.count()
     level = roots.select("node", F.lit(0).alias("depth"), F.col("node").alias("path"))
     found = level
-    for depth in range(1, max_depth + 2):
+    for depth in range(1, most + 2):
         step = level.join(links, F.col("node") == F.col("source")).groupBy("target").agg(
             F.min(F.concat_ws(" -> ", "path", "target")).alias("path")
         )
         level = settle(step.select(F.col("target").alias("node"), F.lit(depth).alias("depth"), "path"), "lineage")
         if level.isEmpty():
             break
-        if depth > max_depth:
-            raise SpecError(f"lineage is deeper than {max_depth} hops; is there a cycle?")
+        if depth > most:
+            raise SpecError(f"lineage is deeper than {most} hops; is there a cycle?")
         found = found.unionByName(level)
-    tables = links.select(F.col("source").alias("node")).union(links.select("target")).distinct()
     lost = tables.join(found.select("node").distinct(), "node", "left_anti").agg(F.count(F.lit(1)), F.min("node")).first()
     if lost[0]:
         raise SpecError(f"{lost[0]} tables lie on or below a cycle, '{lost[1]}' for one")

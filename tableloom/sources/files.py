@@ -96,15 +96,13 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 def read_mixed_files(spark: SparkSession, paths: list[str], spec: FileSpec) -> DataFrame:
     """Files of different layouts: one scan per distinct header or schema.
 
-    The layouts are found by reading headers and footers only; files that share
-    one are read together, so the plan grows with layouts rather than files.
+    The layouts are found by reading headers and footers only, in one job for all files; files that share
+    one are read together, so jobs and plan grow with layouts rather than files.
     """
     if spec.format == "csv" and spec.header:
         groups = _paths_by_csv_header(spark, paths)
     elif spec.format == "parquet":
-        groups: dict = {}
-        for path in paths:
-            groups.setdefault(spark.read.parquet(path).schema.simpleString(), []).append(path)
+        groups = _paths_by_footer(spark, paths)
     else:
         return read_files(spark, paths, spec)
     # columns that stand in folder names are found below the given path
@@ -118,12 +116,22 @@ def _paths_by_csv_header(spark: SparkSession, paths: list[str]) -> dict[tuple, l
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
     first = lines.filter("_metadata.file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
     heads = first.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min_by("value", "at").alias("head"))
+    return _grouped(_folders(spark, paths), heads.orderBy("path").collect())
+
+
+def _folders(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The given paths that are folders, by the address their files' paths begin with."""
     folders = {}
     for given in filter(lambda p: _is_folder(spark, p), paths):
         path = spark._jvm.org.apache.hadoop.fs.Path(given)
         folders[path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath().rstrip("/") + "/"] = given
+    return folders
+
+
+def _grouped(folders: dict[str, str], heads: list) -> dict[tuple, list[str]]:
+    """Files (rows ``path, head``) by the folder given for them, their head and the columns in their folders' names."""
     groups: dict[tuple, list[str]] = {}
-    for row in heads.orderBy("path").collect():
+    for row in heads:
         below = max((f for f in folders if f in row.path), key=len, default=None)
         # files under different folder columns are different layouts, even with one header
         inner = row.path.split(below, 1)[1].split("/")[:-1] if below else []
@@ -132,6 +140,54 @@ def _paths_by_csv_header(spark: SparkSession, paths: list[str]) -> dict[tuple, l
     return groups
 
 
+def _footer_reader(content: bool):
+    """A function for tasks that gives each file's schema from its footer; null where Arrow cannot open the address.
+
+    With ``content`` the file's bytes come with the row, for stores that only Spark's readers reach.
+    """
+    def run(batches):
+        import io
+        from urllib.parse import unquote
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            heads = []
+            for at, path in enumerate(batch.column(0).to_pylist()):
+                try:
+                    if content:
+                        heads.append(pq.read_schema(io.BytesIO(batch.column(1)[at].as_py())))
+                        continue
+                    local = path[5:] if path.startswith("file:/") else None
+                    place, inner = (fs.LocalFileSystem(), "/" + local.lstrip("/")) if local else fs.FileSystem.from_uri(unquote(path))
+                    heads.append(pq.read_schema(inner, filesystem=place))
+                except (OSError, ValueError, pa.ArrowException):
+                    heads.append(None)
+            said = pa.array([None if h is None else h.remove_metadata().to_string() for h in heads], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), said], names=["path", "head"])
+
+    return run
+
+
+def _paths_by_footer(spark: SparkSession, paths: list[str]) -> dict[tuple, list[str]]:
+    """Parquet files by folder and schema: tasks read the footers, one job for all files.
+
+    Files that Arrow cannot open where they lie are read whole by Spark, in one more job.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    heads = listed.select("path").mapInArrow(_footer_reader(False), "path string, head string").collect()
+    unread = [r.path for r in heads if r.head is None]
+    if unread:
+        whole = spark.read.format("binaryFile").load(unread).select("path", "content")
+        late = whole.mapInArrow(_footer_reader(True), "path string, head string").collect()
+        if broken := [r.path for r in late if r.head is None]:
+            raise SpecError(f"no parquet file: {broken[0]}")
+        heads = [r for r in heads if r.head is not None] + late
+    return _grouped(_folders(spark, paths), sorted(heads))
+
+
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Path and modification time of the files below ``path``; contents are not read.
 

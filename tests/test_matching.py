@@ -47,7 +47,28 @@ def test_hierarchy_depth_and_cycle(frame):
         graph.flatten_hierarchy(tree, "id", "up", max_depth=1)
 
 
-@pytest.mark.parametrize("floor", [0.67, 0.75, 0.85])
+def test_deep_hierarchies_take_logarithmic_rounds(spark, monkeypatch):
+    n, rounds = 5000, []
+    settled = graph.settle
+    monkeypatch.setattr(graph, "settle", lambda df, label, *more: rounds.append(label) or settled(df, label, *more))
+    chain = spark.range(n).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("up"))
+    got = graph.flatten_hierarchy(chain, "id", "up", paths=False)
+    assert got.filter("depth <> node OR root <> 0").count() == 0 and got.count() == n
+    assert len(rounds) <= 15  # the first state and at most 14 rounds
+    cyclic = chain.withColumn("up", F.when(F.col("id") == 0, F.lit(n - 1)).otherwise(F.col("up")))
+    with pytest.raises(SpecError, match="5000 nodes hang on no root"):
+        graph.flatten_hierarchy(cyclic, "id", "up", paths=False)
+
+
+def test_nodes_with_two_parents_and_nodes_without_a_root(frame):
+    nodes = frame("id string, up string", [("r", None), ("q", None), ("m", "r"), ("m", "q"), ("x", "m"), ("lost", "nobody"), ("below", "lost"), ("c1", "c2"), ("c2", "c1")])
+    got = as_set(graph.flatten_hierarchy(nodes, "id", "up", keep_unrooted=True))
+    assert got == {("r", "r", 0, "r"), ("q", "q", 0, "q"), ("m", "r", 1, "r>m"), ("m", "q", 1, "q>m"), ("x", "r", 2, "r>m>x"), ("x", "q", 2, "q>m>x"),
+                   ("lost", None, None, None), ("below", None, None, None), ("c1", None, None, None), ("c2", None, None, None)}
+    assert graph.flatten_hierarchy(nodes.limit(0), "id", "up").count() == 0
+
+
+@pytest.mark.parametrize("floor", [0.5, 0.6, 0.67, 0.75, 0.85, 1.0])
 def test_no_similar_text_is_lost(frame, floor):
     rnd = random.Random(int(floor * 100))
     words = ["".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 12))) for _ in range(60)]
@@ -60,6 +81,27 @@ def test_no_similar_text_is_lost(frame, floor):
                 assert (i, j) in found, (a, b)
 
 
+@pytest.mark.parametrize("floor", [0.5, 0.8])
+def test_no_similar_text_of_two_tables_is_lost(frame, floor):
+    rnd = random.Random(3)
+    words = ["common beginning " + "".join(rnd.choice("abcd") for _ in range(rnd.randrange(0, 9))) for _ in range(60)]
+    left = frame("id bigint, t string", list(enumerate(words[:30]))).withColumn("block", F.col("id") % 2)
+    right = frame("id bigint, t string", list(enumerate(words[30:] + [None, ""]))).withColumn("block", F.col("id") % 2)
+    found = as_set(similar_texts(left, right, floor))
+    for i, a in enumerate(words[:30]):
+        for j, b in enumerate(words[30:]):
+            if i % 2 == j % 2 and 1 - edit_distance(a, b) / max(len(a), len(b)) >= floor:
+                assert (i, j) in found, (a, b)
+    assert all(i % 2 == j % 2 for i, j in found)
+
+
+def test_a_common_beginning_is_no_piece(frame):
+    rnd = random.Random(8)
+    texts = ["the same long beginning " + "".join(rnd.choice("0123456789abcdef") for _ in range(16)) for _ in range(300)]
+    found = as_set(similar_texts(frame("id bigint, t string", list(enumerate(texts))).withColumn("block", F.lit(1)), None, 0.9))
+    assert len(found) < 4485  # a tenth of the 44,850 pairs that share the beginning
+
+
 def test_no_similar_word_set_is_lost(frame):
     rnd = random.Random(9)
     texts = [" ".join(rnd.sample("a b c d e f g h".split(), rnd.randrange(1, 8))) for _ in range(50)]
