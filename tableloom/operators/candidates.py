@@ -6,9 +6,11 @@ filtering), and a shared token counts only if enough tokens are left behind it o
 sides to reach the overlap the floor demands (positional filtering).
 
 Edit distance: ``k`` edits leave one of ``k + 1`` disjoint pieces of a text unchanged (the pigeonhole
-principle). The longer text of a pair names its rarest ``k + 1`` disjoint grams, the shorter one
+principle). The longer text of a pair names its rarest ``k + 1`` disjoint grams, and the shorter one
 has to have one of them at nearly the same place. Pieces need not cover the text, so
-what everybody shares, a common beginning for instance, is no piece.
+what everybody shares, a common beginning for instance, is no piece. Of ``k + 2`` pieces two stay
+unchanged, which is looked at where two texts meet; what passes is compared at once, with a bound on
+the distance, so only similar pairs are ever moved.
 
 Neither loses a pair above the floor, and the pairs of a whole group are never formed.
 """
@@ -20,12 +22,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tableloom.session import once
+from tableloom.operators.numbering import range_count
+from tableloom.session import once, settle
 
 LOWEST_FUZZY_FLOOR = 0.5
 SLACK = 1e-9
-#: Lengths of grams among which a text chooses its pieces.
-GRAMS = (1, 2, 3, 5)
+#: The longest pieces of a text, and the cells in which uses of grams are counted: their table has at most so many entries.
+LONGEST, CELLS = 6, 1 << 17
 
 
 def prefix_pairs(
@@ -70,59 +73,91 @@ def prefix_pairs(
     return joined.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
 
 
-def gram_rows(df: DataFrame, floor: float) -> DataFrame:
-    """Rows ``(id, block, size, q, at, gram)``: the grams of each text ``t`` by length and place."""
-    items = df.filter("block IS NOT NULL AND length(t) > 0").select("id", "block", "t", F.length("t").alias("size"))
-    lengths = [q for q in GRAMS if q * (1 - floor) <= 1 + SLACK]
+def _edits(size: Column, floor: float) -> Column:
+    """How many edits a pair may have whose longer text has ``size`` letters."""
+    return F.floor(size * (1 - floor) + SLACK).cast("int")
 
-    def grams(q: int) -> Column:
-        at = F.transform(F.sequence(F.lit(1), F.col("size") - (q - 1)), lambda i: F.struct(F.lit(q).alias("q"), i.alias("at")))
-        return F.when(F.col("size") >= q, at)
 
-    none = F.array().cast("array<struct<q:int,at:int>>")
-    every = items.select("id", "block", "size", "t", F.explode(F.concat(*[F.coalesce(grams(q), none) for q in lengths])).alias("p"))
-    return every.select("id", "block", "size", "p.q", "p.at", F.substring("t", F.col("p.at"), F.col("p.q")).alias("gram"))
+def _lengths(size: Column, floor: float) -> Column:
+    """The lengths of pieces that a text of ``size`` letters tries: the greatest there is room for, one less, and half."""
+    most = F.least(F.floor(size / (_edits(size, floor) + 1)).cast("int"), F.lit(LONGEST))
+    return F.array(most, F.greatest(most - 1, F.lit(1)), F.greatest(F.ceil(most / 2).cast("int"), F.lit(1)))
 
 
-def rarest_pieces(grams: DataFrame, uses: DataFrame, floor: float) -> DataFrame:
-    """``id, block, size, edits, q, at, gram``: one disjoint piece more than edits are allowed, as rare as may be.
+def _cell(block: Column, gram: Column) -> Column:
+    return F.pmod(F.xxhash64(block, gram), F.lit(CELLS)).cast("int")
 
-    For each length of grams the rarest ones that do not overlap are taken in turn. The length with the
-    fewest uses in all wins; single letters are always enough, so every text has its pieces.
+
+def gram_rows(items: DataFrame, floor: float) -> DataFrame:
+    """Rows ``(id, block, size, t, at, gram)``: the grams of each text ``t``, of all lengths that it or a longer partner tries."""
+    partners = F.sequence(F.col("size"), F.floor(F.col("size") / floor + SLACK).cast("int"))
+    tried = F.array_distinct(F.flatten(F.transform(partners, lambda n: _lengths(n, floor))))
+    sized = items.withColumn("q", F.explode(F.filter(tried, lambda q: q <= F.col("size"))))
+    placed = sized.withColumn("at", F.explode(F.sequence(F.lit(1), F.col("size") - F.col("q") + 1)))
+    return placed.select("id", "block", "size", "t", "at", F.substring("t", F.col("at"), F.col("q")).alias("gram"))
+
+
+def gram_uses(grams: DataFrame) -> Column:
+    """How often the grams of each cell occur, as one array. Cells are hashes, so that the array's size does not grow with the data;
+    rarity only decides which pieces are looked at first, never which pairs are found."""
+    counted = {r["cell"]: r["n"] for r in grams.groupBy(_cell(F.col("block"), F.col("gram")).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return F.split(F.lit(",".join(str(counted.get(i, 0)) for i in range(CELLS))), ",").cast("array<bigint>")
+
+
+def rarest_pieces(items: DataFrame, uses: Column, floor: float) -> DataFrame:
+    """``id, block, size, t, edits, pieces, at, gram``: one disjoint piece more than edits are allowed, as rare as may be.
+    ``pieces`` holds them all, and one more where there is room.
+
+    Grams whose places differ by multiples of their length are disjoint. For each length and each first place
+    the rarest of these are summed up, and the choice with the fewest uses wins; the longest pieces from the first place
+    on always suffice, so every text has its pieces. No row leaves its task.
     """
-    edits = F.floor(F.col("size") * (1 - floor) + SLACK).cast("int")
-    item = F.struct("uses", "at", "gram")
-    known = grams.join(uses, ["block", "q", "gram"], "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
-    listed = known.groupBy("id", "block", "size", "q").agg(F.sort_array(F.collect_list(item)).alias("all"))
-    none = F.array().cast("array<struct<uses:bigint,at:int,gram:string>>")
+    def piece(at: Column, q: Column) -> Column:
+        gram = F.substring("t", at, q)
+        return F.struct(F.element_at(uses, _cell(F.col("block"), gram) + 1).alias("uses"), at.alias("at"), gram.alias("gram"))
 
-    def taken(acc: Column, x: Column) -> Column:
-        free = (F.size(acc) <= F.col("edits")) & ~F.exists(acc, lambda y: F.abs(y["at"] - x["at"]) < F.col("q"))
-        return F.when(free, F.concat(acc, F.array(x))).otherwise(acc)
+    def from_place(start: Column, q: Column) -> Column:
+        last = F.col("size") - q + 1
+        places = F.when(start <= last, F.sequence(start, last, q)).otherwise(F.array().cast("array<int>"))
+        return F.slice(F.array_sort(F.transform(places, lambda at: piece(at, q))), F.lit(1), F.col("edits") + 2)
 
-    chosen = listed.withColumn("edits", edits).withColumn("pieces", F.aggregate("all", none, taken)).drop("all")
-    total = F.aggregate("pieces", F.lit(0).cast("bigint"), lambda n, x: n + x["uses"])
-    full = chosen.filter(F.size("pieces") > F.col("edits")).withColumn("total", total)
-    best = full.groupBy("id", "block", "size", "edits").agg(F.min(F.struct("total", "q", "pieces")).alias("b"))
-    return best.select("id", "block", "size", "edits", "b.q", F.explode("b.pieces").alias("x")).select("id", "block", "size", "edits", "q", "x.at", "x.gram")
+    choices = F.flatten(F.transform(F.array_distinct("lengths"), lambda q: F.transform(F.sequence(F.lit(1), q), lambda start: from_place(start, q))))
+    total = lambda pieces: F.aggregate(F.slice(pieces, F.lit(1), F.col("edits") + 1), F.lit(0).cast("bigint"), lambda n, x: n + x["uses"])
+    enough = F.filter(choices, lambda pieces: F.size(pieces) > F.col("edits"))
+    ranked = F.array_min(F.transform(enough, lambda pieces: F.struct(total(pieces).alias("total"), pieces.alias("pieces"))))
+    sized = items.withColumn("edits", _edits(F.col("size"), floor)).withColumn("lengths", _lengths(F.col("size"), floor))
+    chosen = sized.withColumn("pieces", ranked["pieces"])
+    return chosen.withColumn("x", F.explode(F.slice("pieces", F.lit(1), F.col("edits") + 1))).select("id", "block", "size", "t", "edits", "pieces", "x.at", "x.gram")
 
 
 def similar_texts(left: DataFrame, right: DataFrame | None, floor: float) -> DataFrame:
-    """Candidates for edit similarity >= ``floor``; inputs have ``id``, ``block`` and ``t``.
+    """Pairs of edit similarity >= ``floor``; inputs have ``id``, ``block`` and ``t``.
 
     Without ``right`` the frame is compared with itself and ``id_a < id_b``.
     """
-    a = once(gram_rows(left, floor), "grams")
-    b = a if right is None else once(gram_rows(right, floor), "grams")
+    def items(df: DataFrame) -> DataFrame:
+        texts = df.filter("block IS NOT NULL AND length(t) > 0").select("id", "block", "t", F.length("t").alias("size"))
+        # few bytes, much work: left alone, small texts would share a task
+        return settle(texts.repartition(range_count(texts), "id"), "texts")
+
+    a = items(left)
+    b = a if right is None else items(right)
 
     def met(longer: DataFrame, shorter: DataFrame, also: Column) -> DataFrame:
-        uses = shorter.groupBy("block", "q", "gram").agg(F.count(F.lit(1)).alias("uses"))
-        r, s = rarest_pieces(longer, uses, floor).alias("r"), shorter.alias("s")
-        match = F.lit(True)
-        for c in ("block", "q", "gram"):
-            match = match & (F.col(f"r.{c}") == F.col(f"s.{c}"))
-        near = F.abs(F.col("r.at") - F.col("s.at")) <= F.col("r.edits")
-        return r.join(s, match & near & (F.col("s.size") >= F.col("r.size") - F.col("r.edits")) & also)
+        grams = gram_rows(shorter, floor)
+        r, s = rarest_pieces(longer, gram_uses(grams), floor).alias("r"), grams.alias("s")
+        match = (F.col("r.block") == F.col("s.block")) & (F.col("r.gram") == F.col("s.gram"))
+        near = (F.abs(F.col("r.at") - F.col("s.at")) <= F.col("r.edits")) & (F.col("s.size") >= F.col("r.size") - F.col("r.edits"))
+        edits = F.col("r.edits")
+
+        def unchanged(x: Column) -> Column:
+            around = F.substring(F.col("s.t"), F.greatest(x["at"] - edits, F.lit(1)), F.length(x["gram"]) + edits * 2)
+            return F.call_function("instr", around, x["gram"]) > 0
+
+        # in this order: places first, then the pieces, then the distance
+        several = F.size(F.filter("r.pieces", unchanged)) >= F.size("r.pieces") - edits
+        alike = F.when(near & also, F.when(several, F.expr("levenshtein(r.t, s.t, r.edits) >= 0")))
+        return r.join(s, match & F.coalesce(alike, F.lit(False)))
 
     shorter, level = F.col("s.size") < F.col("r.size"), F.col("s.size") == F.col("r.size")
     if right is None:
