@@ -11,9 +11,9 @@ aggregate over the flagged batch.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tableloom.functions.patterns import pattern
 from tableloom.operators.keys import any_null, duplicate_keys, mark_by_keys
@@ -89,6 +89,14 @@ class QualityOutcome:
     quarantined: DataFrame
     report: DataFrame
     flagged: DataFrame = field(repr=False)
+    watch: Observation | None = field(default=None, repr=False)
+
+    def sizes(self) -> tuple[int, int]:
+        """Clean and quarantined rows of a materialized run, counted while it was written."""
+        if self.watch is None:
+            return self.clean.count(), self.quarantined.count()
+        got = self.watch.get
+        return got["rows"] - got["held"], got["held"]
 
     def results(self) -> list[dict]:
         return [r.asDict() for r in self.report.orderBy("step").collect()]
@@ -332,9 +340,11 @@ def run_quality(
     )
     if gates:
         flagged = flagged.unionByName(df.filter(held), allowMissingColumns=True)
+    watch = None
     if materialize:
-        flagged = settle(flagged, "quality")
-    return _split(flagged, checks, held, df.columns)
+        watch, held_back = Observation(), F.count_if(F.size(_failed(checks, "quarantine")) > 0)
+        flagged = settle(flagged, "quality", watch, F.count(F.lit(1)).alias("rows"), held_back.alias("held"))
+    return replace(_split(flagged, checks, held, df.columns), watch=watch)
 
 
 def _no_lookup(name: str) -> DataFrame:
@@ -367,6 +377,13 @@ def _split(flagged: DataFrame, checks: list[Check], held: Column, columns: list[
     return QualityOutcome(clean, bad, _report(flagged, checks, held), flagged)
 
 
+#: Columns of the report.
+REPORT = (
+    "step int, outcome string, category string, message string, column_name string, quarantined string, "
+    "rows_impacted bigint, rows_quarantined bigint"
+)
+
+
 def _report(flagged: DataFrame, checks: list[Check], held: Column) -> DataFrame:
     """One row per check, from one aggregate over the flagged batch."""
     aggs, lines = [], []
@@ -387,6 +404,8 @@ def _report(flagged: DataFrame, checks: list[Check], held: Column) -> DataFrame:
         one = one.withColumn("__head", head).withColumns({k: F.col(f"__head.{k}") for k in gates})
     for i, c in enumerate(checks):
         lines.append(_line(i, c))
+    if not lines:
+        return one.sparkSession.createDataFrame([], REPORT)
     return one.select(F.inline(F.array(*lines)))
 
 

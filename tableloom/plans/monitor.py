@@ -57,19 +57,21 @@ def stale_logs(log: DataFrame, now: Column, hours: float = 24) -> DataFrame:
 
 
 def run_performance(log: DataFrame, now: Column | None = None, days: float | None = None) -> DataFrame:
-    """Duration per table and phase of finished runs."""
+    """Duration per table and phase of finished runs; the percentiles are exact."""
     done = log.filter(F.col("Ingestion_Status") == PROCESSED)
     done = _since(done, "Ingestion_Start_Time", now, days) if now is not None else done
     s = _seconds()
     return done.groupBy("Table_ID", "Processing_Phase").agg(
         F.count(F.lit(1)).alias("Runs"), F.round(F.avg(s), 3).alias("Avg_Seconds"), F.min(s).alias("Min_Seconds"),
-        F.max(s).alias("Max_Seconds"), F.sum("Records_Processed").alias("Records_Processed"),
+        F.max(s).alias("Max_Seconds"), F.round(F.percentile(s, 0.5), 3).alias("Median_Seconds"), F.round(F.percentile(s, 0.95), 3).alias("P95_Seconds"),
+        F.sum("Records_Processed").alias("Records_Processed"),
     )
 
 
-def volume_trend(log: DataFrame) -> DataFrame:
-    """Rows processed and quarantined per table and day."""
+def volume_trend(log: DataFrame, now: Column | None = None, days: float | None = None) -> DataFrame:
+    """Rows processed and quarantined per table and day, of the last ``days`` before ``now`` if given."""
     done = log.filter(F.col("Ingestion_Status") == PROCESSED)
+    done = _since(done, "Ingestion_End_Time", now, days) if now is not None else done
     return done.groupBy("Table_ID", F.to_date("Ingestion_End_Time").alias("Day")).agg(
         F.sum("Records_Processed").alias("Processed"), F.sum("Quarantined_Records").alias("Quarantined"),
         F.count(F.lit(1)).alias("Runs"),
@@ -100,9 +102,10 @@ def mark_comparison(log: DataFrame) -> DataFrame:
     )
 
 
-def trigger_reliability(log: DataFrame) -> DataFrame:
+def trigger_reliability(log: DataFrame, now: Column | None = None, days: float | None = None) -> DataFrame:
     """Share of failed runs per trigger, among finished ones."""
     done = log.filter(F.col("Ingestion_Status").isin(PROCESSED, FAILED))
+    done = _since(done, "Ingestion_End_Time", now, days) if now is not None else done
     failed = F.count_if(F.col("Ingestion_Status") == FAILED)
     return done.groupBy("Trigger_Name").agg(
         F.count(F.lit(1)).alias("Runs"), failed.alias("Failed_Runs"),
@@ -139,24 +142,27 @@ def latest_run_with_quality(log: DataFrame, notes: DataFrame, by: str = "Table_I
     return runs_with_quality(chosen, notes)
 
 
-def dq_breakdown(notes: DataFrame) -> DataFrame:
+def dq_breakdown(notes: DataFrame, now: Column | None = None, days: float | None = None) -> DataFrame:
     """Results per table, check and outcome."""
+    notes = _since(notes, "Ingestion_End_Time", now, days) if now is not None else notes
     return notes.groupBy("Table_ID", "Data_Quality_Category", "Data_Quality_Result").agg(
         F.count(F.lit(1)).alias("Results"), F.sum("Rows_Impacted").alias("Rows_Impacted"),
         F.sum("Rows_Quarantined").alias("Rows_Quarantined"),
     )
 
 
-def dq_trend(notes: DataFrame) -> DataFrame:
+def dq_trend(notes: DataFrame, now: Column | None = None, days: float | None = None) -> DataFrame:
     """Warnings and failures per table and day."""
+    notes = _since(notes, "Ingestion_End_Time", now, days) if now is not None else notes
     return notes.groupBy("Table_ID", F.to_date("Ingestion_End_Time").alias("Day")).agg(
         F.count_if(F.col("Data_Quality_Result") == "Warning").alias("Warnings"),
         F.count_if(F.col("Data_Quality_Result") == "Failure").alias("Failures"),
     )
 
 
-def dq_overview(notes: DataFrame, top: int | None = None) -> DataFrame:
+def dq_overview(notes: DataFrame, top: int | None = None, now: Column | None = None, days: float | None = None) -> DataFrame:
     """Tables with most warnings and failures."""
+    notes = _since(notes, "Ingestion_End_Time", now, days) if now is not None else notes
     bad = F.col("Data_Quality_Result").isin("Warning", "Failure")
     counted = notes.groupBy("Table_ID").agg(F.count_if(bad).alias("Problems"), F.count(F.lit(1)).alias("Results"))
     return _first(counted.orderBy(F.desc("Problems"), "Table_ID"), top)

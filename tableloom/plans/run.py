@@ -7,12 +7,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableloom.functions.dbtypes import ColumnDef, apply_source_types, not_null_checks
 from tableloom.functions.names import add_timestamps, cleanse_columns, cleanse_names, clean_strings
 from tableloom.operators import schema as schemas
-from tableloom.operators.merge import FEED_DELETE, DeleteFlag, apply_merge
+from tableloom.operators.merge import FEED_DELETE, DeleteFlag, apply_merge, first_load
 from tableloom.operators.partitions import CONFINED, emptied, pruned, touched
 from tableloom.operators.project import order_columns
 from tableloom.operators.quality import QualityFailure, run_quality
@@ -21,10 +21,15 @@ from tableloom.plans import control
 from tableloom.plans.steps import Hook, StepContext, apply_steps
 from tableloom.session import scratch, settle
 from tableloom.sources.files import FileSpec, read_changed_files, read_files, read_new_folders
-from tableloom.sources.store import TableStore
+from tableloom.sources.store import TableStore, write_output
 from tableloom.sources.tables import FIRST_MARKS, after_mark, next_mark, read_changes
 from tableloom.spec import NoDataFound, SpecError
 
+SCHEMA_ID = "delta__schema_id"
+SCHEMA_LOG = "Table_ID int, Target_Entity string, Schema_ID string, Schema_Details string, Schema_Arrival_Time timestamp, Date_Key int"
+SCHEMA_CHANGES = (
+    "Table_ID int, Target_Entity string, Change_Type string, Column_Name string, Data_Type_Details string, Schema_Arrival_Time timestamp, Date_Key int"
+)
 DEFAULT_MERGE = {"bronze": "append", "silver": "merge", "gold": "merge"}
 
 
@@ -44,6 +49,14 @@ class SourceSpec:
     change_feed_keys: list[str] = field(default_factory=list)
 
 
+@dataclass(frozen=True)
+class OutputSpec:
+    """How ``output_file`` writes: the spec's target is the path of the one file, with date and time marks; without ``single`` of a folder."""
+
+    delimiter: str | None = None
+    single: bool = True
+
+
 @dataclass
 class TableSpec:
     """Everything that describes one target table."""
@@ -62,6 +75,8 @@ class TableSpec:
     merge_type: str | None = None
     delete: DeleteFlag | None = None
     replace_column: str | None = None
+    output: OutputSpec | None = None
+    schema_id: bool = False
     partition_by: list[str] = field(default_factory=list)
     batch_columns: list[str] = field(default_factory=list)
     batch_id: int | None = None
@@ -136,7 +151,7 @@ def run_table(
     """
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     log_id = str(uuid.uuid4())
-    first_run = spec.full_reload or not store.exists(spec.target)
+    first_run = spec.full_reload or "/" not in spec.target and not store.exists(spec.target)
     mark = None if spec.full_reload else mark
     try:
         with scratch(spark):
@@ -162,7 +177,7 @@ def _run(spark, store, spec, mark, hooks, now, first_run, log_id) -> RunResult:
     df = apply_source_types(df, spec.column_defs) if spec.column_defs else df
     df = add_timestamps(clean_strings(df, spec.trim_strings, spec.blank_to_null), F.lit(now))
     kind, delete = _merge_type(spec), FEED_DELETE if spec.source.change_feed_keys else spec.delete
-    target = None if first_run else store.read(spec.target)
+    target = None if first_run or kind == "output_file" else store.read(spec.target)
     ctx = StepContext(
         store, hooks, {"target": spec.target, "log_id": log_id}, keys, target, kind,
         delete.column if delete else None, spec.dimension_key,
@@ -174,42 +189,48 @@ def _run(spark, store, spec, mark, hooks, now, first_run, log_id) -> RunResult:
         order_columns(df), [*not_null_checks(spec.column_defs), *spec.checks], [*keys, *spec.batch_columns],
         spec.if_duplicate_keys, store.read, target, F.lit(now), materialize=True,
     )
-    # One pass over the materialized flags answers: how many rows, how many held back.
-    rows, held = _sizes(outcome)
+    # counted while the flags were written
+    rows, held = outcome.sizes()
     if rows + held == 0:
         raise NoDataFound("no rows after the transformation steps")
     results = outcome.stop_on_failure()
-    known = target.schema if target is not None else outcome.clean.schema
+    known = target.drop(SCHEMA_ID).schema if target is not None else outcome.clean.schema
     changes = schemas.apply_drift_policy(
         schemas.schema_changes(known, outcome.clean.schema) if target is not None else [],
         spec.fail_on_schema_change, spec.fail_on_type_change, first_run,
     )
-    version = _write(store, spec, target, outcome.clean, kind, keys, delete)
+    clean = outcome.clean
+    if spec.schema_id:
+        # the identity of the columns that the source and the steps gave, not of those that runs add
+        own = T.StructType([f for f in clean.schema if not f.name.startswith("delta__")])
+        clean = clean.withColumn(SCHEMA_ID, F.lit(schemas.fingerprint(own)))
+    version = _write(store, spec, target, clean, kind, keys, delete, now)
+    _log_schema(spark, store, spec, clean.schema, changes, now)
     if held:
-        store.append_rows(f"{spec.target}_quarantined", outcome.quarantined)
+        store.append_rows(f"{spec.target.rsplit('/', 1)[-1].split('.')[0] if '/' in spec.target else spec.target}_quarantined", outcome.quarantined)
     return RunResult(control.PROCESSED, new_mark, results, changes, version, rows, held)
 
 
-def _sizes(outcome) -> tuple[int, int]:
-    counts = outcome.clean.select(F.lit(0).alias("q")).unionByName(outcome.quarantined.select(F.lit(1).alias("q")))
-    got = {r["q"]: r["count"] for r in counts.groupBy("q").count().collect()}
-    return got.get(0, 0), got.get(1, 0)
-
-
 def _merge_type(spec: TableSpec) -> str:
     if spec.merge_type:
         return spec.merge_type
+    if "/" in spec.target:
+        return "output_file"
     if spec.delete or spec.source.change_feed_keys:
         return "merge_and_delete"
     return DEFAULT_MERGE.get(spec.layer, "merge")
 
 
-def _write(store, spec: TableSpec, target, clean, kind: str, keys: list[str], delete: DeleteFlag | None) -> int:
+def _write(store, spec: TableSpec, target, clean, kind: str, keys: list[str], delete: DeleteFlag | None, now: datetime) -> int | None:
     """Bring the target to its next state and give its version.
 
     Appends add files. In a partitioned table a merge that is confined to the partitions it touches rewrites these
     alone. Everything else writes the whole next state.
     """
+    if kind == "output_file":
+        how = spec.output or OutputSpec()
+        write_output(first_load(order_columns(clean)), spec.target, how.delimiter, now, how.single)
+        return None
     if target is not None and kind == "append":
         return store.append(spec.target, order_columns(clean), spec.batch_id)
     by = spec.partition_by or (store.partitioned_by(spec.target) if target is not None else [])
@@ -232,7 +253,7 @@ def _next_state(target, clean, spec: TableSpec, kind: str, keys: list[str], dele
 
 
 def _log(spark, store, spec: TableSpec, result: RunResult, now: datetime, log_id: str) -> None:
-    store_name, _, entity = spec.target.rpartition(".")
+    store_name, _, entity = (spec.layer, "", spec.target) if "/" in spec.target else spec.target.rpartition(".")
     run = {
         "Log_ID": log_id, "Table_ID": spec.table_id, "Target_Datastore": store_name or spec.layer,
         "Target_Entity": entity, "Data_Source_Details": spec.source.table or spec.source.wildcard_folder,
@@ -256,6 +277,18 @@ def _log(spark, store, spec: TableSpec, result: RunResult, now: datetime, log_id
         store.append_rows("log.quality", control.log_rows(spark, notes, control.DQ_LOG))
 
 
+def _log_schema(spark, store, spec: TableSpec, schema: T.StructType, changes: list[dict], now: datetime) -> None:
+    """Keep a new schema of the target, and what changed, in the schema logs."""
+    details, id_ = schema.simpleString(), schemas.fingerprint(T.StructType([f for f in schema if not f.name.startswith("delta__")]))
+    seen = store.exists("log.schemas") and not store.read("log.schemas").filter((F.col("Target_Entity") == spec.target) & (F.col("Schema_ID") == id_)).isEmpty()
+    if not seen:
+        row = (spec.table_id, spec.target, id_, details, now, control.date_key(now))
+        store.append_rows("log.schemas", spark.createDataFrame([row], SCHEMA_LOG))
+    if changes:
+        rows = [(spec.table_id, spec.target, c["Change_Type"], c["Column_Name"], c["Data_Type_Details"], now, control.date_key(now)) for c in changes]
+        store.append_rows("log.schema_changes", spark.createDataFrame(rows, SCHEMA_CHANGES))
+
+
 def micro_batches(
     spark: SparkSession, store: TableStore, spec: TableSpec, hooks: dict[str, Hook] | None = None
 ) -> Callable[[DataFrame, int], None]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 from datetime import datetime
 from functools import reduce
 
@@ -33,6 +33,7 @@ class FileSpec:
     on_bad_records: str = "quarantine"
     allow_missing_columns: bool = True
     xml_xpath: str | None = None
+    function: Callable | None = None
     options: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -78,7 +79,14 @@ def null_types_to_string(df: DataFrame) -> DataFrame:
 
 
 def read_files(spark: SparkSession, paths: list[str], spec: FileSpec, below: str | None = None) -> DataFrame:
-    """All paths in one scan, with the file each row came from; ``below`` is the folder that holds the table."""
+    """All paths in one scan, with the file each row came from; ``below`` is the folder that holds the table.
+
+    A function of the specification takes the place of the scan: ``function(file_paths, metadata, spark)`` gets the
+    paths, which may be folders, and the specification as a dictionary, with the options that bound an incremental read.
+    """
+    if spec.function is not None:
+        metadata = {f.name: getattr(spec, f.name) for f in fields(spec) if f.name != "function"}
+        return spec.function(paths, metadata, spark)
     reader = _reader(spark, spec)
     df = null_types_to_string((reader.option("basePath", below) if below else reader).load(paths))
     if spec.schema and spec.format == "parquet":

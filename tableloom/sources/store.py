@@ -229,7 +229,8 @@ def write_output(df: DataFrame, path: str, delimiter: str | None = None, now: da
     """Write files for other systems; the extension decides the format.
 
     The result is a folder of part files written in parallel. ``single`` asks
-    for one part file and is meant for small reports.
+    for one file with exactly this name, written by one task and meant for reports; an
+    earlier one is replaced. The file is written beside and renamed, so nobody reads half of it.
     """
     target = stamp_path(path, now) if now else path
     extension = target.rsplit(".", 1)[-1].lower() if "." in target.rsplit("/", 1)[-1] else "parquet"
@@ -237,5 +238,17 @@ def write_output(df: DataFrame, path: str, delimiter: str | None = None, now: da
     writer = (df.coalesce(1) if single else df).write.mode("overwrite")
     if kind == "csv":
         writer = writer.options(header=True, sep=delimiter or ("\t" if extension == "txt" else ","))
-    writer.format(kind).save(target)
+    if not single:
+        writer.format(kind).save(target)
+        return target
+    draft = f"{target}-draft-{uuid.uuid4().hex}"
+    writer.format(kind).save(draft)
+    jvm = df.sparkSession._jvm
+    folder, final = jvm.org.apache.hadoop.fs.Path(draft), jvm.org.apache.hadoop.fs.Path(target)
+    fs = folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    if fs.exists(final):
+        fs.delete(final, True)
+    fs.rename(part, final)
+    fs.delete(folder, True)
     return target

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tableloom.workloads import checks, control, folds, matching, merging, recipes, registry, shape, typed
+from tableloom.workloads import checks, control, folds, matching, merging, recipes, registry, runs, shape, typed
 
 
 def all_queries() -> dict[str, registry.Query]:
@@ -13,4 +13,4 @@ def all_sql() -> dict[str, str]:
     return dict(registry.SQL)
 
 
-__all__ = ["all_queries", "all_sql", "checks", "control", "folds", "matching", "merging", "recipes", "shape", "typed"]
+__all__ = ["all_queries", "all_sql", "checks", "control", "folds", "matching", "merging", "recipes", "runs", "shape", "typed"]

@@ -228,7 +228,8 @@ _SECONDS = "floor(epoch_us(Ingestion_End_Time) - epoch_us(Ingestion_Start_Time))
 
 @query("mon_run_performance", f"""
 WITH {_LOG} SELECT Table_ID, Processing_Phase, count(*) AS Runs, round(avg({_SECONDS}), 3) AS Avg_Seconds, min({_SECONDS}) AS Min_Seconds,
-  max({_SECONDS}) AS Max_Seconds, CAST(sum(Records_Processed) AS BIGINT) AS Records_Processed FROM log WHERE Ingestion_Status = 'Processed' GROUP BY 1, 2
+  max({_SECONDS}) AS Max_Seconds, round(quantile_cont({_SECONDS}, 0.5), 3) AS Median_Seconds, round(quantile_cont({_SECONDS}, 0.95), 3) AS P95_Seconds,
+  CAST(sum(Records_Processed) AS BIGINT) AS Records_Processed FROM log WHERE Ingestion_Status = 'Processed' GROUP BY 1, 2
 """)
 def mon_run_performance(t):
     return monitor.run_performance(log(t))
@@ -250,6 +251,23 @@ def mon_trigger_reliability(t):
     return monitor.trigger_reliability(log(t))
 
 
+_NOW = "(SELECT max(Ingestion_End_Time) FROM log)"
+
+
+@query("mon_last_days", f"""
+WITH {_LOG}, l AS (SELECT * FROM log WHERE epoch_us(Ingestion_End_Time) >= epoch_us({_NOW}) - 129600000000)
+SELECT 'volume' AS question, CAST(Table_ID AS VARCHAR) AS name, count(*) AS Runs FROM l WHERE Ingestion_Status = 'Processed' GROUP BY 2
+UNION ALL SELECT 'failed', Trigger_Name, count(*) FILTER (Ingestion_Status = 'Failed') FROM l WHERE Ingestion_Status <> 'Started' GROUP BY 2
+""")
+def mon_last_days(t):
+    """Volume and reliability of the last day and a half before the newest run."""
+    rows = log(t)
+    now = rows.agg(F.max("Ingestion_End_Time")).scalar()
+    volume = monitor.volume_trend(rows, now, 1.5).groupBy(F.col("Table_ID").cast("string").alias("name")).agg(F.sum("Runs").alias("Runs"))
+    failed = monitor.trigger_reliability(rows, now, 1.5).select(F.col("Trigger_Name").alias("name"), F.col("Failed_Runs").alias("Runs"))
+    return volume.select(F.lit("volume").alias("question"), "name", "Runs").unionByName(failed.withColumn("question", F.lit("failed")))
+
+
 @query("mon_active_runs", f"WITH {_LOG} SELECT Log_ID, Table_ID FROM log GROUP BY 1, 2 HAVING count(*) FILTER (Ingestion_Status <> 'Started') = 0")
 def mon_active_runs(t):
     return monitor.active_runs(log(t)).drop("Started_At")

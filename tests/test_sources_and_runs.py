@@ -124,6 +124,9 @@ def test_outputs(spark, tmp_path):
     df = spark.range(2)
     path = write_output(df, f"{tmp_path}/%Y/out.txt", now=datetime(2024, 5, 6), single=True)
     assert path.endswith("/2024/out.txt") and as_set(spark.read.csv(path, sep="\t", header=True)) == {("0",), ("1",)}
+    assert (tmp_path / "2024/out.txt").is_file() and len(list((tmp_path / "2024").glob("[!.]*"))) == 1
+    write_output(spark.range(5), f"{tmp_path}/%Y/out.txt", now=datetime(2024, 5, 6), single=True)
+    assert spark.read.csv(path, sep="\t", header=True).count() == 5
     assert stamp_path("%Y%m%d_%j", datetime(2024, 5, 6)) == "20240506_127"
     with pytest.raises(SpecError):
         write_output(df, f"{tmp_path}/x.xlsx")
@@ -187,6 +190,24 @@ def test_runs_are_incremental_and_logged(spark, store):
     assert mark["watermark_value"].startswith("2024-02-02")
 
 
+def test_a_path_as_target_is_written_as_one_file(spark, store, tmp_path):
+    spec = table_spec(target=f"{tmp_path}/out/people_%Y.csv", checks=[{"Category": "validate_not_null", "column_name": "full_name", "if_not_compliant": "quarantine", "message": "no name"}])
+    for _ in range(2):
+        made = run_table(spark, store, spec, now=datetime(2024, 5, 6))
+        assert (made.version, made.rows, made.quarantined) == (None, 2, 1)
+    assert as_set(spark.read.csv(f"{tmp_path}/out/people_2024.csv", header=True), "id", "full_name") == {("1", "a"), ("2", "b")}
+    assert store.read("people_%Y_quarantined").count() == 2 and store.read("log.runs").count() == 2
+
+
+def test_a_run_counts_while_it_writes_its_flags(spark, store, monkeypatch):
+    from tableloom.operators.quality import run_quality
+
+    df = spark.range(10)
+    step = {"Category": "validate_range", "column_name": "id", "max_value": "6", "if_not_compliant": "quarantine", "message": "big"}
+    assert run_quality(df, [step], materialize=True).sizes() == run_quality(df, [step]).sizes() == (7, 3)
+    assert run_quality(df, []).results() == []
+
+
 def test_first_run_without_rows_is_an_error(spark, store):
     with pytest.raises(NoDataFound):
         run_table(spark, store, table_spec(steps=[{"Category": "filter_data", "filter_logic": "id > 100"}]))
