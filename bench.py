@@ -23,6 +23,7 @@ HEADLINE = (
     "sales_analytics", "union_city_metrics", "window_row_number", "window_whole_table", "dedup_latest_event", "join_left",
     "dq_report", "dq_anomaly_iqr", "merge_upsert", "change_feed", "scd2_history", "surrogate_keys", "fact_attach_keys",
     "normalize_text", "profile_approximate", "watermark_value", "er_groups", "er_similar_documents", "components",
+    "run_appends_and_quarantines", "replace_where_partitions", "merge_touched_partitions", "join_outer_on_range_alone", "hierarchy_deep",
 )
 
 
