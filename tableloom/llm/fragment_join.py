@@ -10,7 +10,8 @@ fragments, and every set with it, once to find candidates and once to count:
   are cut by size scheme; a set near a scheme's edge is cut for both. Fingerprints
   that very many sets have (a common line alone in its fragment) are left out for
   a set with no more of them than ``spare`` allows for, which loses no pair.
-* *Counts.* The overlap of a candidate pair is counted fragment by fragment and summed per pair.
+* *Counts.* The overlap of a candidate pair is counted fragment by fragment and summed per pair. A set travels once
+  for each pair, to the other one's place, straight from its text.
 
 Documents with equal sets are one node. Groups of near copies are not expanded: each
 node is first verified against the smallest one of most of its groups; then, between
@@ -59,7 +60,6 @@ class Scheme:
         self.spare_empty = self.spare_common = 1 + math.ceil(0.04 * parts)
         self.cuts = parts + self.spare_empty + self.spare_common if self.differ else 0
         self.fine = max(self.differ + 1, math.ceil(0.67 * hi))
-        self.counted = 1 << max(0, math.ceil(math.log2(max(1, hi / COUNTED))))
 
 
 def schemes(t: Fraction, most: int = 1 << 40) -> list[Scheme]:
@@ -144,44 +144,75 @@ def fingerprints(docs: DataFrame, text: str, words: int, t: Fraction) -> DataFra
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "key long, node long")
 
 
-def _fragments(docs: DataFrame, text: str, words: int, t: Fraction) -> DataFrame:
-    """``node, s, part, n, members, sketch``: the sets of documents, cut for counting, the first part with a sketch."""
+def _sketches(texts: DataFrame, words: int, t: Fraction) -> DataFrame:
+    """``node, s, n, sketch``: a byte for each fine fragment of the sets of ``texts`` (node, text), for each of their schemes."""
     table = schemes(t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            for piece in pieces(batch, "text", 1 << 20):
+            for piece in pieces(batch, "text"):
                 out = []
-                for value in piece.column("text").to_pylist():
+                for node, value in zip(piece.column("node").to_pylist(), piece.column("text").to_pylist()):
                     members = shingler(value or "")
                     for s, scheme in enumerate(table):
                         if scheme.cuts and scheme.lo <= len(members) <= scheme.most:
                             with np.errstate(over="ignore"):
                                 fine = mix(_sums(members, _cut(members, scheme.fine)) + np.uint64(1))
-                            sketch = (fine >> np.uint64(56)).astype(np.uint8).tobytes()
-                            bounds, node = _cut(members, scheme.counted), _node(members)
-                            out += [(node, s, i, len(members), members[a:b].view(np.int64), None if i else sketch) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
-                node, s, part, n, members, sketch = zip(*out) if out else ([],) * 6
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node, pa.int64()), pa.array(s, pa.int32()), pa.array(part, pa.int32()), pa.array(n, pa.int64()),
-                     pa.array(members, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                    names=["node", "s", "part", "n", "members", "sketch"],
-                )
+                            out.append((node, s, len(members), (fine >> np.uint64(56)).astype(np.uint8).tobytes()))
+                types = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else ([],) * 4, types)], names=["node", "s", "n", "sketch"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, s int, n long, sketch binary")
+
+
+def _cut_for(texts: DataFrame, words: int) -> DataFrame:
+    """``node, to, parts, part, n, members``: the sets of ``texts`` (node, to, parts, text), cut into ``parts`` for the node they go to."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in batches:
+            for piece in pieces(batch, "text", 1 << 20):
+                out = []
+                for node, to, parts, value in zip(*[piece.column(c).to_pylist() for c in ("node", "to", "parts", "text")]):
+                    members = shingler(value or "")
+                    bounds = _cut(members, parts)
+                    out += [(node, to, parts, i, len(members), members[a:b].view(np.int64)) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else ([],) * 6, types)], names=["node", "to", "parts", "part", "n", "members"])
+
+    return texts.select("node", "to", "parts", "text").mapInArrow(run, "node long, to long, parts int, part int, n long, members array<long>")
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "node long, s int, part int, n long, members array<long>, sketch binary")
 
+def _texts_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, *names: str) -> DataFrame:
+    """The texts that ``wanted`` (doc, h, copies and ``names``) asks for, one row for each of its rows.
 
-def _verified(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
-    """The pairs ``(a, b, s)`` whose overlap, counted by fragment and summed, reaches the threshold."""
-    left = sets.select(F.col("node").alias("a"), "s", "part", F.col("n").alias("na"), F.col("members").alias("ma"))
-    right = sets.select(F.col("node").alias("b"), "s", "part", F.col("n").alias("nb"), F.col("members").alias("mb"))
-    both = pairs.join(left, ["a", "s"]).join(right, ["b", "s", "part"])
-    summed = both.groupBy("a", "b", "s").agg(
-        F.sum(F.size(F.array_intersect("ma", "mb"))).alias("o"), F.first("na").alias("na"), F.first("nb").alias("nb"),
+    A row is found by its id, which may be missing or repeated, and its text's hash. Only rows that are alike in both are
+    told apart by taking one of them.
+    """
+    ask = wanted.select(F.col("doc").alias("_doc"), F.col("h").alias("_h"), F.col("copies").alias("_copies"), *names)
+    mine = F.col("_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_h"))
+    met = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("text")).join(ask, mine)
+    alike = met.filter("_copies > 1").dropDuplicates(list(names)).select(*names, "text")
+    return met.filter("_copies = 1").select(*names, "text").unionByName(alike)
+
+
+def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame, key: str, text: str, words: int, t: Fraction) -> DataFrame:
+    """The pairs ``(a, b)`` whose overlap, counted by fragment and summed, reaches the threshold.
+
+    The set of a travels to b, cut as finely as the smaller one of both needs it, and b's own once for all of them.
+    """
+    side = lambda x: info.select(F.col("node").alias(x), F.col("doc").alias(f"d{x}"), F.col("h").alias(f"h{x}"), F.col("copies").alias(f"c{x}"), F.col("n").alias(f"n{x}"))
+    both = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+    cuts = F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(F.least("na", "nb") / COUNTED)), F.lit(0))).cast("int")
+    both = settle(both.withColumn("parts", cuts), "pairs")
+    sent = lambda x: both.select(F.col(f"d{x}").alias("doc"), F.col(f"h{x}").alias("h"), F.col(f"c{x}").alias("copies"), F.col(x).alias("node"), F.col("b").alias("to"), "parts")
+    here, mine = (_cut_for(_texts_of(docs, key, text, asked, "node", "to", "parts"), words) for asked in (sent("a"), sent("b").distinct()))
+    counted = here.join(mine.select("to", "parts", "part", F.col("n").alias("nb"), F.col("members").alias("mb")), ["to", "parts", "part"])
+    summed = counted.groupBy(F.col("node").alias("a"), F.col("to").alias("b")).agg(
+        F.sum(F.size(F.array_intersect("members", "mb"))).alias("o"), F.first("n").alias("na"), F.first("nb").alias("nb"),
     )
     near = F.col("o") * t.denominator >= (F.col("na") + F.col("nb") - F.col("o")) * t.numerator
-    return summed.filter(near).select("a", "b").distinct()
+    return summed.filter(near).select("a", "b")
 
 
 def _across(rows: DataFrame, t: Fraction, parts: int) -> DataFrame:
@@ -257,27 +288,22 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
     spark = docs.sparkSession
     marks = settle(nodes(docs, key, text, words), "nodes")
     rows = fingerprints(docs, text, words, t).repartition(_partitions(spark), "key")
-    groups = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"))
+    groups = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count(F.lit(1)).cast("int").alias("size"))
     shared = groups.filter("first <> last").select("key", "first", "size")
-    scheme = F.col("key").bitwiseAND(F.lit(63)).cast("int")
-    grouped = rows.join(shared, "key").distinct()
-    grouped = settle(grouped.select("key", "node", "first", "size", scheme.alias("s")), "groups")
+    grouped = settle(rows.join(shared, "key").select("key", "node", "first", "size").distinct(), "groups")
+    grouped = grouped.withColumn("s", F.col("key").bitwiseAND(F.lit(63)).cast("int"))
     spare = F.element_at(F.array(*[F.lit(x.spare_common) for x in table]), F.col("s") + 1)
-    weak = grouped.filter(F.col("size") > COMMON).groupBy("node", "s").agg(F.count(F.lit(1)).alias("common"))
-    kept = grouped.join(weak, ["node", "s"], "left").filter((F.col("size") <= COMMON) | (F.col("common") > spare))
-    kept = settle(kept.drop("common"), "kept")
+    weak = settle(grouped.filter(F.col("size") > COMMON).groupBy("node", "s").agg(F.count(F.lit(1)).alias("common")), "common")
+    kept = grouped.join(weak, ["node", "s"], "left").filter((F.col("size") <= COMMON) | (F.col("common") > spare)).drop("common")
     # one pair for each node first: that with the smallest node of most of its groups
     often = kept.filter("node <> first").groupBy("node", "s", "first").agg(F.count(F.lit(1)).alias("n"))
-    stars = often.groupBy(F.col("node").alias("a"), "s").agg(F.max_by("first", F.struct("n", "first")).alias("b")).select("a", "b", "s")
-    wanted = kept.select("node").union(kept.select("first")).distinct()
-    # a row is found by its id, which may be missing or repeated, and its text's hash
+    stars = settle(often.groupBy(F.col("node").alias("a"), "s").agg(F.max_by("first", F.struct("n", "first")).alias("b")).select("a", "b"), "stars")
     row = F.struct(F.col("doc").isNull().alias("without"), "doc", "h")
-    known = settle(wanted.join(marks.groupBy("node").agg(F.min(row).alias("one")), "node").select("node", "one.doc", "one.h"), "wanted")
-    mine = F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_h"))
-    texts = docs.select(key, text).join(known.select(F.col("doc").alias("_doc"), F.col("h").alias("_h")).distinct(), mine, "left_semi")
-    sets = _fragments(texts, text, words, t).join(known.select("node"), "node", "left_semi").dropDuplicates(["node", "s", "part"])
-    sets = settle(sets, "sets")
-    links = settle(_verified(stars, sets, t), "links")
+    # a node's set is read from one of its rows
+    each = marks.groupBy("node", "doc", "h").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    info = each.groupBy("node").agg(F.min(F.struct(F.col("doc").isNull().alias("without"), "doc", "h", "copies", "n")).alias("one"))
+    info = settle(info.select("node", "one.doc", "one.h", "one.copies", "one.n"), "wanted")
+    links = settle(_verified(stars, info, docs, key, text, words, t), "links")
     found = settle(connected_components(links), "classes")
 
     again = kept.join(found, F.col("node") == F.col("id"), "left")
@@ -287,7 +313,8 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
     open_rows = settle(again.join(open_groups.select("key", blocks.alias("blocks")), "key"), "open")
     listed = open_rows.groupBy("node", "s").agg(F.collect_list("key").alias("own"))
     listed = listed.select("node", "s", F.when(F.size("own") <= LISTED, F.col("own")).alias("own"))
-    sketches = sets.filter("part = 0").select("node", "n", "s", "sketch")
+    asked = info.join(open_rows.select("node").distinct(), "node", "left_semi")
+    sketches = _sketches(_texts_of(docs, key, text, asked, "node"), words, t)
     mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
     full = open_rows.join(listed.join(sketches, ["node", "s"]), ["node", "s"])
     full = full.withColumn("m", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -296,7 +323,7 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
         "node", "comp", "n", "s", "sketch", "own",
     )
     more = settle(_across(dealt, t, _partitions(spark)), "across")
-    all_links = links.union(_verified(more, sets, t))
+    all_links = links.union(_verified(more, info, docs, key, text, words, t))
     classes = connected_components(settle(all_links, "links"))
     smallest = marks.filter("n > 0").join(classes, F.col("node") == F.col("id"), "left").withColumn("class", F.coalesce("component", "node"))
     by_class = smallest.groupBy("node", "class").agg(F.min(row).alias("one"))
