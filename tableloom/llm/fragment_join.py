@@ -341,9 +341,14 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     found = _classes(docs, key, text, words, threshold)
     stays = (F.col("n") == 0) | (F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("h") == F.col("first.h")))
     first = found.filter(stays).select(F.col("doc").alias("_doc"), F.col("h").alias("_h")).distinct()
-    kept = docs.join(first, F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_h")), "left_semi")
-    alike = Window.partitionBy(key, F.xxhash64(text)).orderBy(*[c for c in docs.columns if c not in (key, text)])
-    return kept.withColumn("_nth", F.row_number().over(alike)).filter("_nth = 1").drop("_nth")
+    # the caller's columns are one struct meanwhile, whatever they are called
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (key, text)]
+    order = F.to_json(F.struct(*rest)) if rest else F.lit("")
+    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{key}`").cast("long").alias("_id"), F.xxhash64(f"`{text}`").alias("_t"), order.alias("_order"))
+    kept = packed.join(first, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_h")), "left_semi")
+    alike = Window.partitionBy("_id", "_t").orderBy("_order")
+    one = kept.withColumn("_nth", F.row_number().over(alike)).filter("_nth = 1")
+    return one.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def _partitions(spark) -> int:

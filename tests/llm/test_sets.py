@@ -82,6 +82,15 @@ def test_null_and_repeated_ids_link_like_others(frame):
     assert sorted(want[texts.index(x)][1] for x in kept) == sorted({c for _, c in want})
 
 
+@pytest.mark.parametrize("name", ["_doc", "_H", "_nth", "row", "_id", "node", "members", "Text2"])
+def test_columns_named_like_internal_ones_stay(frame, name):
+    long = " ".join(f"w{i}" for i in range(60))
+    df = frame(f"doc_id long, text string, `{name}` map<string,int>", [(1, long, {"a": 1}), (2, long + " x", {"b": 2}), (3, "other", None), (3, "other", {"c": 1})])
+    kept = fragment_join.one_of_each(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    assert len(fragment_join.components(df).collect()) == 4
+
+
 def test_components_of_no_rows(frame):
     assert fragment_join.components(frame("doc_id long, text string", [])).count() == 0
 
