@@ -84,18 +84,20 @@ def mix(
     ``position`` is the training time of its first copy (null when none is taken). The words
     taken of a source add up to its rounded target.
     """
-    new = {"size", "source_size", "target", "taken", "position"}
-    named = docs.select(*[c for c in docs.columns if c not in new])
-    hashed = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
-    sized = named.select(
-        "*", word_count(text).alias("size"), hashed.alias("_hash"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~")).alias("_key"),
+    new = {"size", "source_size", "target", "taken", "position", "_turn", "_start"}
+    kept = [c for c in docs.columns if c.lower() not in new]
+    hashed = F.md5(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary"))
+    # the caller's columns are one struct meanwhile, whatever they are called
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(f"`{key}`").alias("_id"), word_count(text).alias("size"),
+        hashed.alias("_hash"), F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`")), F.lit("~")).alias("_key"),
     ).withColumn("_block", F.substring("_hash", 1, digits))
     blocks = sized.groupBy("_key", "_block").agg(F.sum("size").alias("_words"))
     targets = source_targets(blocks, weights, share, cap)
     before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_key", "_block", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_offset"))
     facts = offsets.join(targets, "_key")
-    inside = Window.partitionBy("_key", "_block").orderBy("_hash", key, "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_key", "_block").orderBy("_hash", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.join(facts, ["_key", "_block"])
     placed = placed.withColumn("_start", F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     goal, whole = F.floor(F.col("target") + 0.5), F.greatest("source_size", F.lit(1))
@@ -105,18 +107,17 @@ def mix(
     demand = F.col("_start") / F.greatest("target", F.lit(1.0))
     position = F.coalesce(*[F.when(F.col("turn") == i, when_reached(demand, knots)) for i, knots in enumerate(schedules)])
     out = placed.withColumn("taken", taken).withColumn("position", F.when(F.col("taken") > 0, position))
-    kept = [c for c in named.columns]
-    return out.select(*kept, "size", "source_size", "target", "taken", "position", F.col("turn").alias("_turn"), "_start")
+    return out.select(*[F.col(f"_row.`{c}`") for c in kept], "size", "source_size", "target", "taken", "position", F.col("turn").alias("_turn"), "_start")
 
 
 def in_training_order(mixed: DataFrame, repeat: bool = False, schedules: Sequence = SCHEDULES) -> DataFrame:
     """The rows range-sorted by position; with ``repeat`` one row for each copy, at that copy's own position."""
     if repeat:
         copies = F.ceil(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
-        many = mixed.filter("taken > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
-        demand = (F.col("_start") + F.col("_copy") * F.col("source_size")) / F.greatest("target", F.lit(1.0))
-        at = F.coalesce(*[F.when(F.col("_turn") == i, when_reached(demand, knots)) for i, knots in enumerate(schedules)])
-        mixed = many.withColumn("position", at).drop("_copy")
+        many = mixed.filter("taken > 0").select(F.struct("*").alias("row"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+        demand = (F.col("row._start") + F.col("copy") * F.col("row.source_size")) / F.greatest("row.target", F.lit(1.0))
+        at = F.coalesce(*[F.when(F.col("row._turn") == i, when_reached(demand, knots)) for i, knots in enumerate(schedules)])
+        mixed = many.select(*[at.alias(c) if c == "position" else F.col(f"row.`{c}`") for c in mixed.columns])
     # documents that the mix leaves out have no position; their place on the tape spreads them
     order = [F.col("position").asc_nulls_last(), F.col("_start")]
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_turn", "_start")

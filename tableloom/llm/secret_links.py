@@ -59,11 +59,11 @@ def _found(text: Column, pattern: str, group: int) -> Column:
 
 
 def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """One narrow row per document with a row number and what each pattern finds; written to the shared folder."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    kept = docs.columns if keep is None else keep
+    """One narrow row per document with a row number, the kept columns as one struct, and what each pattern finds; written to the shared folder."""
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    kept = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("_kept")
     found = [_found(body, pattern, group).alias(f"_{kind}") for kind, (pattern, group, *_) in {**KINDS, **WEAK}.items()]
-    return settle(docs.select(F.monotonically_increasing_id().alias("_row"), *kept, *found), "secrets")
+    return settle(docs.select(F.monotonically_increasing_id().alias("_row"), kept, *found), "secrets")
 
 
 def spans(scanned: DataFrame) -> DataFrame:
@@ -107,8 +107,8 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     scanned = scan(docs, text, keep)
     one = F.struct("start", "ord", "end", "kind")
     listed = spans(scanned).groupBy("_row").agg(F.array_sort(F.collect_list(one)).alias("spans"))
-    kept = [c for c in (docs.columns if keep is None else keep) if c != "spans"]
-    return scanned.select("_row", *kept).join(listed, "_row", "left").drop("_row")
+    kept = [F.col(f"_kept.`{c}`") for c in (docs.columns if keep is None else keep) if c.lower() != "spans"]
+    return scanned.select("_row", "_kept").join(listed, "_row", "left").select(*kept, "spans")
 
 
 def secret_digest(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -124,9 +124,9 @@ def secret_digest(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
 
 def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span of the text replaced by ``mask``; overlapping spans share one."""
-    plain = docs.drop("spans")
-    found = find_secrets(plain, text)
-    body = F.coalesce(F.col(text), F.lit(""))
+    # the caller's columns are one struct meanwhile, whatever they are called
+    found = find_secrets(docs.select(F.struct("*").alias("all"), F.col(f"`{text}`").alias("text")), "text")
+    body = F.coalesce(F.col("text"), F.lit(""))
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("at"))
     cut = F.aggregate(
         "spans", start,
@@ -139,4 +139,5 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataF
         )),
         lambda a: F.concat(a["done"], F.substring(body, (a["at"] + 1).cast("int"), F.length(body))),
     )
-    return found.withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(cut)).drop("spans")
+    clean = F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut)
+    return found.select(*[clean.alias(c) if c == text else F.col(f"all.`{c}`") for c in docs.columns])

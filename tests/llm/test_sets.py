@@ -91,6 +91,18 @@ def test_columns_named_like_internal_ones_stay(frame, name):
     assert len(fragment_join.components(df).collect()) == 4
 
 
+@pytest.mark.parametrize("name", ["turn", "_hash", "_KEY", "_block", "_offset", "_row", "_id", "copy", "row", "Size", "_start", "w"])
+def test_a_mix_carries_columns_of_any_name(frame, name):
+    df = frame(f"doc_id long, text string, source string, `{name}` map<string,int>", [(i, "a b c d", f"s{i % 2}", {"k": i}) for i in range(8)])
+    mixed = curriculum.in_training_order(curriculum.mix(df), repeat=True)
+    want = [c for c in df.columns if c.lower() not in ("size", "_start")]
+    assert mixed.columns == [*want, "size", "source_size", "target", "taken", "position"]
+    rows = mixed.collect()
+    assert {r.doc_id for r in rows} == set(range(8))
+    if name in want:
+        assert all(r[name] == {"k": r.doc_id} for r in rows)
+
+
 def test_components_of_no_rows(frame):
     assert fragment_join.components(frame("doc_id long, text string", [])).count() == 0
 

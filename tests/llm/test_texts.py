@@ -47,6 +47,17 @@ def test_encoding_and_decoding_equal_the_library(docs, sp):
     assert {r.doc_id: r.decoded for r in decoded.collect()}[9] == "日本語 😀 é́"
 
 
+@pytest.mark.parametrize("name", ["_row", "_ASSIGN", "_kept", "all", "text2", "start", "kind", "Spans"])
+def test_secrets_carry_columns_of_any_name(frame, name):
+    rows = [(1, "password = abcdef123456 end", {"k": 1}), (2, "nothing", None)]
+    df = frame(f"doc_id long, text string, `{name}` map<string,int>", rows)
+    clean = secret_links.redact(df)
+    assert clean.columns == df.columns and {r.doc_id: r.text for r in clean.collect()} == {1: "[SECRET] end", 2: "nothing"}
+    assert all(r[name] == ({"k": 1} if r.doc_id == 1 else None) for r in clean.collect())
+    found = secret_links.find_secrets(df)
+    assert found.columns == [c for c in df.columns if c.lower() != "spans"] + ["spans"] and found.filter("spans IS NOT NULL").count() == 1
+
+
 def test_counts_at_every_prefix(docs, sp):
     few = docs.filter("length(text) < 40")
     for r in token_counts.prefix_counts(few, tokenizer()).collect():
