@@ -82,16 +82,34 @@ def settle(df: DataFrame, label: str = "stage", watch: Observation | None = None
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-COSTLY = ("Join", "Aggregate", "Window", "Generate", "Sort ", "Distinct", "Union")
+#: Plan nodes that are as cheap to run again as to read back.
+CHEAP = ("Project", "Filter", "LogicalRelation", "LocalRelation", "InMemoryRelation", "Range", "ResolvedHint", "SubqueryAlias")
+#: File formats of which a scan reads the needed columns only.
+COLUMNAR = ("ParquetFileFormat", "OrcFileFormat")
+
+
+def _items(seq) -> Iterator:
+    return (seq.apply(i) for i in range(seq.size()))
+
+
+def _repeatable(node) -> bool:
+    """A plan of projections and filters over columnar files or data at hand, the same rows each time."""
+    name = node.getClass().getSimpleName()
+    if name not in CHEAP or not all(e.deterministic() for e in _items(node.expressions())):
+        return False
+    if name == "LogicalRelation":
+        relation = node.relation()
+        if relation.getClass().getSimpleName() != "HadoopFsRelation" or relation.fileFormat().getClass().getSimpleName() not in COLUMNAR:
+            return False
+    return all(map(_repeatable, _items(node.children())))
 
 
 def once(df: DataFrame, label: str = "input") -> DataFrame:
     """``df`` ready to be read several times by one operator.
 
-    A plain scan with filters and projections is cheap to repeat with pruned
-    columns and is returned as it is. Anything that joins, aggregates or sorts
-    is settled first, so a chain of multi-pass operators costs the sum of its
+    A plain scan of columnar files with filters and projections is cheap to repeat with pruned
+    columns and is returned as it is. Anything that joins, aggregates or sorts, reads text files or a database,
+    or may differ from one run to the next is settled first, so a chain of multi-pass operators costs the sum of its
     passes and not their product.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return settle(df, label) if any(word in plan for word in COSTLY) else df
+    return df if _repeatable(df._jdf.queryExecution().optimizedPlan()) else settle(df, label)

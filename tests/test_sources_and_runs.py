@@ -294,6 +294,19 @@ def test_a_run_leaves_no_intermediate_tables(spark, store):
     assert set(os.listdir(shared)) == before
 
 
+def test_only_plain_scans_are_read_again(spark, tmp_path):
+    from tableloom.session import once
+
+    path = str(tmp_path / "t")
+    spark.range(9).withColumn("JoinDate", F.lit("Sort Window")).write.parquet(path)
+    spark.range(9).write.csv(f"{path}.csv")
+    scan = spark.read.parquet(path)
+    for df in (scan, scan.filter("id > 3").select("JoinDate"), spark.range(5)):
+        assert once(df) is df
+    for df in (scan.distinct(), scan.withColumn("r", F.rand(1)), spark.read.csv(f"{path}.csv"), scan.join(scan, "id"), spark.createDataFrame([(1,)], "a int")):
+        assert once(df) is not df and once(df).count() == df.count()
+
+
 def test_control_helpers(spark):
     at = datetime(2024, 1, 1)
     row = control.reset_mark(spark, 7, "silver", at, "x").first()
