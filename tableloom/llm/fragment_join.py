@@ -29,7 +29,8 @@ Sets are told apart by 64-bit fingerprints.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tableloom.llm.batches import pieces
 from tableloom.llm.shingles import Shingler, mix
 from tableloom.operators.graph import connected_components
-from tableloom.session import settle
+from tableloom.session import settle, shared_folder
 
 #: A fingerprint of more rows than this is common; blocks of this many nodes are compared in a task.
 COMMON, BLOCK = 64, 512
@@ -196,17 +197,31 @@ def _texts_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, *names: s
     return met.filter("_copies = 1").select(*names, "text").unionByName(alike)
 
 
-def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame, key: str, text: str, words: int, t: Fraction) -> DataFrame:
+def _by_node(texts: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """``texts`` (node, text) as a table bucketed by node, so that joins on it move no text, and how to give it back."""
+    spark, name = texts.sparkSession, f"texts_{uuid.uuid4().hex}"
+    path, buckets = f"{shared_folder(spark)}/{name}", _partitions(spark)
+    texts.repartition(buckets, "node").write.bucketBy(buckets, "node").option("path", path).saveAsTable(name)
+
+    def forget() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    return spark.table(name), forget
+
+
+def _verified(pairs: DataFrame, info: DataFrame, texts: DataFrame, words: int, t: Fraction) -> DataFrame:
     """The pairs ``(a, b)`` whose overlap, counted by fragment and summed, reaches the threshold.
 
     The set of a travels to b, cut as finely as the smaller one of both needs it, and b's own once for all of them.
     """
-    side = lambda x: info.select(F.col("node").alias(x), F.col("doc").alias(f"d{x}"), F.col("h").alias(f"h{x}"), F.col("copies").alias(f"c{x}"), F.col("n").alias(f"n{x}"))
+    side = lambda x: info.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"))
     both = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
     cuts = F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(F.least("na", "nb") / COUNTED)), F.lit(0))).cast("int")
     both = settle(both.withColumn("parts", cuts), "pairs")
-    sent = lambda x: both.select(F.col(f"d{x}").alias("doc"), F.col(f"h{x}").alias("h"), F.col(f"c{x}").alias("copies"), F.col(x).alias("node"), F.col("b").alias("to"), "parts")
-    here, mine = (_cut_for(_texts_of(docs, key, text, asked, "node", "to", "parts"), words) for asked in (sent("a"), sent("b").distinct()))
+    sent = lambda x: both.select(F.col(x).alias("node"), F.col("b").alias("to"), "parts")
+    here, mine = (_cut_for(texts.join(asked, "node"), words) for asked in (sent("a"), sent("b").distinct()))
     counted = here.join(mine.select("to", "parts", "part", F.col("n").alias("nb"), F.col("members").alias("mb")), ["to", "parts", "part"])
     summed = counted.groupBy(F.col("node").alias("a"), F.col("to").alias("b")).agg(
         F.sum(F.size(F.array_intersect("members", "mb"))).alias("o"), F.first("n").alias("na"), F.first("nb").alias("nb"),
@@ -303,7 +318,10 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
     each = marks.groupBy("node", "doc", "h").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
     info = each.groupBy("node").agg(F.min(F.struct(F.col("doc").isNull().alias("without"), "doc", "h", "copies", "n")).alias("one"))
     info = settle(info.select("node", "one.doc", "one.h", "one.copies", "one.n"), "wanted")
-    links = settle(_verified(stars, info, docs, key, text, words, t), "links")
+    # texts of nodes that share a group with another one; whatever is compared is read from these
+    wanted = info.join(kept.select("node").union(kept.select("first")).distinct(), "node", "left_semi")
+    texts, forget = _by_node(_texts_of(docs, key, text, wanted, "node"))
+    links = settle(_verified(stars, info, texts, words, t), "links")
     found = settle(connected_components(links), "classes")
 
     again = kept.join(found, F.col("node") == F.col("id"), "left")
@@ -313,8 +331,7 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
     open_rows = settle(again.join(open_groups.select("key", blocks.alias("blocks")), "key"), "open")
     listed = open_rows.groupBy("node", "s").agg(F.collect_list("key").alias("own"))
     listed = listed.select("node", "s", F.when(F.size("own") <= LISTED, F.col("own")).alias("own"))
-    asked = info.join(open_rows.select("node").distinct(), "node", "left_semi")
-    sketches = _sketches(_texts_of(docs, key, text, asked, "node"), words, t)
+    sketches = _sketches(texts.join(open_rows.select("node").distinct(), "node", "left_semi"), words, t)
     mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
     full = open_rows.join(listed.join(sketches, ["node", "s"]), ["node", "s"])
     full = full.withColumn("m", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -323,8 +340,9 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
         "node", "comp", "n", "s", "sketch", "own",
     )
     more = settle(_across(dealt, t, _partitions(spark)), "across")
-    all_links = links.union(_verified(more, info, docs, key, text, words, t))
-    classes = connected_components(settle(all_links, "links"))
+    all_links = settle(links.union(_verified(more, info, texts, words, t)), "links")
+    forget()
+    classes = connected_components(all_links)
     smallest = marks.filter("n > 0").join(classes, F.col("node") == F.col("id"), "left").withColumn("class", F.coalesce("component", "node"))
     by_class = smallest.groupBy("node", "class").agg(F.min(row).alias("one"))
     ids = by_class.join(by_class.groupBy("class").agg(F.min("one").alias("first")), "class").select("node", "first")
