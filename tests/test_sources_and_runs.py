@@ -303,7 +303,7 @@ def test_only_plain_scans_are_read_again(spark, tmp_path):
     scan = spark.read.parquet(path)
     for df in (scan, scan.filter("id > 3").select("JoinDate"), spark.range(5)):
         assert once(df) is df
-    for df in (scan.distinct(), scan.withColumn("r", F.rand(1)), spark.read.csv(f"{path}.csv"), scan.join(scan, "id"), spark.createDataFrame([(1,)], "a int")):
+    for df in (scan.distinct(), scan.withColumn("r", F.rand(1)), spark.read.csv(f"{path}.csv"), scan.join(scan.select("id"), "id"), spark.createDataFrame([(1,)], "a int")):
         assert once(df) is not df and once(df).count() == df.count()
 
 
