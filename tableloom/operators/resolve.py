@@ -97,10 +97,12 @@ class MatchSpec:
 class Resolution:
     """``pairs``: scored and labelled links between representatives and from
     representatives to their copies. ``records``: every record once, with its
-    best outcome and the smallest member of its group."""
+    best outcome and the smallest member of its group. ``links``: those of ``pairs`` between
+    representatives, of different compared values where one table is matched with itself."""
 
     pairs: DataFrame
     records: DataFrame
+    links: DataFrame
 
 
 def cleaned(value: Column) -> Column:
@@ -293,7 +295,7 @@ def resolve(primary: DataFrame, spec: MatchSpec, secondary: DataFrame | None = N
     records = described(lrecords, "a")
     if rrecords is not None:
         records = records.unionByName(described(rrecords, "b"))
-    return Resolution(_with_copies(links, lrecords, rrecords), records)
+    return Resolution(_with_copies(links, lrecords, rrecords), records, edges)
 
 
 def _with_copies(links: DataFrame, lrecords: DataFrame, rrecords: DataFrame | None) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import pytest
 from helpers import as_set
 from pyspark.sql import functions as F
 from test_matching import edit_distance
 
+import __spark_entry__ as driver
 from tableloom.operators import candidates
 from tableloom.operators.candidates import similar_texts
 
@@ -48,3 +50,14 @@ def test_texts_longer_and_shorter_than_the_placed_ones_meet(frame):
         texts += [base, base[:-5], "zz" + base[4:], base[:20] + "yy" + base[20:], base[:30] + base[33:] + "qq"]
     got = as_set(similar_texts(frame("id bigint, t string", list(enumerate(texts))).withColumn("block", F.lit(1)), None, 0.85))
     assert got == {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if i < j and similar(a, b, 0.85)}
+
+
+def test_near_balances_leave_copies_out_as_their_sql_does(spark, frame, tmp_path):
+    rows = [(i, f"n{i}", i % 2, 100.0 + i % 6, "s") for i in range(18)] + [(90 + i, "z", 1, b, "s") for i, b in enumerate((0.0, -0.0, -5.0, None, None))]
+    df = frame("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", rows)
+    df.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{tmp_path}/customer.parquet/*.parquet')")
+    got = driver.queries()["er_near_balances"](spark, str(tmp_path))
+    want = con.execute(driver.oracle_sql()["er_near_balances"]).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) != []
