@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from test_matching import edit_distance
 
 import __spark_entry__ as driver
-from tableloom.operators import candidates
+from tableloom.operators import candidates, ranges
+from tableloom.operators.joins import join_data
 from tableloom.operators.candidates import similar_texts
 
 
@@ -61,3 +62,16 @@ def test_near_balances_leave_copies_out_as_their_sql_does(spark, frame, tmp_path
     got = driver.queries()["er_near_balances"](spark, str(tmp_path))
     want = con.execute(driver.oracle_sql()["er_near_balances"]).fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want) != []
+
+
+def test_points_meet_few_intervals_beside_them(spark, monkeypatch):
+    points = spark.range(2000).selectExpr("id AS i", "id / 20D AS x")
+    bands = spark.range(500).selectExpr("id AS j", "id / 5D AS lo", "id / 5D + CASE WHEN id % 5 = 0 THEN 0.5D ELSE 0.02D END AS hi")
+    laid = []
+    spread = ranges._spread
+    monkeypatch.setattr(ranges, "_spread", lambda *args: laid.append(spread(*args)) or laid[-1])
+    got = join_data(points, bands, "a.x >= b.lo AND a.x < b.hi", "inner", "i", "j")
+    want = points.join(bands, F.expr("x >= lo AND x < hi"))
+    assert as_set(got) == as_set(want.select("i", "j")) and got.count() == want.count()
+    met = laid[0].drop("own", "first", "last").join(laid[1].select("at", "bin"), ["at", "bin"]).count()
+    assert met <= 2 * want.count()
