@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tableloom.operators.numbering import range_count
 from tableloom.spec import check_columns
 
 ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -46,7 +47,9 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
                 F.col(f"h{i}").alias("Max"),
             )
         )
-    return df.agg(*[v.alias(k) for k, v in measured.items()]).select(F.inline(F.array(*lines)))
+    # A task keeps every different value it reads, so exact counts are taken of as many small parts as the session has partitions.
+    parts = df.repartition(range_count(df)) if exact_distinct else df
+    return parts.agg(*[v.alias(k) for k, v in measured.items()]).select(F.inline(F.array(*lines)))
 
 
 def top_values(df: DataFrame, columns: list[str], n: int = 10) -> DataFrame:
