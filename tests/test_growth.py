@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from test_matching import edit_distance
 
 import __spark_entry__ as driver
-from tableloom.operators import candidates, ranges
+from tableloom.operators import candidates, graph, profile, ranges
 from tableloom.operators.joins import join_data
 from tableloom.operators.candidates import similar_texts
 
@@ -75,3 +75,36 @@ def test_points_meet_few_intervals_beside_them(spark, monkeypatch):
     assert as_set(got) == as_set(want.select("i", "j")) and got.count() == want.count()
     met = laid[0].drop("own", "first", "last").join(laid[1].select("at", "bin"), ["at", "bin"]).count()
     assert met <= 2 * want.count()
+
+
+def test_exact_counts_are_taken_of_small_parts(spark):
+    df = spark.range(0, 1000, 1, 1).selectExpr("id", "id % 7 AS few")
+    got = profile.profile(df, exact_distinct=True)
+    assert as_set(got, "Column_Name", "Approx_Distinct_Values", "Total_Rows") == {("id", 1000, 1000), ("few", 7, 1000)}
+    assert "RoundRobinPartitioning(4)" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hierarchies_with_stops_write_few_rows(spark, frame, monkeypatch):
+    n, written = 4000, []
+    settled = graph.settle
+    monkeypatch.setattr(graph, "settle", lambda df, label, *more: written.append(settled(df, label, *more)) or written[-1])
+    chain = spark.range(n).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("up"))
+
+    def rows():
+        total = sum(df.count() for df in written)
+        written.clear()
+        return total
+
+    plain = graph.flatten_hierarchy(chain, "id", "up", paths=False)
+    before = rows()
+    monkeypatch.setattr(graph, "FEW", 10)
+    got = graph.flatten_hierarchy(chain, "id", "up", paths=False)
+    assert as_set(got) == as_set(plain) == {(i, 0, i) for i in range(n)}
+    assert rows() < before
+    nodes = [(f"n{i}", f"n{i // 2}" if i > 1 else None) for i in range(1, 60)] + [("n50", "n3"), ("lost", "nobody"), ("below", "lost")]
+    nodes += [(f"c{i}", f"c{(i + 1) % 30}") for i in range(30)] + [("hung", "c4"), ("c7", "n5")]
+    df = frame("id string, up string", nodes)
+    got = graph.flatten_hierarchy(df.filter("id NOT IN ('c7')"), "id", "up", keep_unrooted=True)
+    monkeypatch.setattr(graph, "FEW", 1000)
+    assert as_set(got) == as_set(graph.flatten_hierarchy(df.filter("id NOT IN ('c7')"), "id", "up", keep_unrooted=True))
+    assert got.count() == len(nodes) - 2
