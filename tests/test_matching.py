@@ -6,7 +6,7 @@ import pytest
 from helpers import as_set
 from pyspark.sql import functions as F
 
-from tableloom.operators import graph
+from tableloom.operators import candidates, graph
 from tableloom.operators.candidates import similar_texts, similar_word_sets
 from tableloom.operators.resolve import Comparison, MatchSpec, resolve, resolve_step
 from tableloom.spec import SpecError
@@ -171,3 +171,40 @@ def test_fuzzy_needs_a_floor(people):
     loose = MatchSpec(SPEC.comparisons, SPEC.auto_rule, None, "id", fuzzy_floor=0.3)
     with pytest.raises(SpecError):
         resolve(people, loose)
+
+
+@pytest.mark.parametrize("floor", [0.03, 0.5, 0.7, 1.0])
+@pytest.mark.parametrize("tables", [1, 2])
+def test_word_sets_equal_all_pairs_compared(frame, floor, tables):
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(300)}" for _ in range(rng.choice([1, 3, 20, 90]))] for _ in range(25)]
+    texts = [" ".join(w if rng.random() > rate else f"x{rng.randrange(50)}" for w in words) for words in base for rate in (0.0, 0.1, 0.3)]
+    sets = [set(t.split()) for t in texts]
+    want = {}
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            score = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            if (i < j if tables == 1 else i % 2 == 0 and j % 2 == 1) and score >= floor:
+                want[i, j] = score
+    rows = frame("id bigint, t string", [*enumerate(texts), (900, ""), (901, None)])
+    sides = (rows, None) if tables == 1 else (rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1"))
+    got = {(a, b): s for a, b, s in similar_word_sets(*sides, "t", floor).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_texts_that_only_share_a_rare_word_are_not_compared_by_their_words(frame, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join([f"rare{n % 10}", *(f"w{i}" for i in rng.sample(range(20000), 400))]) for n in range(200)]
+    compared = []
+    written = candidates.settle
+
+    def counting(df, label="stage", *rest):
+        out = written(df, label, *rest)
+        if label == "pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(candidates, "settle", counting)
+    rows = frame("id bigint, t string", [*enumerate(texts), (500, texts[7] + " more")])
+    assert [(a, b) for a, b, _ in similar_word_sets(rows, None, "t", 0.7).collect()] == [(7, 500)]
+    assert compared == [1]
