@@ -19,7 +19,8 @@ Neither loses a pair above the floor, and the pairs of a whole group are never f
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,59 @@ def _lengths(size: Column, floor: float) -> Column:
     return F.sequence(most, F.greatest(F.ceil(most / 2).cast("int"), F.lit(1)), F.lit(-1))
 
 
-def _cell(block: Column, gram: Column) -> Column:
-    return F.pmod(F.xxhash64(block, gram), F.lit(CELLS)).cast("int")
+def _in_tasks(floor: float) -> tuple[Callable, Callable, Callable]:
+    """``tried, cells, pieces``: helpers that travel into tasks by value, so that workers need not have this module."""
+    def tried(size: int) -> tuple[int, range]:
+        """``_edits`` and ``_lengths`` of a text of ``size`` letters, inside a task."""
+        edits = math.floor(size * (1 - floor) + SLACK)
+        most = min(size // (edits + 1), LONGEST)
+        return edits, range(most, max(math.ceil(most / 2), 1) - 1, -1)
+
+    def cells(t: str, q: int) -> list[int]:
+        """The cell of each gram of ``q`` letters."""
+        return [zlib.crc32(t[at:at + q].encode()) % CELLS for at in range(len(t) - q + 1)]
+
+    def pieces(t: str, uses: np.ndarray) -> tuple[int, list[int], list[int]]:
+        """The edits a text may have, and the places (from 0) and lengths of its pieces: one disjoint piece more than edits, as rare as may be.
+
+        The pieces of a short text have lengths of their own, and one that may stand at several places counts so many times. Those of a long
+        text have one length and places that differ by multiples of it. The longest pieces from the first place on
+        always suffice, so every text has its pieces.
+        """
+        edits, lengths = tried(len(t))
+        found = {q: uses[cells(t, q)].tolist() for q in lengths}
+        if len(t) > PLACED:
+            choices = []
+            for q, use in found.items():
+                for start in range(q):
+                    rarest = sorted((use[at], at) for at in range(start, len(use), q))[:edits + 1]
+                    if len(rarest) > edits:
+                        choices.append((sum(n for n, _ in rarest), q, sorted(at for _, at in rarest)))
+            _, q, places = min(choices)
+            return edits, places, [q] * len(places)
+        # the least uses of the first i pieces within the first so many letters, and the length of the piece that ends there
+        least, ends = [0] * (len(t) + 1), []
+        for i in range(edits + 1):
+            weight, here, end = i + min(i, edits - i) + 1, [math.inf], [0]
+            for upto in range(1, len(t) + 1):
+                low, length = here[-1], 0
+                for q in lengths:
+                    if q <= upto and (n := least[upto - q] + weight * found[q][upto - q] + 1) < low:
+                        low, length = n, q
+                here.append(low)
+                end.append(length)
+            least = here
+            ends.append(end)
+        places, sizes, upto = [], [], len(t)
+        for end in reversed(ends):
+            while not end[upto]:
+                upto -= 1
+            sizes.append(end[upto])
+            upto -= end[upto]
+            places.append(upto)
+        return edits, places[::-1], sizes[::-1]
+
+    return tried, cells, pieces
 
 
 def gram_rows(items: DataFrame, floor: float) -> DataFrame:
@@ -66,39 +118,54 @@ def gram_rows(items: DataFrame, floor: float) -> DataFrame:
     return placed.withColumn("gram", F.substring("t", F.col("at"), F.col("q")))
 
 
-def gram_uses(grams: DataFrame) -> Column:
-    """How often the grams of each cell occur, as one array. Cells are hashes, so that the array's size does not grow with the data;
-    rarity only decides which pieces are looked at first, never which pairs are found. The array is a subquery's value, which no
-    text of a plan repeats."""
-    counted = grams.groupBy(_cell(F.col("block"), F.col("gram")).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    every = grams.sparkSession.range(0, CELLS, 1, 1).select(F.col("id").cast("int").alias("cell")).join(counted, "cell", "left")
-    ordered = F.array_sort(F.collect_list(F.struct("cell", F.coalesce("n", F.lit(0)).alias("n"))))
-    return settle(every.agg(ordered.alias("u")).select(F.col("u.n").alias("uses")), "uses").scalar()
+def gram_uses(items: DataFrame, floor: float) -> np.ndarray:
+    """How often the grams of each cell occur in texts ``t``. Cells are hashes, so that the array's size does not grow with the data;
+    rarity only decides which pieces are looked at first, never which pairs are found."""
+    tried, cells, _ = _in_tasks(floor)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, lengths = np.zeros(CELLS, np.int64), {}
+        for batch in batches:
+            found = []
+            for t in batch.column("t").to_pylist():
+                n = len(t)
+                if n not in lengths:
+                    lengths[n] = sorted({q for m in range(n, math.floor(n / floor + SLACK) + 1) for q in tried(m)[1] if q <= n})
+                for q in lengths[n]:
+                    found += cells(t, q)
+                if len(found) > CELLS:
+                    counts += np.bincount(found, minlength=CELLS)
+                    found = []
+            counts += np.bincount(np.array(found, np.int64), minlength=CELLS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["cell", "n"])
+
+    return _by_cell(items.select("t").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")))
+
+
+def _by_cell(counted: DataFrame) -> np.ndarray:
+    """The counts ``cell, n`` as one array of ``CELLS`` numbers."""
+    rows, uses = counted.toArrow(), np.zeros(CELLS, np.int64)
+    uses[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
+    return uses
+
+
+def rarest_pieces(items: DataFrame, uses: np.ndarray, floor: float) -> DataFrame:
+    """``items`` with ``edits`` and ``pieces``, by place. No row leaves its task."""
+    choose = _in_tasks(floor)[2]
+    kind = pa.list_(pa.struct([("at", pa.int32()), ("gram", pa.string())]))
 
-def rarest_pieces(items: DataFrame, uses: Column, floor: float) -> DataFrame:
-    """``items`` with ``edits`` and ``pieces``, by place: one disjoint piece more than edits are allowed, as rare as may be.
-
-    Grams whose places differ by multiples of their length are disjoint. For each length and each first place
-    the rarest of these are summed up, and the choice with the fewest uses wins; the longest pieces from the first place
-    on always suffice, so every text has its pieces. No row leaves its task.
-    """
-    def piece(at: Column, q: Column) -> Column:
-        gram = F.substring("t", at, q)
-        return F.struct(F.element_at("uses", _cell(F.col("block"), gram) + 1).alias("uses"), at.alias("at"), gram.alias("gram"))
-
-    def from_place(start: Column, q: Column) -> Column:
-        last = F.col("size") - q + 1
-        places = F.when(start <= last, F.sequence(start, last, q)).otherwise(F.array().cast("array<int>"))
-        return F.slice(F.array_sort(F.transform(places, lambda at: piece(at, q))), F.lit(1), F.col("edits") + 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edits, pieces = [], []
+            for t in batch.column("t").to_pylist():
+                k, places, sizes = choose(t, uses)
+                edits.append(k)
+                pieces.append([{"at": at + 1, "gram": t[at:at + q]} for at, q in zip(places, sizes)])
+            yield batch.append_column("edits", pa.array(edits, pa.int32())).append_column("pieces", pa.array(pieces, kind))
 
-    choices = F.flatten(F.transform("lengths", lambda q: F.transform(F.sequence(F.lit(1), q), lambda start: from_place(start, q))))
-    total = lambda pieces: F.aggregate(pieces, F.lit(0).cast("bigint"), lambda n, x: n + x["uses"])
-    enough = F.filter(choices, lambda pieces: F.size(pieces) > F.col("edits"))
-    ranked = F.array_min(F.transform(enough, lambda pieces: F.struct(total(pieces).alias("total"), pieces.alias("pieces"))))
-    by_place = F.array_sort(F.transform(ranked["pieces"], lambda x: F.struct(x["at"].alias("at"), x["gram"].alias("gram"))))
-    sized = items.withColumns({"edits": _edits(F.col("size"), floor), "lengths": _lengths(F.col("size"), floor), "uses": uses})
-    return sized.select(*items.columns, "edits", by_place.alias("pieces"))
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
+    return items.mapInArrow(run, f"{names}, edits int, pieces array<struct<at:int,gram:string>>")
 
 
 def _signature(t: Column) -> Column:
@@ -148,7 +215,7 @@ def similar_texts(left: DataFrame, right: DataFrame | None, floor: float) -> Dat
 
     def met(longer: DataFrame, shorter: DataFrame, also: Column) -> DataFrame:
         plain = ("id", "block", "size", "t", "signature")
-        chosen = settle(rarest_pieces(longer.select(*plain), gram_uses(gram_rows(shorter.select("block", "size", "t"), floor)), floor), "pieces")
+        chosen = settle(rarest_pieces(longer.select(*plain), gram_uses(shorter, floor), floor), "pieces")
         k = F.col("edits")
         one = chosen.select(*plain, "edits", F.posexplode("pieces").alias("i", "x")).select(*plain, "edits", "i", "x.at", "x.gram")
         moves = F.sequence(F.greatest(-F.col("i"), 1 - F.col("at")), F.least("i", k - F.col("i")))
@@ -165,7 +232,8 @@ def similar_texts(left: DataFrame, right: DataFrame | None, floor: float) -> Dat
         letters = (lacks("r", "s") <= edits) & (lacks("s", "r") <= edits)
         # in this order: places first, then the letters, then the distance
         alike = F.when(near & also, F.when(letters, F.expr("levenshtein(r.t, s.t, r.edits) >= 0")))
-        return r.join(s, match & F.coalesce(alike, F.lit(False)))
+        # many rows come of few bytes of text, so a broadcast by the size of the texts would not fit
+        return r.hint("merge").join(s, match & F.coalesce(alike, F.lit(False)))
 
     shorter, level = F.col("s.size") < F.col("r.size"), F.col("s.size") == F.col("r.size")
     if right is None:
@@ -232,9 +300,8 @@ def similar_word_sets(left: DataFrame, right: DataFrame | None, text: str, floor
     every = a if right is None else a.unionByName(b)
     # a hash has one of CELLS cells, so that the counts do not grow with the data; they only decide which words are looked at, never which pairs are found
     cell = F.pmod(F.xxhash64(F.col("word")), F.lit(CELLS))
-    counted = every.select(F.explode("tokens").alias("word")).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).toArrow()
-    uses = np.zeros(CELLS, np.int64)
-    uses[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    counted = every.select(F.explode("tokens").alias("word")).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    uses = _by_cell(counted)
     rarest = lambda df: _rarest_words(df.select("id", F.transform("tokens", lambda w: F.xxhash64(w)).alias("words")), uses, floor)
     ra = rarest(a)
     rb = ra if right is None else rarest(b)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from helpers import as_set
 from pyspark.sql import functions as F
@@ -208,3 +209,19 @@ def test_texts_that_only_share_a_rare_word_are_not_compared_by_their_words(frame
     rows = frame("id bigint, t string", [*enumerate(texts), (500, texts[7] + " more")])
     assert [(a, b) for a, b, _ in similar_word_sets(rows, None, "t", 0.7).collect()] == [(7, 500)]
     assert compared == [1]
+
+
+def test_pieces_of_short_texts_are_disjoint_rare_and_one_more_than_edits():
+    rng = random.Random(7)
+    _, cells, pieces = candidates._in_tasks(0.8)
+    texts = ["building " + "".join(rng.choice("0123456789abcdef") for _ in range(12)) for _ in range(300)]
+    uses = np.zeros(candidates.CELLS, np.int64)
+    for t in texts:
+        for q in (2, 3, 4):
+            np.add.at(uses, cells(t, q), 1)
+    for t in [*texts, "a", "ab", "abcde", "x" * 64, "y" * 65, "z" * 200]:
+        edits, places, sizes = pieces(t, uses)
+        assert edits == int(len(t) * 0.2 + 1e-9) and len(places) == len(sizes) == edits + 1
+        assert all(at + q <= after for at, q, after in zip(places, sizes, [*places[1:], len(t)]))
+    # with one length for all of them, twelve letters of their own would give five pieces of two
+    assert sum(len(set(pieces(t, uses)[2])) > 1 for t in texts) > 250
