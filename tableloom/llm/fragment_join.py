@@ -10,12 +10,14 @@ fragments, and every set with it, once to find candidates and once to count:
   are cut by size scheme; a set near a scheme's edge is cut for both. Fingerprints
   that very many sets have (a common line alone in its fragment) are left out for
   a set with no more of them than ``spare`` allows for, which loses no pair.
+* *Parities.* A set's members are dealt to places, and the parity of each place is kept. Two sets differ in at least as
+  many members as their parities differ in places, so most candidates are dropped by a few words of bits, without their texts.
 * *Counts.* The overlap of a candidate pair is counted fragment by fragment and summed per pair. A set travels once
   for each pair, to the other one's place, straight from its text.
 
 Documents with equal sets are one node. Groups of near copies are not expanded: each
 node is first verified against the smallest one of most of its groups; then, between
-nodes that are still in different components, short sketches of finer fragments are compared block
+nodes that are still in different components, parities are compared block
 by block inside the tasks, and only pairs that can reach the threshold are counted.
 A group of any size is dealt over its pairs of blocks.
 
@@ -23,7 +25,7 @@ Defined cases: a null text, or one without words, has an empty set and is linked
 with nothing; fewer words than n are one n-gram; repeated rows are linked with
 each other; a null id never becomes a component's id unless all of its rows
 have none, and its rows link others like any row; rows with one id are rows of their own; an empty table gives an empty result; other columns are not read.
-Sets are told apart by 64-bit fingerprints.
+Sets, and rows by id and text, are told apart by 64-bit fingerprints.
 """
 
 from __future__ import annotations
@@ -36,12 +38,12 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tableloom.llm.batches import pieces
 from tableloom.llm.shingles import Shingler, mix
 from tableloom.operators.graph import connected_components
-from tableloom.session import settle, shared_folder
+from tableloom.session import giving_back, settle, shared_folder
 
 #: A fingerprint of more rows than this is common; blocks of this many nodes are compared in a task.
 COMMON, BLOCK = 64, 512
@@ -60,7 +62,7 @@ class Scheme:
         parts = self.differ + 1
         self.spare_empty = self.spare_common = 1 + math.ceil(0.04 * parts)
         self.cuts = parts + self.spare_empty + self.spare_common if self.differ else 0
-        self.fine = max(self.differ + 1, math.ceil(0.67 * hi))
+        self.wide = 64 * math.ceil(1.25 * hi / 64)
 
 
 def schemes(t: Fraction, most: int = 1 << 40) -> list[Scheme]:
@@ -101,19 +103,36 @@ def _node(members: np.ndarray) -> int:
         return int((mix(_sums(members, np.array([0, len(members)])) + np.uint64(len(members)))).view(np.int64)[0])
 
 
-def nodes(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``doc, h, n, node``: the text's hash, the size and the fingerprint of every row's set."""
+def _parities(members: np.ndarray, wide: int) -> np.ndarray:
+    """The parity of the number of members in each of ``wide`` places, as 64-bit words."""
+    place = ((members >> np.uint64(32)) * np.uint64(wide) >> np.uint64(32)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=wide) & 1).astype(np.uint8)).view(np.int64)
+
+
+_BITS = "array<struct<s:int,bits:array<long>>>"
+
+
+def nodes(docs: DataFrame, key: str, text: str, words: int, t: Fraction) -> DataFrame:
+    """``doc, h, n, node, parities``: the text's hash, the size, the fingerprint and, for each scheme, the parities of every row's set."""
+    table = schemes(t)
+    kind = pa.list_(pa.struct([("s", pa.int32()), ("bits", pa.list_(pa.int64()))]))
+
+    def parities(members: np.ndarray) -> list[dict]:
+        fitting = [(s, x) for s, x in enumerate(table) if x.cuts and x.lo <= len(members) <= x.most]
+        return [{"s": s, "bits": _parities(members, x.wide)} for s, x in fitting]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets = [shingler(value or "") for value in piece.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc"), piece.column("h"), pa.array([len(m) for m in sets], pa.int64()), pa.array(list(map(_node, sets)), pa.int64())],
-                    names=["doc", "h", "n", "node"],
+                    [piece.column("doc"), piece.column("h"), pa.array([len(m) for m in sets], pa.int64()), pa.array(list(map(_node, sets)), pa.int64()),
+                     pa.array(list(map(parities, sets)), kind)],
+                    names=["doc", "h", "n", "node", "parities"],
                 )
 
-    return docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).mapInArrow(run, "doc long, h long, n long, node long")
+    return docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).mapInArrow(run, f"doc long, h long, n long, node long, parities {_BITS}")
 
 
 def fingerprints(docs: DataFrame, text: str, words: int, t: Fraction) -> DataFrame:
@@ -145,26 +164,12 @@ def fingerprints(docs: DataFrame, text: str, words: int, t: Fraction) -> DataFra
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "key long, node long")
 
 
-def _sketches(texts: DataFrame, words: int, t: Fraction) -> DataFrame:
-    """``node, s, n, sketch``: a byte for each fine fragment of the sets of ``texts`` (node, text), for each of their schemes."""
-    table = schemes(t)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                out = []
-                for node, value in zip(piece.column("node").to_pylist(), piece.column("text").to_pylist()):
-                    members = shingler(value or "")
-                    for s, scheme in enumerate(table):
-                        if scheme.cuts and scheme.lo <= len(members) <= scheme.most:
-                            with np.errstate(over="ignore"):
-                                fine = mix(_sums(members, _cut(members, scheme.fine)) + np.uint64(1))
-                            out.append((node, s, len(members), (fine >> np.uint64(56)).astype(np.uint8).tobytes()))
-                types = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else ([],) * 4, types)], names=["node", "s", "n", "sketch"])
-
-    return texts.select("node", "text").mapInArrow(run, "node long, s int, n long, sketch binary")
+def _possible(pairs: DataFrame, bits: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs ``(a, b, s)`` whose parities differ in no more places than sets of their sizes may differ in members."""
+    side = lambda x: bits.select(F.col("node").alias(x), "s", F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
+    differ = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    both = pairs.join(side("a"), ["a", "s"]).join(side("b"), ["b", "s"])
+    return both.filter(differ * (t.denominator + t.numerator) <= (F.col("na") + F.col("nb")) * (t.denominator - t.numerator)).select("a", "b", "s")
 
 
 def _cut_for(texts: DataFrame, words: int) -> DataFrame:
@@ -184,24 +189,25 @@ def _cut_for(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("node", "to", "parts", "text").mapInArrow(run, "node long, to long, parts int, part int, n long, members array<long>")
 
 
-def _texts_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, *names: str) -> DataFrame:
-    """The texts that ``wanted`` (doc, h, copies and ``names``) asks for, one row for each of its rows.
+def _at(doc: str, h: str) -> Column:
+    """Where a text is found: the fingerprint of its row's id, which may be missing or repeated, and of its own hash."""
+    return F.xxhash64(doc, h)
 
-    A row is found by its id, which may be missing or repeated, and its text's hash. Only rows that are alike in both are
-    told apart by taking one of them.
-    """
-    ask = wanted.select(F.col("doc").alias("_doc"), F.col("h").alias("_h"), F.col("copies").alias("_copies"), *names)
-    mine = F.col("_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_h"))
-    met = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("text")).join(ask, mine)
-    alike = met.filter("_copies > 1").dropDuplicates(list(names)).select(*names, "text")
-    return met.filter("_copies = 1").select(*names, "text").unionByName(alike)
 
+def _texts_of(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """``at, text`` of the rows that ``wanted`` (at, copies) asks for, and how to give them back.
 
-def _by_node(texts: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
-    """``texts`` (node, text) as a table bucketed by node, so that joins on it move no text, and how to give it back."""
-    spark, name = texts.sparkSession, f"texts_{uuid.uuid4().hex}"
+    They are dealt to buckets once, before they meet what is asked for, so that neither this join nor those on the table move a
+    text again. Only rows that are alike in id and text are told apart by taking one of them.
+    """
+    spark, name = docs.sparkSession, f"texts_{uuid.uuid4().hex}"
     path, buckets = f"{shared_folder(spark)}/{name}", _partitions(spark)
-    texts.repartition(buckets, "node").write.bucketBy(buckets, "node").option("path", path).saveAsTable(name)
+    every = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
+    every = every.select(_at("doc", "h").alias("at"), "text").repartition(buckets, "at")
+    met = every.join(wanted.select("at", "copies").repartition(buckets, "at"), "at")
+    texts = met.filter("copies = 1").select("at", "text").unionByName(met.filter("copies > 1").select("at", "text").dropDuplicates(["at"]))
+    with giving_back(spark):
+        texts.write.bucketBy(buckets, "at").option("path", path).saveAsTable(name)
 
     def forget() -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -216,12 +222,12 @@ def _verified(pairs: DataFrame, info: DataFrame, texts: DataFrame, words: int, t
 
     The set of a travels to b, cut as finely as the smaller one of both needs it, and b's own once for all of them.
     """
-    side = lambda x: info.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"))
+    side = lambda x: info.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"at{x}"))
     both = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
     cuts = F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(F.least("na", "nb") / COUNTED)), F.lit(0))).cast("int")
     both = settle(both.withColumn("parts", cuts), "pairs")
-    sent = lambda x: both.select(F.col(x).alias("node"), F.col("b").alias("to"), "parts")
-    here, mine = (_cut_for(texts.join(asked, "node"), words) for asked in (sent("a"), sent("b").distinct()))
+    sent = lambda x: both.select(F.col(f"at{x}").alias("at"), F.col(x).alias("node"), F.col("b").alias("to"), "parts")
+    here, mine = (_cut_for(texts.join(asked, "at"), words) for asked in (sent("a"), sent("b").distinct()))
     counted = here.join(mine.select("to", "parts", "part", F.col("n").alias("nb"), F.col("members").alias("mb")), ["to", "parts", "part"])
     summed = counted.groupBy(F.col("node").alias("a"), F.col("to").alias("b")).agg(
         F.sum(F.size(F.array_intersect("members", "mb"))).alias("o"), F.first("n").alias("na"), F.first("nb").alias("nb"),
@@ -231,10 +237,10 @@ def _verified(pairs: DataFrame, info: DataFrame, texts: DataFrame, words: int, t
 
 
 def _across(rows: DataFrame, t: Fraction, parts: int) -> DataFrame:
-    """``a, b, s``: pairs of nodes of one group in different components whose sketches can reach the threshold.
+    """``a, b, s``: pairs of nodes of one group in different components whose parities can reach the threshold.
 
-    ``rows`` has ``key, i, j, side, node, comp, n, s, sketch, own``: a node of block i or j of a group, on side 0 or
-    1, with the groups that it is in. A pair of nodes in several groups is given by the first of them.
+    ``rows`` has ``key, i, j, side, node, comp, n, s, bits, own``: a node of block i or j of a group, on side 0 or
+    1, with the groups before this one that it is in. A pair of nodes in several groups is given by the first of them.
     """
     up, down = t.denominator - t.numerator, t.denominator + t.numerator
 
@@ -251,7 +257,7 @@ def _across(rows: DataFrame, t: Fraction, parts: int) -> DataFrame:
     def groups(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         for s, part in pdf.groupby("s", sort=False):
             part = part.reset_index(drop=True)
-            x = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(len(part), -1)
+            x = np.concatenate(part["bits"].to_numpy()).astype(np.uint64).reshape(len(part), -1)
             place = part[["key", "i", "j"]].to_numpy()
             edges = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]).any(axis=1))))
             side = part["side"].to_numpy()
@@ -279,10 +285,10 @@ def _across(rows: DataFrame, t: Fraction, parts: int) -> DataFrame:
         near = np.zeros(len(a), bool)
         for lo in range(0, len(a), 1 << 15):
             at = slice(lo, lo + (1 << 15))
-            near[at] = np.add.reduce(x[a[at]] != x[b[at]], axis=1, dtype=np.int32) <= most[at]
+            near[at] = np.add.reduce(np.bitwise_count(x[a[at]] ^ x[b[at]]), axis=1, dtype=np.int32) <= most[at]
         a, b = a[near], b[near]
-        own, key = part["own"], part["key"].to_numpy()
-        first = np.array([own[i] is None or own[j] is None or min(set(own[i]).intersection(own[j])) == k for i, j, k in zip(a, b, key[a])], bool)
+        own = part["own"]
+        first = np.array([own[i] is None or own[j] is None or set(own[i]).isdisjoint(own[j]) for i, j in zip(a, b)], bool)
         a, b = (a[first], b[first]) if len(first) else (a, b)
         return pd.DataFrame({"a": node[a], "b": node[b], "s": np.full(len(a), s, np.int32)})
 
@@ -301,7 +307,7 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
     t = Fraction(threshold)
     table = schemes(t)
     spark = docs.sparkSession
-    marks = settle(nodes(docs, key, text, words), "nodes")
+    marks = settle(nodes(docs, key, text, words, t), "nodes")
     rows = fingerprints(docs, text, words, t).repartition(_partitions(spark), "key")
     groups = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count(F.lit(1)).cast("int").alias("size"))
     shared = groups.filter("first <> last").select("key", "first", "size")
@@ -312,15 +318,17 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
     kept = grouped.join(weak, ["node", "s"], "left").filter((F.col("size") <= COMMON) | (F.col("common") > spare)).drop("common")
     # one pair for each node first: that with the smallest node of most of its groups
     often = kept.filter("node <> first").groupBy("node", "s", "first").agg(F.count(F.lit(1)).alias("n"))
-    stars = settle(often.groupBy(F.col("node").alias("a"), "s").agg(F.max_by("first", F.struct("n", "first")).alias("b")).select("a", "b"), "stars")
+    stars = often.groupBy(F.col("node").alias("a"), "s").agg(F.max_by("first", F.struct("n", "first")).alias("b"))
     row = F.struct(F.col("doc").isNull().alias("without"), "doc", "h")
     # a node's set is read from one of its rows
-    each = marks.groupBy("node", "doc", "h").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
-    info = each.groupBy("node").agg(F.min(F.struct(F.col("doc").isNull().alias("without"), "doc", "h", "copies", "n")).alias("one"))
-    info = settle(info.select("node", "one.doc", "one.h", "one.copies", "one.n"), "wanted")
+    each = marks.groupBy("node", "doc", "h").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("parities").alias("parities"))
+    info = each.groupBy("node").agg(F.min(F.struct(F.col("doc").isNull().alias("without"), "doc", "h", "copies", "n", "parities")).alias("one"))
+    info = settle(info.select("node", _at("one.doc", "one.h").alias("at"), "one.copies", "one.n", "one.parities"), "wanted")
+    bits = info.select("node", "n", F.explode("parities").alias("p")).select("node", "n", "p.s", "p.bits")
+    stars = settle(_possible(stars, bits, t), "stars")
     # texts of nodes that share a group with another one; whatever is compared is read from these
     wanted = info.join(kept.select("node").union(kept.select("first")).distinct(), "node", "left_semi")
-    texts, forget = _by_node(_texts_of(docs, key, text, wanted, "node"))
+    texts, forget = _texts_of(docs, key, text, wanted)
     links = settle(_verified(stars, info, texts, words, t), "links")
     found = settle(connected_components(links), "classes")
 
@@ -331,13 +339,12 @@ def _classes(docs: DataFrame, key: str, text: str, words: int, threshold: str) -
     open_rows = settle(again.join(open_groups.select("key", blocks.alias("blocks")), "key"), "open")
     listed = open_rows.groupBy("node", "s").agg(F.collect_list("key").alias("own"))
     listed = listed.select("node", "s", F.when(F.size("own") <= LISTED, F.col("own")).alias("own"))
-    sketches = _sketches(texts.join(open_rows.select("node").distinct(), "node", "left_semi"), words, t)
     mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    full = open_rows.join(listed.join(sketches, ["node", "s"]), ["node", "s"])
+    full = open_rows.join(listed.join(bits, ["node", "s"]), ["node", "s"]).withColumn("own", F.filter("own", lambda k: k < F.col("key")))
     full = full.withColumn("m", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = full.select(
         "key", F.least("m", "o").alias("i"), F.greatest("m", "o").alias("j"), F.when(F.col("m") <= F.col("o"), 0).otherwise(1).alias("side"),
-        "node", "comp", "n", "s", "sketch", "own",
+        "node", "comp", "n", "s", "bits", "own",
     )
     more = settle(_across(dealt, t, _partitions(spark)), "across")
     all_links = settle(links.union(_verified(more, info, texts, words, t)), "links")
@@ -358,15 +365,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     """
     found = _classes(docs, key, text, words, threshold)
     stays = (F.col("n") == 0) | (F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("h") == F.col("first.h")))
-    first = found.filter(stays).select(F.col("doc").alias("_doc"), F.col("h").alias("_h")).distinct()
+    first = found.filter(stays).groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("_copies"))
     # the caller's columns are one struct meanwhile, whatever they are called
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (key, text)]
-    order = F.to_json(F.struct(*rest)) if rest else F.lit("")
-    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{key}`").cast("long").alias("_id"), F.xxhash64(f"`{text}`").alias("_t"), order.alias("_order"))
-    kept = packed.join(first, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_h")), "left_semi")
-    alike = Window.partitionBy("_id", "_t").orderBy("_order")
-    one = kept.withColumn("_nth", F.row_number().over(alike)).filter("_nth = 1")
-    return one.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{key}`").cast("long").alias("_id"), F.xxhash64(f"`{text}`").alias("_t"))
+    kept = packed.join(first, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_h")))
+    # only rows that are alike in id and text are ordered, and moved once more
+    rest = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (key, text)]
+    alike = Window.partitionBy("_id", "_t").orderBy(F.to_json(F.struct(*rest)) if rest else F.lit(""))
+    one = kept.filter("_copies > 1").withColumn("_nth", F.row_number().over(alike)).filter("_nth = 1")
+    whole = [F.col(f"row.`{c}`") for c in docs.columns]
+    return kept.filter("_copies = 1").select(*whole).unionByName(one.select(*whole))
 
 
 def _partitions(spark) -> int:

@@ -67,6 +67,21 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Spark's setting under which a statement's shuffle files are deleted when it ends.
+GIVE_BACK = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def giving_back(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of what is written inside the block as soon as it is written; nothing reads them again."""
+    before = spark.conf.get(GIVE_BACK, None)
+    spark.conf.set(GIVE_BACK, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(GIVE_BACK) if before is None else spark.conf.set(GIVE_BACK, before)
+
+
 def settle(df: DataFrame, label: str = "stage", watch: Observation | None = None, *measures: Column) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -78,7 +93,8 @@ def settle(df: DataFrame, label: str = "stage", watch: Observation | None = None
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     if (owned := _OWNED.get()) is not None:
         owned.append(path)
-    df.write.parquet(path)
+    with giving_back(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import time
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -352,3 +354,43 @@ def test_very_long_payloads_get_wider_images():
     assert jpeg.shape_for(6 * 64 * 4095) == (64, 4095)
     with pytest.raises(ValueError):
         jpeg.shape_for(6 * 4095 * 4095 + 1)
+
+
+def test_parities_never_differ_in_more_places_than_sets_in_members(spark, frame):
+    t, rng = Fraction("0.8"), np.random.default_rng(3)
+    for n in (5, 40, 300, 2000):
+        a = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        for gone in (0, 1, n // 9, n // 2, n):
+            b = np.unique(np.concatenate((a[gone:], rng.integers(0, 1 << 63, gone, np.uint64))))
+            scheme = next(x for x in fragment_join.schemes(t) if x.cuts and x.lo <= n <= x.hi)
+            x, y = (fragment_join._parities(m, scheme.wide) for m in (a, b))
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+    # unlike sets of one size are dropped without their texts
+    docs = frame("doc_id long, text string", [(i, " ".join(f"w{rng.integers(0, 10**6)}" for _ in range(200))) for i in range(8)])
+    rows = fragment_join.nodes(docs, "doc_id", "text", 5, t)
+    bits = rows.select("node", "n", F.explode("parities").alias("p")).select("node", "n", "p.s", "p.bits")
+    pairs = bits.select(F.col("node").alias("a"), "s").join(bits.select(F.col("node").alias("b"), "s"), "s")
+    assert fragment_join._possible(pairs, bits, t).filter("a <> b").count() == 0
+    assert fragment_join._possible(pairs, bits, t).count() == bits.count()
+
+
+def test_settled_tables_leave_no_shuffle_files(spark, monkeypatch):
+    from tableloom import session
+
+    before = spark.conf.get(session.GIVE_BACK, None)
+    seen = []
+    with session.giving_back(spark):
+        seen.append(spark.conf.get(session.GIVE_BACK))
+    assert seen == ["true"] and spark.conf.get(session.GIVE_BACK, None) == before
+
+    def held():
+        roots = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in (roots.apply(i) for i in range(roots.size())) if f.getName().startswith("shuffle_")}
+
+    were = held()
+    df = session.settle(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "kept")
+    for _ in range(50):
+        if not (left := held() - were):
+            break
+        time.sleep(0.1)
+    assert not left and df.count() == 7
