@@ -20,7 +20,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableloom.llm.batches import pieces
 
@@ -103,11 +103,25 @@ def frequent_chunks(docs: DataFrame, text: str = "text", entries: int = TABLE_EN
     return [r.chunk for r in short.orderBy(F.desc("n"), "chunk").limit(entries).select("chunk").collect()]
 
 
+def worked_out(spark: SparkSession, head: list[str], make: Callable[[], Callable[[list[str]], list[int]]]) -> dict[str, int]:
+    """The number that the function of ``make()`` gives for each chunk of ``head``, worked out once for all tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(work(batch.column(0).to_pylist()), pa.int64())], names=["chunk", "n"])
+
+    if not head:
+        return {}
+    rows = spark.createDataFrame(pa.table({"chunk": pa.array(head, pa.string())}))
+    dealt = rows.repartition(max(1, min(spark.sparkContext.defaultParallelism, len(head) // 1000)))
+    return {r.chunk: r.n for r in dealt.mapInArrow(run, "chunk string, n long").collect()}
+
+
 class Table:
-    """Chunks to what ``work`` gives for them: a fixed head and a tail of bounded size."""
+    """Chunks to what ``work`` gives for them: a fixed head, which may have been worked out before, and a tail of bounded size."""
 
-    def __init__(self, head: list[str], work: Callable[[list[str]], list]):
-        self.head = dict(zip(head, work(head))) if head else {}
+    def __init__(self, head: list[str] | dict[str, int], work: Callable[[list[str]], list]):
+        self.head = head if isinstance(head, dict) else dict(zip(head, work(head))) if head else {}
         self.known, self.work = dict(self.head), work
 
     def look(self, texts: list[list[str]]) -> Iterator[list]:

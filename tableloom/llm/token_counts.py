@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.llm.batches import with_columns
-from tableloom.llm.chunks import Processor, Table, cut, frequent_chunks
+from tableloom.llm.chunks import Processor, Table, cut, frequent_chunks, worked_out
 
 
 class PrefixCounts:
@@ -97,12 +97,15 @@ def _prefixes(found: list[tuple[int, ...]]) -> list[int]:
 
 def token_counts(docs: DataFrame, model: str, text: str = "text", out: str = "n_tokens", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the number of tokens of each whole text: the entry of its longest prefix."""
-    head = docs.sparkSession.sparkContext.broadcast(frequent_chunks(docs, text))
+    def totals():
+        dp = PrefixCounts(model)
+        return lambda chunks: [inner[-1] for inner in dp.many(chunks)]
+
+    spark = docs.sparkSession
+    head = spark.sparkContext.broadcast(worked_out(spark, frequent_chunks(docs, text), totals))
 
     def make():
-        dp = PrefixCounts(model)
-        totals = lambda chunks: [inner[-1] for inner in dp.many(chunks)]
-        table = Table(head.value, totals)
+        table = Table(head.value, totals())
         return lambda texts: [[sum(found) for found in table.look(list(map(cut, texts)))]]
 
     return with_columns(docs, text, f"`{out}` long", make, keep)

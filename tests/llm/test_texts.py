@@ -242,3 +242,18 @@ def test_common_strings_are_rows_summed_before_they_meet(frame):
     found = suffix_dedup._counted_strings(bodies)
     assert sorted((r.key, r.mark, [tuple(x) for x in r.runs]) for r in found.collect()) == [(1, i, [(0, 60)]) for i in range(50)]
     assert suffix_dedup._counted_strings(bodies.limit(0)).count() == 0
+
+
+def test_the_frequent_chunks_are_counted_once_for_all_tasks(frame, spark, monkeypatch):
+    rows = [(i, " ".join(f"word{j % 50}" for j in range(200))) for i in range(400)]
+    docs = frame("doc_id long, text string", rows).repartition(8)
+    runs = spark.sparkContext.accumulator(0)
+
+    class Counted(token_counts.PrefixCounts):
+        def many(self, chunks):
+            runs.add(len(chunks))
+            return super().many(chunks)
+
+    monkeypatch.setattr(token_counts, "PrefixCounts", Counted)
+    got = token_counts.token_counts(docs, tokenizer()).select("n_tokens").distinct().collect()
+    assert len(got) == 1 and runs.value == 50
