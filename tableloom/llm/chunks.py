@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableloom.llm.batches import pieces
+from tableloom.session import settle
 
 MARK = "▁"
 #: Entries of the broadcast table and the longest chunk it may hold, in bytes: at most some tens of megabytes.
@@ -97,10 +98,29 @@ def count_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
     return counted.groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
+def _most(sizes: DataFrame, room: int, ascending: bool) -> tuple[int | None, int]:
+    """Of ``(part, n)`` the parts in order as long as their sum is within ``room``: the first that is left out, and the room before it."""
+    for part, n in sorted(map(tuple, sizes.collect()), reverse=not ascending):
+        if n > room:
+            return part, room
+        room -= n
+    return None, room
+
+
 def frequent_chunks(docs: DataFrame, text: str = "text", entries: int = TABLE_ENTRIES) -> list[str]:
-    """The most frequent chunks that occur more than once, bounded in number and length."""
-    short = count_chunks(docs, text).filter(f"octet_length(chunk) <= {CHUNK_BYTES} AND n > 1")
-    return [r.chunk for r in short.orderBy(F.desc("n"), "chunk").limit(entries).select("chunk").collect()]
+    """The most frequent chunks that occur more than once, bounded in number and length.
+
+    Only sizes of a thousand classes of like frequency, and of the parts of the class at the border, are sent to the driver to find the border,
+    then the chunks themselves; a sort would send as many from every partition.
+    """
+    level, part = F.floor(F.log2("n") * 16), F.pmod(F.xxhash64("chunk"), F.lit(1024))
+    short = settle(count_chunks(docs, text).filter(f"octet_length(chunk) <= {CHUNK_BYTES} AND n > 1"), "chunks")
+    border, room = _most(short.groupBy(level).count(), entries, False)
+    if border is not None:
+        last, _ = _most(short.filter(level == border).groupBy(part).count(), room, True)
+        inside = F.lit(True) if last is None else part < last
+        short = short.filter((level > border) | ((level == border) & inside))
+    return short.select("chunk").toArrow().column(0).to_pylist()
 
 
 def worked_out(spark: SparkSession, head: list[str], make: Callable[[], Callable[[list[str]], list[int]]]) -> dict[str, int]:
@@ -114,7 +134,8 @@ def worked_out(spark: SparkSession, head: list[str], make: Callable[[], Callable
         return {}
     rows = spark.createDataFrame(pa.table({"chunk": pa.array(head, pa.string())}))
     dealt = rows.repartition(max(1, min(spark.sparkContext.defaultParallelism, len(head) // 1000)))
-    return {r.chunk: r.n for r in dealt.mapInArrow(run, "chunk string, n long").collect()}
+    done = dealt.mapInArrow(run, "chunk string, n long").toArrow()
+    return dict(zip(done.column(0).to_pylist(), done.column(1).to_pylist()))
 
 
 class Table:

@@ -12,7 +12,7 @@ import pytest
 
 pytest.importorskip("tableloom.llm")
 
-from tableloom.llm import media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, toxicity  # noqa: E402
+from tableloom.llm import chunks, media, secret_links, sentencepiece_table, skip_chain, suffix_dedup, token_counts, toxicity  # noqa: E402
 from tableloom.llm.queries import tokenizer  # noqa: E402
 
 ODD = [
@@ -257,3 +257,27 @@ def test_the_frequent_chunks_are_counted_once_for_all_tasks(frame, spark, monkey
     monkeypatch.setattr(token_counts, "PrefixCounts", Counted)
     got = token_counts.token_counts(docs, tokenizer()).select("n_tokens").distinct().collect()
     assert len(got) == 1 and runs.value == 50
+
+
+@pytest.mark.parametrize("entries", [500, 140, 60, 17, 0])
+def test_frequent_chunks_are_found_without_a_sort_of_every_partition(frame, monkeypatch, entries):
+    sizes = {f"w{i}": 2 + (i % 3) * 40 for i in range(150)} | {f"once{i}": 1 for i in range(50)}
+    docs = frame("doc_id long, text string", [(i, " ".join(w for w, n in sizes.items() if n > i)) for i in range(90)])
+    monkeypatch.setattr(type(docs), "orderBy", None)
+    got = [c.lstrip(chunks.MARK) for c in chunks.frequent_chunks(docs, entries=entries)]
+    assert got and len(got) == len(set(got)) or not entries
+    # parts of a class whose chunks are as frequent may be left out to stay within the bound
+    assert min(entries, 150) - 3 <= len(got) <= entries and not any(g.startswith("once") for g in got)
+    least = min([sizes.get(g, 100) for g in got], default=100)
+    assert sum(n > least for n in sizes.values()) == sum(sizes.get(g, 0) > least for g in got)
+
+
+def test_shared_prefixes_of_chunks_are_worked_out_once(monkeypatch):
+    dp = token_counts.PrefixCounts(tokenizer())
+    words = [chunks.MARK + w for w in ("underway", "under", "understood", "underst", "", "zß€", "zß", "understood", "u\U0001F600nder", "u\U0001F600n")]
+    want = [tuple(dp(w)) for w in words]
+    steps = []
+    real = dp._go_on
+    monkeypatch.setattr(dp, "_go_on", lambda c, counts, last: steps.append(len(c) + 1 - len(counts)) or real(c, counts, last))
+    assert dp.many(words) == want and [w[-1] for w in want] == [len(x) for x in dp.processor.ids(words)]
+    assert sum(steps) == len({w[:i] for w in words for i in range(1, len(w) + 1)}) and dp.many([]) == []
