@@ -50,28 +50,54 @@ class PrefixCounts:
 
     def __call__(self, chunk: str) -> list[int]:
         """Token counts of the prefixes of lengths 1 to ``len(chunk)``."""
-        counts, last = [0], [""]
-        for end in range(1, len(chunk) + 1):
-            char = chunk[end - 1]
-            piece = ""
-            for start in range(end - 1, max(-1, end - 1 - self.longest), -1):
+        counts = [0]
+        self._go_on(chunk, counts, [""])
+        return counts[1:]
+
+    def _go_on(self, chunk: str, counts: list[int], last: list[str]) -> None:
+        """Carry the programme on, from the prefixes that ``counts`` and ``last`` know to the whole chunk."""
+        ends, pieces, pairs, longest = self.ends, self.pieces, self.pairs, self.longest
+        for end in range(len(counts), len(chunk) + 1):
+            for start in range(end - 1, max(-1, end - 1 - longest), -1):
                 tail = chunk[start:end]
-                if tail not in self.ends:
-                    break
-                if tail in self.pieces and (not last[start] or self.may_follow(last[start], tail)):
-                    piece = tail
-                    counts.append(counts[start] + 1)
+                if tail not in ends:
+                    start = -1
                     break
-            if not piece:
+                if tail in pieces:
+                    left = last[start]
+                    if not left:
+                        break
+                    known = pairs.get((left, tail))
+                    if known or known is None and self.may_follow(left, tail):
+                        break
+            else:
+                start = -1
+            if start >= 0:
+                counts.append(counts[start] + 1)
+                last.append(tail)
+            else:
+                char = chunk[end - 1]
                 if char not in self.bytes:
                     self.bytes[char] = self._plain(char)
                 counts.append(counts[end - 1] + self.bytes[char])
-            # bytes never merge: what follows them starts afresh
-            last.append(piece)
-        return counts[1:]
+                # bytes never merge: what follows them starts afresh
+                last.append("")
 
     def many(self, chunks: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(self(c)) for c in chunks]
+        """The same for many chunks, in their alphabetical order: a prefix that a chunk shares with the one before it is not worked out again."""
+        out: list[tuple[int, ...]] = [()] * len(chunks)
+        before, counts, last = "", [0], [""]
+        for i in sorted(range(len(chunks)), key=chunks.__getitem__):
+            chunk, same = chunks[i], 0
+            for a, b in zip(before, chunk):
+                if a != b:
+                    break
+                same += 1
+            del counts[same + 1:], last[same + 1:]
+            self._go_on(chunk, counts, last)
+            out[i] = tuple(counts[1:])
+            before = chunk
+        return out
 
 
 def prefix_counts(docs: DataFrame, model: str, text: str = "text", out: str = "prefix_counts") -> DataFrame:
