@@ -11,8 +11,11 @@ neighbours with a common prefix of ``LENGTH`` are the repeated strings. The numb
 shards follows from the bytes to be sorted, so that a shard fits into a task's memory.
 
 An anchor with very many different stretches, such as the edge of a passage that a third
-of all documents share, is not put into one shard: its strings are counted one
-by one by 128-bit hashes, summed in each task before they are spread over all tasks.
+of all documents share, is not put into one shard. Equal strings have their anchor at the same
+offset, so its stretches are cut into cells of neighbouring offsets, whose strings share a core of nearly ``LENGTH``
+bytes. Cells whose core occurs once are done with, those that are all alike repeat, few different ones go to a
+shard, and the others are cut again. What is left after the narrowest cells, a few strings of each, is counted
+string by string by 128-bit hashes, summed in each task before they are spread over all tasks.
 
 Defined cases: a null text is an empty one; texts shorter than ``LENGTH`` lose nothing;
 repeated rows are texts that repeat each other; overlapping repetitions count;
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,8 @@ from tableloom.session import settle
 LENGTH, GRAM = 200, 32
 #: Stretches of one anchor that may meet in one shard.
 COMMON = 128
+#: Offsets of the anchor in a cell, for each time that the stretches of a common anchor are cut.
+CELLS = (43, 11)
 #: Bytes of stretches that a shard holds on average; its sort needs some 50 bytes of memory for each of them.
 SHARD_BYTES = 8 << 20
 _SLICE = 1 << 20
@@ -113,10 +119,10 @@ def _stretches(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "key long, mark long, common boolean, body binary")
 
 
-def _runs(marks: np.ndarray) -> list[dict]:
-    """Runs of marked positions as first and last."""
+def _runs(marks: np.ndarray, base: int) -> list[dict]:
+    """Runs of marked positions as first and last, counted from ``base``."""
     edge = np.flatnonzero(np.diff(np.concatenate(([0], marks.astype(np.int8), [0]))))
-    return [{"a": int(a), "b": int(b) - 1} for a, b in zip(edge[::2], edge[1::2])]
+    return [{"a": base + int(a), "b": base + int(b) - 1} for a, b in zip(edge[::2], edge[1::2])]
 
 
 _RUNS = "key long, mark long, runs array<struct<a:int,b:int>>"
@@ -131,12 +137,13 @@ def _shards(stretches: DataFrame, least: int) -> int:
 def _sorted_shards(stretches: DataFrame, shards: int) -> DataFrame:
     """Runs of repeated strings in each stretch, one suffix sort in each partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, marks, sizes = [], [], []
+        keys, marks, bases, sizes = [], [], [], []
 
         def spooled() -> Iterator[bytes]:
             for batch in batches:
                 keys.append(batch.column("key").to_numpy())
                 marks.append(batch.column("mark").to_numpy())
+                bases.append(batch.column("base").to_numpy())
                 for body in batch.column("body"):
                     raw = body.as_py()
                     sizes.append(len(raw))
@@ -148,44 +155,115 @@ def _sorted_shards(stretches: DataFrame, shards: int) -> DataFrame:
         found = shard.repeated(LENGTH)
         ends = np.cumsum(np.array(sizes) + 1)
         kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-        key, mark = np.concatenate(keys), np.concatenate(marks)
+        key, mark, base = np.concatenate(keys), np.concatenate(marks), np.concatenate(bases).tolist()
         for lo in range(0, len(sizes), 5000):
-            runs = [_runs(found[ends[i] - sizes[i] - 1:ends[i] - 1]) for i in range(lo, min(lo + 5000, len(sizes)))]
+            runs = [_runs(found[ends[i] - sizes[i] - 1:ends[i] - 1], base[i]) for i in range(lo, min(lo + 5000, len(sizes)))]
             yield pa.RecordBatch.from_arrays([pa.array(key[lo:lo + 5000]), pa.array(mark[lo:lo + 5000]), pa.array(runs, kind)], names=["key", "mark", "runs"])
 
-    return stretches.select("key", "mark", "body").repartition(shards, "key").mapInArrow(run, _RUNS)
+    return stretches.select("deal", "key", "mark", "base", "body").repartition(shards, "deal").mapInArrow(run, _RUNS)
+
+
+class Hashes:
+    """128-bit hashes of parts of a slice of bytes, of which the first half is that of ``Anchors``."""
+
+    def __init__(self):
+        find = Anchors()
+        with np.errstate(over="ignore"):
+            other = np.multiply.accumulate(np.full(_SLICE + LENGTH + 1, _OTHER))
+            back = np.multiply.accumulate(np.full(_SLICE + LENGTH + 1, np.uint64(pow(int(_OTHER), -1, 1 << 64))))
+        self.powers = ((find.power, find.back), (other, back))
+
+    def over(self, raw: bytes):
+        """A function from where parts of ``raw`` start and end to the two halves of their hashes."""
+        b = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)
+        with np.errstate(over="ignore"):
+            sums = [(np.concatenate((np.zeros(1, np.uint64), np.cumsum(b * power[:len(b)]))), back) for power, back in self.powers]
+
+        def parts(start: np.ndarray, end: np.ndarray, halves: int = 2) -> list[np.ndarray]:
+            with np.errstate(over="ignore"):
+                return [mix((s[end] - s[start]) * back[start]) for s, back in sums[:halves]]
+
+        return parts
+
+
+_CELLS = "h long, g long, own_h long, own_g long, key long, mark long, base int, body binary"
+
+
+def _cells(stretches: DataFrame, width: int) -> DataFrame:
+    """The stretches cut into cells of ``width`` offsets of the anchor: the hash of what all strings of a cell share, the hash of
+    the stretch's own strings in it, and their bytes, ``base`` strings behind the stretch's first."""
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, low, span = Hashes(), np.uint64((1 << 21) - 1), np.arange(LENGTH - GRAM + 1)
+        for batch in batches:
+            for piece in pieces(batch, "body", _SLICE // 8):
+                bodies = [x.as_py() for x in piece.column("body")]
+                raw = b"".join(bodies)
+                size = np.array([len(x) for x in bodies])
+                begin = np.cumsum(size) - size
+                parts = hashes.over(raw)
+                window = begin[:, None] + span
+                grams, = parts(window, window + GRAM, 1)
+                # the offset of the anchor in the first and in the last string of each stretch
+                most = (((grams & ~low) | span.astype(np.uint64)).min(axis=1) & low).astype(np.int64)
+                least = most - (size - LENGTH)
+                count = most // width - least // width + 1
+                row = np.repeat(np.arange(len(size)), count)
+                cell = (least // width)[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                lo, hi = cell * width, np.minimum(cell * width + width - 1, LENGTH - GRAM)
+                place, a, b = (begin + most)[row], np.maximum(lo, least[row]), np.minimum(hi, most[row])
+                start, end = place - b, place - a + LENGTH
+                found = [x.view(np.int64) for x in (*parts(place - lo, place - hi + LENGTH), *parts(start, end))]
+                kept = [piece.column(c).to_numpy()[row] for c in ("key", "mark")]
+                base = (piece.column("base").to_numpy()[row] + most[row] - b).astype(np.int32)
+                body = [raw[x:y] for x, y in zip(start.tolist(), end.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*found, *kept, base)] + [pa.array(body, pa.binary())], names=["h", "g", "own_h", "own_g", "key", "mark", "base", "body"])
+
+    return stretches.select("key", "mark", "base", "body").mapInArrow(cells, _CELLS)
+
+
+_PLACED = ("deal", "key", "mark", "base", "body")
+
+
+def _cut_common(stretches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the stretches of common anchors the parts to be sorted in shards, and ``key, mark, runs`` of all others."""
+    few, runs, left = [], [], stretches
+    for width in CELLS:
+        cells = settle(_cells(left, width), "cells")
+        cores = cells.groupBy("h", "g").agg(
+            F.count(F.lit(1)).alias("n"), (F.min("own_h") == F.max("own_h")).alias("same_h"), (F.min("own_g") == F.max("own_g")).alias("same_g")
+        )
+        cores = cores.filter("n > 1").select("h", "g", F.col("n").alias("cells"), (F.col("same_h") & F.col("same_g")).alias("alike"))
+        # written, so that the join knows its size
+        shared = settle(cells.join(settle(cores, "cores"), ["h", "g"]).withColumnRenamed("h", "deal"), "shared")
+        whole = F.array(F.struct(F.col("base").alias("a"), (F.col("base") + F.octet_length("body") - LENGTH).cast("int").alias("b")))
+        runs.append(shared.filter("alike").select("key", "mark", whole.alias("runs")))
+        few.append(shared.filter(f"NOT alike AND cells <= {COMMON}").select(*_PLACED))
+        left = shared.filter(f"NOT alike AND cells > {COMMON}").select(*_PLACED)
+    runs.append(_counted_strings(left))
+    return reduce(DataFrame.unionByName, few), reduce(DataFrame.unionByName, runs)
 
 
 _STRINGS = "h long, g long, key long, mark long, at int"
 
 
 def _counted_strings(stretches: DataFrame) -> DataFrame:
-    """The same for the stretches of common anchors, by counting each string's hash.
+    """The same for stretches, or for parts of them that start at ``base``, by counting each string's hash.
 
     Counts are summed in each task before they are shuffled, and only the hashes of the repeated strings are joined back, so
     that a string of very many stretches is one row a task when it is counted, and a skewed key that AQE splits when joined.
     """
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Anchors()
-        with np.errstate(over="ignore"):
-            other = np.multiply.accumulate(np.full(_SLICE + LENGTH + 1, _OTHER))
-            back = np.multiply.accumulate(np.full(_SLICE + LENGTH + 1, np.uint64(pow(int(_OTHER), -1, 1 << 64))))
+        hashes = Hashes()
         for batch in batches:
             for piece in pieces(batch, "body", _SLICE // 8):
                 bodies = [x.as_py() for x in piece.column("body")]
-                b = np.frombuffer(b"".join(bodies), np.uint8).astype(np.uint64) + np.uint64(1)
                 count = np.array([len(x) - LENGTH + 1 for x in bodies])
                 begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
                 at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 start = np.repeat(begin, count) + at
-                hashes = []
-                with np.errstate(over="ignore"):
-                    for power, inverse in ((find.power, find.back), (other, back)):
-                        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(b * power[:len(b)])))
-                        hashes.append(mix((sums[start + LENGTH] - sums[start]) * inverse[start]).view(np.int64))
-                place = [np.repeat(piece.column(c).to_numpy(), count) for c in ("key", "mark")]
-                columns = [*hashes, *place, at.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "g", "key", "mark", "at"])
+                found = [x.view(np.int64) for x in hashes.over(b"".join(bodies))(start, start + LENGTH)]
+                key, mark, base = (np.repeat(piece.column(c).to_numpy(), count) for c in ("key", "mark", "base"))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*found, key, mark, (at + base).astype(np.int32))], names=["h", "g", "key", "mark", "at"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
@@ -197,7 +275,8 @@ def _counted_strings(stretches: DataFrame) -> DataFrame:
                 found.append([{"a": a, "b": b} for a, b in zip(at[first].tolist(), at[np.append(first[1:], len(at)) - 1].tolist())])
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), pa.array(found, kind)], names=["key", "mark", "runs"])
 
-    every = stretches.select("key", "mark", "body").mapInArrow(strings, _STRINGS)
+    base = F.col("base") if "base" in stretches.columns else F.lit(0)
+    every = stretches.select("key", "mark", base.alias("base"), "body").mapInArrow(strings, _STRINGS)
     twice = every.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "g")
     # written, so that the join knows its size; a stretch has fewer than LENGTH strings, so its places are few
     again = every.join(settle(twice, "twice"), ["h", "g"])
@@ -216,8 +295,12 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     sizes = different.groupBy("key").agg(F.count(F.lit(1)).alias("stretches"))
     wanted = different.join(sizes, "key").withColumn("common", F.col("stretches") > COMMON)
     bodies = settle(_stretches(rows, wanted), "bodies")
-    rare = bodies.filter("NOT common")
-    runs = _sorted_shards(rare, _shards(rare, 4 * width)).unionByName(_counted_strings(bodies.filter("common")))
+    placed = bodies.select(F.col("key").alias("deal"), "key", "mark", F.lit(0).alias("base"), "body", "common")
+    few, settled = _cut_common(placed.filter("common"))
+    rare = placed.filter("NOT common").select(*_PLACED).unionByName(few)
+    # one row a stretch, however many parts of it were found
+    settled = settled.groupBy("key", "mark").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    runs = _sorted_shards(rare, _shards(rare, 4 * width)).unionByName(settled)
     # a stretch that occurs twice repeats as a whole
     twice = different.filter("n > 1").select("key", "mark", F.array(F.struct(F.lit(0).alias("a"), (F.col("last") - F.col("first")).alias("b"))).alias("runs"))
     part = again.filter("NOT alike").join(runs.unionByName(twice), ["key", "mark"]).select("row", "first", F.explode("runs").alias("r"))

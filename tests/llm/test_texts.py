@@ -281,3 +281,19 @@ def test_shared_prefixes_of_chunks_are_worked_out_once(monkeypatch):
     monkeypatch.setattr(dp, "_go_on", lambda c, counts, last: steps.append(len(c) + 1 - len(counts)) or real(c, counts, last))
     assert dp.many(words) == want and [w[-1] for w in want] == [len(x) for x in dp.processor.ids(words)]
     assert sum(steps) == len({w[:i] for w in words for i in range(1, len(w) + 1)}) and dp.many([]) == []
+
+
+@pytest.mark.parametrize("common", [1, 8])
+def test_edges_of_a_common_passage_are_cut_into_cells_not_strings(frame, monkeypatch, common):
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choices("abcdefghij ", k=n))
+    passage, twins = noise(500), [noise(70) for _ in range(4)]
+    texts = [(twins[i % 4] if i % 3 else noise(230)) + passage + noise(230) for i in range(60)] + [noise(90) + passage[:260] + noise(60) for _ in range(9)]
+    monkeypatch.setattr(suffix_dedup, "COMMON", common)
+    parts, strings = [], []
+    cells, counted = suffix_dedup._cells, suffix_dedup._counted_strings
+    monkeypatch.setattr(suffix_dedup, "_cells", lambda s, w: parts.append(s.count()) or cells(s, w))
+    monkeypatch.setattr(suffix_dedup, "_counted_strings", lambda s: strings.extend(s.collect()) or counted(s))
+    got = sorted(suffix_dedup.dedup(frame("doc_id long, text string", list(enumerate(texts)))).collect(), key=lambda r: r.doc_id)
+    assert [tuple(r)[1:] for r in got] == brute_dedup(texts, suffix_dedup.LENGTH)
+    assert parts[0] > 60 and sum(len(r.body) - suffix_dedup.LENGTH + 1 for r in strings) <= 25 * parts[0]
