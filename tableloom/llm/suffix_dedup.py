@@ -41,7 +41,9 @@ LENGTH, GRAM = 200, 32
 #: Stretches of one anchor that may meet in one shard.
 COMMON = 128
 #: Offsets of the anchor in a cell, for each time that the stretches of a common anchor are cut.
-CELLS = (43, 11)
+CELLS = (43, 11, 3)
+#: Bytes of the cells of one core that may meet in one shard, an eighth of what a shard holds on average.
+CELL_BYTES = 1 << 20
 #: Bytes of stretches that a shard holds on average; its sort needs some 50 bytes of memory for each of them.
 SHARD_BYTES = 8 << 20
 _SLICE = 1 << 20
@@ -228,6 +230,8 @@ def _cut_common(stretches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of the stretches of common anchors the parts to be sorted in shards, and ``key, mark, runs`` of all others."""
     few, runs, left = [], [], stretches
     for width in CELLS:
+        # so many cells, of at most so many bytes each
+        most = max(1, CELL_BYTES // (LENGTH + width))
         cells = settle(_cells(left, width), "cells")
         cores = cells.groupBy("h", "g").agg(
             F.count(F.lit(1)).alias("n"), (F.min("own_h") == F.max("own_h")).alias("same_h"), (F.min("own_g") == F.max("own_g")).alias("same_g")
@@ -237,8 +241,8 @@ def _cut_common(stretches: DataFrame) -> tuple[DataFrame, DataFrame]:
         shared = settle(cells.join(settle(cores, "cores"), ["h", "g"]).withColumnRenamed("h", "deal"), "shared")
         whole = F.array(F.struct(F.col("base").alias("a"), (F.col("base") + F.octet_length("body") - LENGTH).cast("int").alias("b")))
         runs.append(shared.filter("alike").select("key", "mark", whole.alias("runs")))
-        few.append(shared.filter(f"NOT alike AND cells <= {COMMON}").select(*_PLACED))
-        left = shared.filter(f"NOT alike AND cells > {COMMON}").select(*_PLACED)
+        few.append(shared.filter(f"NOT alike AND cells <= {most}").select(*_PLACED))
+        left = shared.filter(f"NOT alike AND cells > {most}").select(*_PLACED)
     runs.append(_counted_strings(left))
     return reduce(DataFrame.unionByName, few), reduce(DataFrame.unionByName, runs)
 

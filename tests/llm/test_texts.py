@@ -290,6 +290,7 @@ def test_edges_of_a_common_passage_are_cut_into_cells_not_strings(frame, monkeyp
     passage, twins = noise(500), [noise(70) for _ in range(4)]
     texts = [(twins[i % 4] if i % 3 else noise(230)) + passage + noise(230) for i in range(60)] + [noise(90) + passage[:260] + noise(60) for _ in range(9)]
     monkeypatch.setattr(suffix_dedup, "COMMON", common)
+    monkeypatch.setattr(suffix_dedup, "CELL_BYTES", common * 250)
     parts, strings = [], []
     cells, counted = suffix_dedup._cells, suffix_dedup._counted_strings
     monkeypatch.setattr(suffix_dedup, "_cells", lambda s, w: parts.append(s.count()) or cells(s, w))
