@@ -329,20 +329,21 @@ def similar_word_sets(left: DataFrame, right: DataFrame | None, text: str, floor
 
 
 def near_values(left: DataFrame, right: DataFrame | None, ceiling: float) -> DataFrame:
-    """Candidates whose numbers differ by at most ``ceiling`` percent of either one.
+    """Candidates whose numbers differ by at most ``ceiling`` percent of either one, each pair once.
 
-    Inputs have ``id``, ``block`` and a number ``v``. Numbers are put into bands
+    Inputs have a unique ``id``, ``block`` and a number ``v``; a column ``row`` of theirs comes back as ``row_a`` and ``row_b``. Numbers are put into bands
     of ratio ``1 + ceiling / 100``; two near numbers of one sign lie in the same
-    band or few bands apart.
+    band or few bands apart. One of them stands in one band only, so a pair meets once.
     """
     share = ceiling / 100
     bands = math.ceil(-math.log1p(-share) / math.log1p(share))  # the larger number may be the base
+    also = [c for c in left.columns if c == "row"]
 
     def banded(df: DataFrame, spread: bool) -> DataFrame:
-        usable = df.select("id", "block", F.col("v").cast("double").alias("v")).filter("block IS NOT NULL AND v <> 0")
+        usable = df.select("id", "block", F.col("v").cast("double").alias("v"), *also).filter("block IS NOT NULL AND v <> 0")
         band = F.floor(F.ln(F.abs("v")) / F.lit(math.log1p(share)))
         reach = F.explode(F.sequence(band - bands, band + bands)) if spread else band
-        return usable.select("id", "block", "v", F.signum("v").alias("sign"), reach.alias("band"))
+        return usable.select("id", "block", "v", *also, F.signum("v").alias("sign"), reach.alias("band"))
 
     a, b = banded(left, False).alias("a"), banded(left if right is None else right, True).alias("b")
     match = (F.col("a.band") == F.col("b.band")) & (F.col("a.sign") == F.col("b.sign"))
@@ -350,4 +351,4 @@ def near_values(left: DataFrame, right: DataFrame | None, ceiling: float) -> Dat
     if right is None:
         match = match & (F.col("a.id") < F.col("b.id"))
     near = F.abs(F.col("a.v") - F.col("b.v")) <= F.greatest(F.abs("a.v"), F.abs("b.v")) * (share + SLACK)
-    return a.join(b, match & near).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+    return a.join(b, match & near).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), *[F.col(f"{t}.{c}").alias(f"{c}_{t}") for c in also for t in "ab"])

@@ -17,6 +17,7 @@ Rules label the scored pairs; groups are the connected components.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -98,11 +99,54 @@ class Resolution:
     """``pairs``: scored and labelled links between representatives and from
     representatives to their copies. ``records``: every record once, with its
     best outcome and the smallest member of its group. ``links``: those of ``pairs`` between
-    representatives, of different compared values where one table is matched with itself."""
+    representatives, of different compared values where one table is matched with itself.
 
-    pairs: DataFrame
-    records: DataFrame
+    Each is worked out when it is asked for: links alone need no groups. ``own`` has the scores of representatives beside their copies;
+    ``streamed`` links come straight out of a join and are written only where they are read again."""
+
+    spec: MatchSpec
     links: DataFrame
+    own: DataFrame | None
+    lrecords: DataFrame
+    rrecords: DataFrame | None
+    streamed: bool
+
+    @cached_property
+    def _kept(self) -> DataFrame:
+        return settle(self.links, "links") if self.streamed else self.links
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        if self.own is None:
+            return _with_copies(self._kept, self.lrecords, self.rrecords)
+        copies = self.lrecords.filter("id <> rep").select(F.col("rep").alias("id_a"), F.col("id").alias("id_b"))
+        return self.links.unionByName(self.own.drop("id_b").join(copies, "id_a").select(*self.links.columns))
+
+    @cached_property
+    def records(self) -> DataFrame:
+        spec, one_table = self.spec, self.own is not None
+        node = lambda tag, c: F.struct(F.lit("a" if one_table else tag).alias("side"), F.col(c).alias("id"))
+        groups = connected_components(self._kept.select(node("a", "id_a").alias("a"), node("b", "id_b").alias("b")))
+        links = self._kept.unionByName(self.own) if one_table else self._kept
+        rank = lambda o: F.when(o == AUTO, 2).when(o == REVIEW, 1).otherwise(0)
+        ends = links.select(node("a", "id_a").alias("n"), rank(F.col("match_outcome")).alias("r")).union(
+            links.select(node("b", "id_b"), rank(F.col("match_outcome")))
+        )
+        best = ends.groupBy("n").agg(F.max("r").alias("r"))
+
+        def described(records: DataFrame, tag: str) -> DataFrame:
+            rows = records.withColumn("n", node(tag, "rep")).join(best, "n", "left").join(
+                groups.withColumnRenamed("id", "n"), "n", "left"
+            )
+            home = F.when(F.col("r").isNotNull(), F.coalesce(F.col("component.id"), F.col("rep")))
+            outcome = F.when(F.col("r") == 2, F.lit(AUTO)).when(F.col("r") == 1, F.lit(REVIEW)).otherwise(F.lit(NONE))
+            return rows.select(
+                F.lit(spec.primary_alias if tag == "a" else spec.secondary_alias).alias("side"),
+                "id", outcome.alias("match_outcome"), home.alias("match_group_id"),
+            )
+
+        records = described(self.lrecords, "a")
+        return records if one_table else records.unionByName(described(self.rrecords, "b"))
 
 
 def cleaned(value: Column) -> Column:
@@ -180,36 +224,45 @@ def ways(spark: SparkSession, spec: MatchSpec) -> list[frozenset[int]]:
     return sorted(found, key=sorted)
 
 
-def _candidates(spec: MatchSpec, left: DataFrame, right: DataFrame | None) -> DataFrame:
+def _searches(spark: SparkSession, spec: MatchSpec) -> list[tuple[list[int], int | None, int | None]]:
+    """What finds every pair that a rule names: comparisons that agree, and a fuzzy one or a percent difference."""
     kinds = [c.kind for c in spec.comparisons]
     equal = [i for i, k in enumerate(kinds) if k in ("exact", "soundex")]
-    found, done = [], set()
-    everywhere = F.struct(F.lit(0).alias("b0"))
-    for way in ways(left.sparkSession, spec):
+    found = []
+    for way in ways(spark, spec):
         agreed = [i for i in sorted(way) if i in equal]
-        fuzzy = [i for i in sorted(way) if kinds[i] == "fuzzy"]
-        numbers = [i for i in sorted(way) if kinds[i] == "percent_difference"]
+        fuzzy = next((i for i in sorted(way) if kinds[i] == "fuzzy"), None)
+        number = next((i for i in sorted(way) if kinds[i] == "percent_difference"), None) if fuzzy is None else None
         narrowed = [sorted({*agreed, *b}) for b in spec.blocks] or [agreed]
-        if fuzzy and spec.fuzzy_needs_exact and equal and not agreed and not spec.blocks:
+        if fuzzy is not None and spec.fuzzy_needs_exact and equal and not agreed and not spec.blocks:
             narrowed = [[i] for i in equal]
         for block in narrowed:
-            at = (tuple(block), tuple(fuzzy[:1]), tuple(numbers[:1] if not fuzzy else ()))
-            if at in done:
-                continue
-            done.add(at)
-            value = _block_value(spec, block) if block else everywhere
-            if fuzzy:
-                found.append(_fuzzy_candidates(spec, left, right, value, fuzzy[0], bool(block)))
-            elif numbers:
-                if not spec.percent_ceiling or not 0 < spec.percent_ceiling < 100:
-                    raise SpecError("percent_difference without a fuzzy comparison needs a percent_ceiling below 100")
-                side = lambda df: df.select(F.col("rep").alias("id"), value.alias("block"), F.col(f"v{numbers[0]}").alias("v"))  # noqa: E731, B023
-                found.append(near_values(side(left), None if right is None else side(right), spec.percent_ceiling))
-            else:
-                found.append(_star(left, right, value))
-    if right is None:  # a profile with copies is compared with itself
-        own = left.filter("copies > 1")
-        found.append(own.select(F.col("rep").alias("id_a"), F.col("rep").alias("id_b")))
+            if (block, fuzzy, number) not in found:
+                found.append((block, fuzzy, number))
+    if any(number is not None for _, _, number in found) and not 0 < (spec.percent_ceiling or 0) < 100:
+        raise SpecError("percent_difference without a fuzzy comparison needs a percent_ceiling below 100")
+    return found
+
+
+def _block_of(spec: MatchSpec, block: list[int]) -> Column:
+    return _block_value(spec, block) if block else F.struct(F.lit(0).alias("b0"))
+
+
+def _near(spec: MatchSpec, left: DataFrame, right: DataFrame | None, block: list[int], number: int, *row: Column) -> DataFrame:
+    """Profiles of one block with near numbers; ``row`` travels along."""
+    side = lambda df: df.select(F.col("rep").alias("id"), _block_of(spec, block).alias("block"), F.col(f"v{number}").alias("v"), *row)
+    return near_values(side(left), None if right is None else side(right), spec.percent_ceiling)
+
+
+def _candidates(spec: MatchSpec, left: DataFrame, right: DataFrame | None, searches: list) -> DataFrame:
+    found = []
+    for block, fuzzy, number in searches:
+        if fuzzy is not None:
+            found.append(_fuzzy_candidates(spec, left, right, _block_of(spec, block), fuzzy, bool(block)))
+        elif number is not None:
+            found.append(_near(spec, left, right, block, number))
+        else:
+            found.append(_star(left, right, _block_of(spec, block)))
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -261,51 +314,32 @@ def resolve(primary: DataFrame, spec: MatchSpec, secondary: DataFrame | None = N
     side = lambda df, tag: df.select(
         F.col("rep").alias(f"id_{tag}"), *[v.alias(f"{tag}{i}") for i, v in enumerate(compared)]
     )
-    scored = _candidates(spec, left, right).join(side(left, "a"), "id_a").join(
-        side(left if right is None else right, "b"), "id_b"
-    )
-    # Written before the rules look at them: a filter on computed scores would compute them again.
-    scored = settle(scored.select("id_a", "id_b", *[v.alias(k) for k, v in _scores(spec).items()]), "scores")
+    scores = lambda df: df.select("id_a", "id_b", *[v.alias(k) for k, v in _scores(spec).items()])
+    other, searches = left if right is None else right, _searches(left.sparkSession, spec)
+    block, _, number = searches[0]
+    streamed = len(searches) == 1 and number is not None
+    if streamed:  # near numbers make many pairs; with the values at hand these are neither written nor shuffled
+        row = F.struct(*[v.alias(f"c{i}") for i, v in enumerate(compared)]).alias("row")
+        met = _near(spec, left, right, block, number, row)
+        met = met.select("id_a", "id_b", *[F.col(f"row_{t}.c{i}").alias(f"{t}{i}") for t in "ab" for i in range(len(compared))])
+    else:
+        met = _candidates(spec, left, right, searches).join(side(left, "a"), "id_a").join(side(other, "b"), "id_b")
+    scored = scores(met)
+    own = None
+    if right is None:  # a profile with copies is compared with itself
+        alone = left.filter("copies > 1")
+        own = scores(alone.select(F.col("rep").alias("id_a"), F.col("rep").alias("id_b"), *[v.alias(f"{t}{i}") for t in "ab" for i, v in enumerate(compared)]))
+    if not streamed:  # written before the rules look at them: a filter on computed scores would compute them again
+        scored = settle(scored, "scores")
     label = F.when(F.expr(spec.auto_rule), F.lit(AUTO))
     if spec.review_rule:
         label = label.when(F.expr(spec.review_rule), F.lit(REVIEW))
-    links = scored.withColumn("match_outcome", label).filter("match_outcome IS NOT NULL")
-    one_table = right is None
-    node = lambda tag, c: F.struct(F.lit("a" if one_table else tag).alias("side"), F.col(c).alias("id"))
-    edges = links.filter("id_a <> id_b") if one_table else links
-    groups = connected_components(edges.select(node("a", "id_a").alias("a"), node("b", "id_b").alias("b")))
-
-    rank = lambda o: F.when(o == AUTO, 2).when(o == REVIEW, 1).otherwise(0)
-    ends = links.select(node("a", "id_a").alias("n"), rank(F.col("match_outcome")).alias("r")).union(
-        links.select(node("b", "id_b"), rank(F.col("match_outcome")))
-    )
-    best = ends.groupBy("n").agg(F.max("r").alias("r"))
+    labelled = lambda df: df.withColumn("match_outcome", label).filter("match_outcome IS NOT NULL")
+    return Resolution(spec, labelled(scored), None if own is None else labelled(own), lrecords, rrecords, streamed)
 
-    def described(records: DataFrame, tag: str) -> DataFrame:
-        rows = records.withColumn("n", node(tag, "rep")).join(best, "n", "left").join(
-            groups.withColumnRenamed("id", "n"), "n", "left"
-        )
-        home = F.when(F.col("r").isNotNull(), F.coalesce(F.col("component.id"), F.col("rep")))
-        outcome = F.when(F.col("r") == 2, F.lit(AUTO)).when(F.col("r") == 1, F.lit(REVIEW)).otherwise(F.lit(NONE))
-        return rows.select(
-            F.lit(spec.primary_alias if tag == "a" else spec.secondary_alias).alias("side"),
-            "id", outcome.alias("match_outcome"), home.alias("match_group_id"),
-        )
-
-    records = described(lrecords, "a")
-    if rrecords is not None:
-        records = records.unionByName(described(rrecords, "b"))
-    return Resolution(_with_copies(links, lrecords, rrecords), records, edges)
 
-
-def _with_copies(links: DataFrame, lrecords: DataFrame, rrecords: DataFrame | None) -> DataFrame:
-    """Links between representatives, and one link for each of their copies."""
-    first = links.filter("id_a <> id_b") if rrecords is None else links
-    if rrecords is None:
-        own = links.filter("id_a = id_b").drop("id_b").join(
-            lrecords.filter("id <> rep").select(F.col("rep").alias("id_a"), F.col("id").alias("id_b")), "id_a"
-        )
-        return first.unionByName(own.select(*first.columns))
+def _with_copies(links: DataFrame, lrecords: DataFrame, rrecords: DataFrame) -> DataFrame:
+    """Links between representatives of two tables, and one link for each of their copies."""
     rest = [c for c in links.columns if c not in ("id_a", "id_b")]
     via = lambda mine, other: links.groupBy(mine).agg(F.min(F.struct(other, *rest)).alias("m"))
     more_a = lrecords.filter("id <> rep").join(via("id_a", "id_b"), F.col("rep") == F.col("id_a"))
@@ -313,7 +347,7 @@ def _with_copies(links: DataFrame, lrecords: DataFrame, rrecords: DataFrame | No
     pick = [F.col(f"m.`{c}`").alias(c) for c in rest]
     more_a = more_a.select(F.col("id").alias("id_a"), F.col("m.id_b").alias("id_b"), *pick)
     more_b = more_b.select(F.col("m.id_a").alias("id_a"), F.col("id").alias("id_b"), *pick)
-    return first.unionByName(more_a.select(*first.columns)).unionByName(more_b.select(*first.columns))
+    return links.unionByName(more_a.select(*links.columns)).unionByName(more_b.select(*links.columns))
 
 
 def resolve_step(primary: DataFrame, spec: MatchSpec, secondary: DataFrame | None = None) -> DataFrame:

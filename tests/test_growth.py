@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from test_matching import edit_distance
 
 import __spark_entry__ as driver
-from tableloom.operators import candidates, graph, profile, ranges
+from tableloom.operators import candidates, graph, profile, ranges, resolve
 from tableloom.operators.joins import join_data
 from tableloom.operators.candidates import similar_texts
 
@@ -108,3 +108,29 @@ def test_hierarchies_with_stops_write_few_rows(spark, frame, monkeypatch):
     monkeypatch.setattr(graph, "FEW", 1000)
     assert as_set(got) == as_set(graph.flatten_hierarchy(df.filter("id NOT IN ('c7')"), "id", "up", keep_unrooted=True))
     assert got.count() == len(nodes) - 2
+
+
+@pytest.mark.parametrize("tables", [1, 2])
+def test_links_of_near_numbers_are_neither_written_nor_shuffled(spark, frame, monkeypatch, tables):
+    written = []
+    settled = resolve.settle
+    monkeypatch.setattr(resolve, "settle", lambda df, label="stage", *more: written.append(label) or settled(df, label, *more))
+    df = frame("id bigint, grp bigint, amt double", [(i, i % 2, 100.0 + i % 23) for i in range(60)] + [(90, 0, None), (91, 1, 0.0), (92, 1, 0.0)])
+    spec = resolve.MatchSpec(
+        [resolve.Comparison("grp", "grp", "exact"), resolve.Comparison("amt", "amt", "percent_difference")],
+        "a_grp_b_grp_exact = 1.0 AND a_amt_b_amt_percent_difference < 4", None, "id", percent_ceiling=4.0,
+    )
+    sides = (df, None) if tables == 1 else (df.filter("id % 3 = 0"), df.filter("id % 3 <> 0"))
+    found = resolve.resolve(sides[0], spec, sides[1])
+    assert set(written) == {"profiles"}
+    # one shuffle for each side of the one join, none of pairs
+    assert found.links._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+    first = [{}, {}]
+    for i, grp, amt in df.collect():
+        first[0 if tables == 1 else i % 3 > 0].setdefault((grp, amt), i)
+    mine, other = first[0], first[0] if tables == 1 else first[1]
+    want = {(i, j) for (g, x), i in mine.items() for (h, y), j in other.items() if g == h and (i < j or tables == 2) and x and y is not None and abs(y - x) / x * 100 < 4}
+    assert as_set(found.links, "id_a", "id_b") == want and found.links.count() == len(want) > 100
+    groups = {r.id: r.match_group_id for r in found.records.filter("side = 'a'").collect()}
+    assert {i for i, g in groups.items() if g is None} <= {90, 91, 92} and len(groups) == sides[0].count()
+    assert as_set(found.pairs, "id_a", "id_b") >= want
