@@ -155,3 +155,33 @@ def test_texts_are_moved_in_parts_of_their_blocks_and_not_by_their_grams(frame,
         if i % 3 % 2 == j % 3 % 2 and (i < j if tables == 1 else not 60 <= i <= 125 and 60 <= j <= 125) and similar(a, b, floor)
     }
     assert as_set(got) == want and got.count() == len(want) > 20
+
+
+def test_large_sets_that_share_a_few_words_do_not_meet(frame, monkeypatch):
+    rng = random.Random(6)
+    # every two texts share 40 words that are no more frequent than their own ones, which no parity tells apart
+    texts = [" ".join([f"w{i}" for i in rng.sample(range(20000), 900)]) for _ in range(60)]
+    texts += [" ".join(w if rng.random() > 0.12 else f"x{rng.randrange(10**6)}" for w in texts[n].split()) for n in range(20)]
+    rows, met = frame("id bigint, t string", list(enumerate(texts))), []
+    grouped = type(rows).groupBy
+    monkeypatch.setattr(type(rows), "groupBy", lambda df, *by: (met.append(df) if "more" in map(str, by) else None) or grouped(df, *by))
+    got = {(a, b): s for a, b, s in candidates.similar_word_sets(rows, None, "t", 0.7).collect()}
+    sets = [set(t.split()) for t in texts]
+    score = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    assert got == pytest.approx({(i, j): score(i, j) for i in range(80) for j in range(i + 1, 80) if score(i, j) >= 0.7}) and len(got) > 9
+    assert met[0].select("id_a", "id_b").distinct().count() < 1000  # of 3,160; by single words all of them meet
+
+
+@pytest.mark.parametrize("floor", [0.55, 0.7, 0.9])
+def test_sets_about_the_size_from_which_they_meet_by_neighbours(frame, floor):
+    rng = random.Random(int(floor * 100))
+    texts = []
+    for n in (56, 63, 64, 65, 70, 90, 128, 200):
+        words = [f"w{rng.randrange(2000)}" for _ in range(n)]
+        texts.append(" ".join(words))
+        for rate in (0.02, 0.1, 0.2, 0.3):
+            texts += [" ".join(w for w in words if rng.random() > rate), " ".join(w if rng.random() > rate / 2 else f"x{rng.randrange(10**6)}" for w in words), " ".join([*words, *(f"y{i}" for i in range(int(n * rate)))])]
+    sets = [set(t.split()) for t in texts]
+    score = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    got = {(a, b): s for a, b, s in candidates.similar_word_sets(frame("id bigint, t string", list(enumerate(texts))), None, "t", floor).collect()}
+    assert got == pytest.approx({(i, j): score(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if score(i, j) >= floor - 1e-9}) and len(got) > 30
