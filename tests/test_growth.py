@@ -185,3 +185,19 @@ def test_sets_about_the_size_from_which_they_meet_by_neighbours(frame, floor):
     score = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
     got = {(a, b): s for a, b, s in candidates.similar_word_sets(frame("id bigint, t string", list(enumerate(texts))), None, "t", floor).collect()}
     assert got == pytest.approx({(i, j): score(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if score(i, j) >= floor - 1e-9}) and len(got) > 30
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_intervals_meet_points_at_their_own_level_only(spark, monkeypatch, turned):
+    points = spark.range(500).selectExpr("id AS i", "id / 20D AS x")
+    bands = spark.range(120).selectExpr("id AS j", "id / 5D AS lo", "id / 5D + CASE WHEN id % 5 = 0 THEN 0.5D WHEN id % 7 = 0 THEN 0D ELSE 0.02D END AS hi")
+    laid = []
+    spread = ranges._spread
+    monkeypatch.setattr(ranges, "_spread", lambda *args: laid.append(spread(*args)) or laid[-1])
+    if turned:
+        got = join_data(bands, points, "b.x >= a.lo AND b.x <= a.hi", "inner", "j", "i").select("i", "j")
+    else:
+        got = join_data(points, bands, "a.x >= b.lo AND a.x <= b.hi", "inner", "i", "j")
+    want = points.join(bands, F.expr("x >= lo AND x <= hi")).select("i", "j")
+    assert as_set(got) == as_set(want) and got.count() == want.count() > 100
+    assert laid[0 if turned else 1].filter("at <> own").isEmpty()
